@@ -1,11 +1,13 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import chat, dedup, mixing
+from . import chat, dedup, mixing, packing, secrets
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op3_exact_dedup": dedup.op3_exact_dedup,
+    "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_secret_scan": secrets.op9_secret_scan,
 }
 
 SQL = {
