@@ -1,16 +1,19 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import chat, dedup, mixing, packing, secrets
+from . import chat, dedup, iblt, mixing, packing, secrets, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
+    "op2_warc_convert": warc.op2_warc_convert,
     "op3_exact_dedup": dedup.op3_exact_dedup,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_secret_scan": secrets.op9_secret_scan,
+    "op10_iblt_fingerprints": iblt.op10_iblt_fingerprints,
 }
 
 SQL = {
+    "op2_warc_convert": warc.OP2_SQL,
     "op3_exact_dedup": dedup.OP3_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
 }
