@@ -1,12 +1,15 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import chat, dedup, iblt, mixing, packing, secrets, warc
+from . import chat, dedup, iblt, jaccard, mixing, packing, pii, quality, secrets, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op2_warc_convert": warc.op2_warc_convert,
     "op3_exact_dedup": dedup.op3_exact_dedup,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_jaccard_join": jaccard.op5_jaccard_join,
+    "op6_quality_classifier": quality.op6_quality_classifier,
+    "op7_pii_pseudonyms": pii.op7_pii_pseudonyms,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_iblt_fingerprints": iblt.op10_iblt_fingerprints,
