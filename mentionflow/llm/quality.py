@@ -152,7 +152,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str])
     def scored(batches):
         logit, bias = shared.value
         for batch in batches:
-            texts = batch["_text"].to_pylist()
+            texts = [t or "" for t in batch["text"].to_pylist()]
             z = np.zeros(len(texts))
             for a, b in steps(texts):
                 doc, found = features(texts[a:b])
@@ -161,7 +161,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str])
             out = 1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in columns), pa.array(out, pa.float64())], [*columns, "score"])
 
-    rows = docs.select(*columns, or_empty("text").alias("_text"))
+    rows = docs.select(*columns, *({"text"} - set(columns)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema.fields)
     return rows.mapInArrow(scored, f"{schema}, score double")
 
