@@ -9,7 +9,6 @@ comes down to one number after training, and scoring a text is a mean of looked-
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import or_empty, table
 
 #: Feature buckets (power of two), vector size, character n-grams, labelled rows of each class at most.
-BUCKETS, DIM, GRAMS, TRAIN_ROWS = 1 << 17, 16, (2, 3, 4), 3000
+BUCKETS, DIM, GRAMS, TRAIN_ROWS = 1 << 17, 16, (2, 3, 4), 2000
 EPOCHS, RATE, SEED, THRESHOLD = 5, 0.5, 7, 0.7
 #: Code points that one vectorised step hashes.
 STEP_CHARS = 1_000_000
@@ -96,11 +95,17 @@ def feature_counts(batches):
             yield pa.RecordBatch.from_pydict({"label": pa.array([label], pa.int32()), "ids": pa.array([ids.astype(np.int32)], pa.list_(pa.int32())), "n": pa.array([n.astype(np.int32)], pa.list_(pa.int32()))})
 
 
-def fit(rows: pd.DataFrame, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, float]:
-    """(a number for each bucket, bias) of label 1 against 0, from rows of label, ids and n. Rows are weighed so that
+def unpacked(t: pa.Table) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """(labels, ids and counts of each row), as views of the table's own buffers."""
+    lists = [t[c].combine_chunks() for c in ("ids", "n")]
+    at = np.r_[0, np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
+    ids, n = (x.flatten().to_numpy() for x in lists)
+    return t["label"].to_numpy(), [(ids[a:b], n[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def fit(labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, float]:
+    """(a number for each bucket, bias) of label 1 against 0, from rows of ids and counts. Rows are weighed so that
     both classes count the same; with one class or none, every text scores that class's share."""
-    labels = rows["label"].to_numpy()
-    rows = [(np.asarray(i), np.asarray(n, np.float32) / max(1, np.sum(n))) for i, n in zip(rows["ids"], rows["n"], strict=True)]
     share = float(np.mean(labels)) if len(labels) else 0.5
     if share in (0.0, 1.0) or not len(labels):
         return np.zeros(BUCKETS, np.float32), {0.0: -5.0, 1.0: 5.0}.get(share, 0.0)
@@ -111,7 +116,8 @@ def fit(rows: pd.DataFrame, dim: int = DIM, epochs: int = EPOCHS, rate: float =
     total, done = epochs * len(rows), 0
     for _ in range(epochs):
         for k in rng.permutation(len(rows)):
-            (ids, part), label = rows[k], labels[k]
+            (ids, n), label = rows[k], labels[k]
+            part = n.astype(np.float32) / max(1, n.sum())
             mean = part @ vectors[ids]
             z = out @ mean + bias
             p = np.exp(z - z.max())
@@ -137,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
     # At most twice train_rows ids: small enough to send to every task.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("text")).join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
     counted = texts.select("label", "text").mapInArrow(feature_counts, "label int, ids array<int>, n array<int>")
-    return fit(counted.toPandas())
+    return fit(*unpacked(counted.toArrow()))
 
 
 def held_out(doc_id) -> F.Column:
