@@ -338,7 +338,8 @@ def similar_documents(docs: DataFrame, threshold: str = THRESHOLD, tolerance: fl
     wanted = wanted.groupBy("h1", "h2", "copy_id", "node").agg(F.collect_list(F.struct("unit", "b", "i", "j", "block")).alias("at"))
     wanted = scratch.keep(wanted, "wanted")
     same = (F.col("t.h1") == F.col("w.h1")) & (F.col("t.h2") == F.col("w.h2")) & F.col("t.doc_id").eqNullSafe(F.col("w.copy_id"))
-    sent = texts.alias("t").join(wanted.alias("w"), same).select("w.node", "t.text", F.inline("w.at")).select("unit", "node", "text", "b", "i", "j", "block")
+    # Always a merge join: at some size texts would be shuffled anyway, and the plan should be the same at every size.
+    sent = texts.alias("t").join(wanted.hint("merge").alias("w"), same).select("w.node", "t.text", F.inline("w.at")).select("unit", "node", "text", "b", "i", "j", "block")
     found = scratch.keep(sent.groupBy("unit").applyInArrow(verifier(threshold, tolerance), FOUND), "found")
     linked = components(found.select(F.col("root").alias("u"), F.col("node").alias("v")), scratch, "linked")
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))
