@@ -14,6 +14,12 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with value worked out once however often use refers to it, also where a filter is pushed below the
+    projection that made it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def trimmed(c: Column | str) -> Column:
     return F.regexp_replace(col(c), rf"^{WS}+|{WS}+\z", "")
 

@@ -9,18 +9,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
-from .text import WS, col, first_of, trimmed
+from .text import WS, col, first_of, let, trimmed
 
 _URL = r"(?is)^([a-z][a-z0-9+.-]*)://([^/?#]*@)?([^/?#:@\x00-\x20<>\\^|%\[\]]+)(?::(\d*))?(/[^?#]*)?(\?[^#]*)?(#.*)?\z"
 
 
-def part(url: Column | str, group: int) -> Column:
-    return F.regexp_extract(trimmed(F.coalesce(col(url), F.lit(""))), _URL, group)
-
-
 def host(url: Column | str) -> Column:
     """The host in lower case, '' if the URL is invalid."""
-    return F.lower(part(url, 3))
+    return F.lower(F.regexp_extract(trimmed(F.coalesce(col(url), F.lit(""))), _URL, 3))
+
+
+def path(url: Column | str) -> Column:
+    return F.regexp_extract(trimmed(F.coalesce(col(url), F.lit(""))), _URL, 5)
+
+
+def parts(url: Column | str) -> Column:
+    """scheme, user, host, port, path, query and fragment, by one match; one element if the URL is invalid."""
+    plain = F.replace(trimmed(F.coalesce(col(url), F.lit(""))), F.lit("\x01"), F.lit(""))
+    return F.split(F.regexp_replace(plain, _URL, "\x01".join(f"${k}" for k in range(1, 8))), "\x01")
 
 
 def bare(host_: Column) -> Column:
@@ -37,17 +43,21 @@ def host_in(host_: Column, domains) -> Column:
 
 def normalized(url: Column | str) -> Column:
     """Scheme and host in lower case, no default port, no trailing slashes but the root's, no tracking parameters."""
-    scheme, user, port, path, query, fragment = F.lower(part(url, 1)), part(url, 2), part(url, 4), part(url, 5), part(url, 6), part(url, 7)
-    default = (port == "") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
-    stripped = F.replace(F.regexp_replace(path, r"/+\z", ""), F.lit(" "), F.lit("%20"))
-    pairs = F.filter(F.split(F.substring(query, F.lit(2), F.length(query)), "&"), lambda p: (p != "") & ~F.substring_index(p, "=", 1).isin(*fixed.TRACKING))
-    pairs = F.transform(pairs, lambda p: F.replace(F.when(F.contains(p, F.lit("=")), p).otherwise(F.concat(p, F.lit("="))), F.lit("%20"), F.lit("+")))
-    kept = F.array_join(pairs, "&")
-    whole = F.concat(
-        scheme, F.lit("://"), user, host(url), F.when(default, "").otherwise(F.concat(F.lit(":"), port)), F.when(stripped == "", "/").otherwise(stripped),
-        F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept)), F.when(fragment == "#", "").otherwise(fragment),
-    )
-    return F.when(host(url) == "", "").otherwise(whole)
+
+    def joined(p: Column) -> Column:
+        scheme, user, host_, port, path_, query, fragment = (p[k] for k in range(7))
+        default = (port == "") | ((F.lower(scheme) == "http") & (port == "80")) | ((F.lower(scheme) == "https") & (port == "443"))
+        stripped = F.replace(F.regexp_replace(path_, r"/+\z", ""), F.lit(" "), F.lit("%20"))
+        pairs = F.filter(F.split(F.substring(query, F.lit(2), F.length(query)), "&"), lambda q: (q != "") & ~F.substring_index(q, "=", 1).isin(*fixed.TRACKING))
+        pairs = F.transform(pairs, lambda q: F.replace(F.when(F.contains(q, F.lit("=")), q).otherwise(F.concat(q, F.lit("="))), F.lit("%20"), F.lit("+")))
+        return F.concat(
+            F.lower(scheme), F.lit("://"), user, F.lower(host_), F.when(default, "").otherwise(F.concat(F.lit(":"), port)),
+            let(stripped, lambda s: F.when(s == "", "/").otherwise(s)),
+            let(F.array_join(pairs, "&"), lambda kept: F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept))),
+            F.when(fragment == "#", "").otherwise(fragment),
+        )
+
+    return let(parts(url), lambda p: F.when(F.size(p) == 7, joined(p)).otherwise(""))
 
 
 def source(url: Column | str) -> Column:
@@ -58,10 +68,14 @@ def platform(url: Column | str) -> Column:
     names: dict[str, list[str]] = {}
     for domain, name in fixed.PLATFORMS:
         names.setdefault(name, []).append(domain)
-    h, chain = host(url), F
-    for name, domains in names.items():
-        chain = chain.when(host_in(h, domains), name)
-    return chain.otherwise("Website")
+
+    def named(h: Column) -> Column:
+        chain = F
+        for name, domains in names.items():
+            chain = chain.when(host_in(h, domains), name)
+        return chain.otherwise("Website")
+
+    return let(host(url), named)
 
 
 def junk(normal: Column) -> Column:
@@ -71,11 +85,13 @@ def junk(normal: Column) -> Column:
 
 
 def blocked(normal: Column) -> Column:
-    h, path = host(normal), F.lower(part(normal, 5))
-    rules = host_in(h, fixed.BLOCKED_HOSTS)
-    for domain, start in fixed.BLOCKED_PATHS:
-        rules = rules | (host_in(h, [domain]) & path.startswith(start))
-    return rules
+    def rules(h: Column) -> Column:
+        found = host_in(h, fixed.BLOCKED_HOSTS)
+        for domain, start in fixed.BLOCKED_PATHS:
+            found = found | (host_in(h, [domain]) & F.lower(path(normal)).startswith(start))
+        return found
+
+    return let(host(normal), rules)
 
 
 def social_author(url: Column | str, title: Column | str, platform_: Column) -> Column:

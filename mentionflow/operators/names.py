@@ -24,9 +24,9 @@ def base_name(raw: Column) -> Column:
     return _plain(with_nicknames(raw))
 
 
-def parentheticals(raw: Column) -> Column:
-    """array<struct<token, kind>>: what each parenthetical is, by where it stands; those without a use are left out."""
-    text = with_nicknames(raw)
+def parentheticals(text: Column) -> Column:
+    """array<struct<token, kind>>: what each parenthetical is, by where it stands; those without a use are left out.
+    text: with_nicknames()."""
     found, around = F.regexp_extract_all(text, F.lit(r"\(([^)]*)\)"), 1), F.split(text, _PAREN)
 
     def one(raw_token: Column, k: Column) -> Column:
@@ -54,27 +54,31 @@ def is_credential(token: Column, after_comma: bool) -> Column:
     return norm.isin(*fixed.CREDENTIALS_ANY) | upper_only
 
 
-def clean_name(raw: Column) -> Column:
-    """Without parentheticals, leading Dr., credentials after a comma and trailing credentials."""
-    name = F.regexp_replace(base_name(raw), rf"(?i)^dr\.?{WS}+", "")
-    parts = F.filter(F.transform(F.split(name, ","), trimmed), lambda p: p != "")
-    tail = F.split(F.array_join(F.slice(parts, F.lit(2), F.greatest(F.size(parts), F.lit(1))), " "), f"{WS}+")
-    name = F.when((F.size(parts) > 1) & F.forall(tail, lambda t: is_credential(t, True)), F.get(parts, F.lit(0))).otherwise(name)
-    tokens = F.split(name, f"{WS}+")
-    start = F.struct(F.size(tokens).alias("n"), F.lit(True).alias("more"))
+def with_clean_name(df: DataFrame, name: str) -> DataFrame:
+    """Adds clean_name: without parentheticals, leading Dr., credentials after a comma and trailing credentials.
+
+    A column for each step, so that no expression holds another one several times.
+    """
+    df = df.withColumn("_base", F.regexp_replace(base_name(F.col(name)), rf"(?i)^dr\.?{WS}+", ""))
+    df = df.withColumn("_parts", F.filter(F.transform(F.split("_base", ","), trimmed), lambda p: p != ""))
+    tail = F.split(F.array_join(F.slice("_parts", F.lit(2), F.greatest(F.size("_parts"), F.lit(1))), " "), f"{WS}+")
+    df = df.withColumn("_tail", tail)
+    name_part = F.when((F.size("_parts") > 1) & F.forall("_tail", lambda t: is_credential(t, True)), F.get("_parts", F.lit(0))).otherwise(F.col("_base"))
+    df = df.withColumn("_tokens", F.split(name_part, f"{WS}+"))
 
     def drop(state: Column, token: Column) -> Column:
         gone = state["more"] & (state["n"] > 2) & is_credential(token, False)
         return F.struct((state["n"] - gone.cast("int")).alias("n"), gone.alias("more"))
 
-    keep = F.aggregate(F.reverse(tokens), start, drop, lambda s: s["n"])
-    return trimmed(F.array_join(F.slice(tokens, F.lit(1), keep), " "))
+    keep = F.aggregate(F.reverse("_tokens"), F.struct(F.size("_tokens").alias("n"), F.lit(True).alias("more")), drop, lambda s: s["n"])
+    df = df.withColumn("clean_name", trimmed(F.array_join(F.slice("_tokens", F.lit(1), keep), " ")))
+    return df.drop("_base", "_parts", "_tail", "_tokens")
 
 
 def name_forms(roster: DataFrame, name: str = "kol_name") -> DataFrame:
     """Adds clean_name and forms (full, short, initial, extras); forms is null where no name is left."""
-    raw = F.col(name)
-    df = roster.withColumn("clean_name", clean_name(raw)).withColumn("_p", F.split("clean_name", f"{WS}+")).withColumn("_parens", parentheticals(raw))
+    df = with_clean_name(roster, name).withColumn("_p", F.split("clean_name", f"{WS}+"))
+    df = df.withColumn("_nicked", with_nicknames(F.col(name))).withColumn("_parens", parentheticals(F.col("_nicked")))
     n = F.size("_p")
     particle = F.lower(F.replace(F.get("_p", n - 2), F.lit("."), F.lit(""))).isin(*fixed.SURNAME_PARTICLES)
     df = df.withColumn("_at", F.when((n >= 3) & particle, n - 2).otherwise(n - 1))
@@ -90,7 +94,7 @@ def name_forms(roster: DataFrame, name: str = "kol_name") -> DataFrame:
     extras = F.slice(F.array_except(variant, F.array("_full", "_short", "_initial")), 1, fixed.MAX_EXTRAS)
     extras = F.when(n >= 2, extras).otherwise(F.slice(variant, 1, 0))
     forms = F.struct(F.col("_full").alias("full"), F.col("_short").alias("short"), F.col("_initial").alias("initial"), extras.alias("extras"))
-    return df.withColumn("forms", F.when(F.col("clean_name") != "", forms)).drop("_p", "_parens", "_at", "_first", "_last", "_full", "_short", "_initial")
+    return df.withColumn("forms", F.when(F.col("clean_name") != "", forms)).drop("_p", "_nicked", "_parens", "_at", "_first", "_last", "_full", "_short", "_initial")
 
 
 def looks_like_suffix(value: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import url as U
+from ..functions.text import let
 
 ORDER = ["cluster_no", "item_pos", "result_pos"]
 
@@ -13,8 +14,8 @@ ORDER = ["cluster_no", "item_pos", "result_pos"]
 def usable(results: DataFrame) -> DataFrame:
     """Adds norm_url and keeps rows with a valid URL that is neither junk nor on the block-list. All rows of one normalised
     URL share the outcome, so this comes before the deduplication and leaves it less to shuffle."""
-    n = F.col("norm_url")
-    return results.withColumn("norm_url", U.normalized("url")).filter((n != "") & ~U.junk(n) & ~U.blocked(n))
+    good = let(F.col("norm_url"), lambda n: (n != "") & ~U.junk(n) & ~U.blocked(n))
+    return results.withColumn("norm_url", U.normalized("url")).filter(good)
 
 
 def first_by_normal_url(results: DataFrame, by: list[str], order: list[str] | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions.dates import date_decision, is_candidate
 from ..operators import health as H
 from ..operators import identity, names, pages, queries, serp, urlfilter
 from ..sources import sinks
+from ..sources.shared import settled
 
 EXPERT = ["kol_id", "roster_seq"]
 
@@ -46,11 +47,20 @@ class Stages:
     recent: DataFrame
     final: DataFrame
 
+    def settled(self) -> Stages:
+        """The same with the tables between written once, for counts over all of them. Each is then a step of its own."""
+        keep = {"raw", "unique", "candidates", "dated", "final"}
+        return Stages(**{f.name: settled(getattr(self, f.name).drop("body_text"), f.name) if f.name in keep else getattr(self, f.name) for f in dataclasses.fields(self)})
 
-def results(raw_roster: DataFrame, items: DataFrame, page_table: DataFrame, run: Run, fetch_log: DataFrame | None = None) -> Stages:
+
+def prepared(raw_roster: DataFrame, run: Run) -> tuple[DataFrame, DataFrame]:
+    """Roster (with forms) and manifest, settled: a few rows with long expressions that every later plan reads."""
+    roster = settled(names.name_forms(names.clean_roster(raw_roster)), "roster")
+    return roster, settled(queries.manifest(roster, list(run.query_clusters) if run.query_clusters else None), "manifest")
+
+
+def results(roster: DataFrame, manifest: DataFrame, items: DataFrame, page_table: DataFrame, run: Run, fetch_log: DataFrame | None = None) -> Stages:
     """Plans the run up to its final rows (with validity, and body_text for the gate). Failed experts have no results."""
-    roster = names.name_forms(names.clean_roster(raw_roster))
-    manifest = queries.manifest(roster, list(run.query_clusters) if run.query_clusters else None)
     chunks = queries.batches(manifest, run.queries_per_run)
     if fetch_log is not None:
         items = items.join(H.failed_experts(fetch_log), EXPERT, "left_anti")
@@ -75,7 +85,7 @@ def monitor(spark: SparkSession, raw_roster: DataFrame, items: DataFrame, page_t
 
     Counts and summary are taken from the staged rows, so nothing is worked out twice.
     """
-    s = results(raw_roster, items, page_table, run, fetch_log)
+    s = results(*prepared(raw_roster, run), items, page_table, run, fetch_log)
     copy = f"{root.rstrip('/')}/_results_{run.run_tag[:12]}"
     s.final.drop("body_text", "norm_url").write.mode("overwrite").parquet(copy)
     final = spark.read.parquet(copy)

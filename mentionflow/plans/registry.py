@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +12,7 @@ from ..functions import url as U
 from ..functions.classify import activity
 from ..operators import corpus, health, identity, names, pages, queries, serp, urlfilter
 from ..sources import sinks
+from ..sources.shared import settled, shared_folder
 from . import fixtures as X
 from . import monitor as M
 from . import oracles as O
@@ -22,16 +21,6 @@ AS_OF, DAYS_BACK = X.AS_OF, 9
 RUN = M.Run(as_of=AS_OF, days_back=DAYS_BACK, queries_per_run=4, identity_gate="off")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder where all executors see it; a temporary one only where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{root.rstrip('/')}/output-{uuid.uuid4().hex}"
-
-
 # -- inputs ----------------------------------------------------------------------------------------
 
 
@@ -48,7 +37,7 @@ def raw_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return names.name_forms(names.clean_roster(raw_roster(spark, sf_dir)))
+    return settled(names.name_forms(names.clean_roster(raw_roster(spark, sf_dir))), "roster")
 
 
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,14 +50,14 @@ def injected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(X.with_tables(sql, select="SELECT page_id, url, html FROM injected"), pages=spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
-def serp_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def serp_items(spark: SparkSession, sf_dir: str, asked: DataFrame | None = None) -> DataFrame:
     """Items as a search dump has them: one per page and cluster that echoes its query (or lost it), and for every fourth
     expert a merged item per cluster."""
     hits = X.run(spark, sf_dir, X.with_tables(X.RESULTS, X.SERP, select="SELECT page_id, k, cluster_no, url, title, description FROM hits"))
     dated = F.element_at(F.array(*[F.lit(v) for v in ("2024-01-28", "3 days ago", "", "Jan 5, 2024", "2024-06-01", "press release")]), (F.col("page_id") % 6 + 1).cast("int"))
     hits = hits.withColumns({"kol_id": F.concat(F.lit("K"), F.col("k").cast("string")), "roster_seq": F.lit(1), "date": dated, "chunk_no": F.when(F.col("cluster_no") <= 4, 1).otherwise(2)})
-    asked = queries.manifest(roster(spark, sf_dir)).withColumnRenamed("query", "_q")
-    hits = hits.join(asked, ["kol_id", "roster_seq", "cluster_no"])
+    asked = queries.manifest(roster(spark, sf_dir)) if asked is None else asked
+    hits = hits.join(asked.withColumnRenamed("query", "_q"), ["kol_id", "roster_seq", "cluster_no"])
     odd = F.col("page_id") % 2 == 1
     # Aliases of the dump's fields, in turns.
     result = F.struct(
@@ -84,9 +73,9 @@ def serp_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return single.unionByName(merged)
 
 
-def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fetch_log(spark: SparkSession, sf_dir: str, asked: DataFrame | None = None) -> DataFrame:
     """Every 97th query failed, every 89th has no row; every 41st expert failed."""
-    asked = queries.manifest(roster(spark, sf_dir))
+    asked = queries.manifest(roster(spark, sf_dir)) if asked is None else asked
     k = F.substring("kol_id", 2, 20).cast("long")
     rows = asked.filter((k * 5 + F.col("cluster_no")) % 89 != 0)
     rows = rows.withColumn("status", F.when((k * 7 + F.col("cluster_no")) % 97 == 0, "failed").otherwise("ok"))
@@ -97,7 +86,8 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stages(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> M.Stages:
     page_table = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url", "html")
-    return M.results(raw_roster(spark, sf_dir), serp_items(spark, sf_dir), page_table, RUN, log)
+    known = M.prepared(raw_roster(spark, sf_dir), RUN)
+    return M.results(*known, serp_items(spark, sf_dir, known[1]), page_table, RUN, log)
 
 
 # -- queries ---------------------------------------------------------------------------------------
@@ -163,8 +153,8 @@ def query_chunks(spark, sf_dir):
 
 
 def serp_attribution(spark, sf_dir):
-    chunks = queries.batches(queries.manifest(roster(spark, sf_dir)), 4)
-    return serp.attributed(serp_items(spark, sf_dir), chunks).select("kol_id", "item_pos", "cluster_no", "unattributed")
+    asked = settled(queries.manifest(roster(spark, sf_dir)), "manifest")
+    return serp.attributed(serp_items(spark, sf_dir, asked), queries.batches(asked, 4)).select("kol_id", "item_pos", "cluster_no", "unattributed")
 
 
 def serp_flatten_dedupe(spark, sf_dir):
@@ -172,7 +162,8 @@ def serp_flatten_dedupe(spark, sf_dir):
 
 
 def failed_queries(spark, sf_dir):
-    return serp.failed_queries(queries.manifest(roster(spark, sf_dir)), fetch_log(spark, sf_dir)).select("kol_id", "roster_seq", "cluster_no", "query")
+    asked = settled(queries.manifest(roster(spark, sf_dir)), "manifest")
+    return serp.failed_queries(asked, fetch_log(spark, sf_dir, asked)).select("kol_id", "roster_seq", "cluster_no", "query")
 
 
 def crawl_frontier(spark, sf_dir):
@@ -206,15 +197,16 @@ def monitor_output(spark, sf_dir):
 
 
 def stage_counts(spark, sf_dir):
-    s = stages(spark, sf_dir)
+    s = stages(spark, sf_dir).settled()
     return health.stage_counts({"raw": s.raw, "unique": s.unique, "candidates": s.candidates, "dated": s.dated, "final": s.final})
 
 
 def run_health(spark, sf_dir):
-    log = fetch_log(spark, sf_dir)
+    log = settled(fetch_log(spark, sf_dir), "fetch-log")
     s, failed = stages(spark, sf_dir, log), health.failed_experts(log)
     lost = serp.failed_queries(s.manifest, log).join(failed, ["kol_id", "roster_seq"], "left_anti")
-    return health.summary(s.roster, s.final, failed, lost).select("total_kols", "kols_failed", "queries_failed", "kols_zero_results", "total_results", "degraded")
+    final = settled(s.final.drop("body_text"), "final")
+    return health.summary(s.roster, final, failed, lost).select("total_kols", "kols_failed", "queries_failed", "kols_zero_results", "total_results", "degraded")
 
 
 def promote_output(spark, sf_dir):
