@@ -60,7 +60,8 @@ def entropy_windows(text: str, width: int, least: float) -> list[tuple[int, int]
     """Joined windows of text whose Shannon entropy, in bits per character, is at least least."""
     if len(text) < width:
         return []
-    part = [0.0] + [n * math.log2(n) for n in range(1, width + 1)]  # H = log2(w) - sum(n log2 n) / w
+    # H = log2(w) - sum(n log2 n) / w; a count is one above the width before the character that leaves is taken off.
+    part = [0.0] + [n * math.log2(n) for n in range(1, width + 2)]
     counts: dict[str, int] = {}
     total, most, spans = 0.0, (math.log2(width) - least) * width + 1e-9, []
     for i, ch in enumerate(text):
