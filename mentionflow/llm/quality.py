@@ -50,7 +50,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     once = np.r_[True, ~(blank[1:] & blank[:-1])]  # runs of blanks count as one
     chars, doc = chars[once], doc[once]
     for n in GRAMS:
-        if len(chars) <= n:
+        if len(chars) < n:
             continue
         h = np.zeros(len(chars) - n + 1, np.uint64)
         for j in range(n):
