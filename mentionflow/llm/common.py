@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,19 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def smaller(batches, column: str = "text", most: int = 2_000_000):
+    """Record batches cut so that each has about so many bytes of the column, one row at least. What a task makes of a batch
+    is several times as large as the batch, so batches of ten thousand rows are too large to take at once."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = size[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(size, before + most, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def or_empty(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

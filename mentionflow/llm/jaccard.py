@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, Scratch, or_empty, table
+from .common import BLANKS, Scratch, or_empty, smaller, table
 
 WORDS, THRESHOLD, TOLERANCE = 5, "0.8", 1e-9
 BANDS, BAND_ROWS, STEP = 32, 4, 32
@@ -113,7 +113,7 @@ SIGNED = "rid long, doc_id long, h1 long, h2 long, words long, bands array<long>
 
 def signed(batches):
     known, n = WordHash(), TaskContext.get().partitionId() << 40
-    for batch in batches:
+    for batch in smaller(batches):
         texts = batch["text"].to_pylist()
         for a, b in slices(texts):
             hashes, ends = shingles(texts[a:b], known)

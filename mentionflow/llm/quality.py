@@ -13,13 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import or_empty, table
+from .common import or_empty, smaller, table
 
 #: Feature buckets (power of two), vector size, character n-grams, labelled rows of each class at most.
 BUCKETS, DIM, GRAMS, TRAIN_ROWS = 1 << 17, 16, (2, 3, 4), 2000
 EPOCHS, RATE, SEED, THRESHOLD = 5, 0.5, 7, 0.7
 #: Code points that one vectorised step hashes.
-STEP_CHARS = 1_000_000
+STEP_CHARS = 200_000
 PRIME = np.uint64(0x100000001B3)
 POWERS = np.cumprod(np.r_[np.uint64(1), np.full(255, PRIME, np.uint64)], dtype=np.uint64)
 
@@ -88,7 +88,7 @@ def steps(texts: list[str]):
 
 
 def feature_counts(batches):
-    for batch in batches:
+    for batch in smaller(batches):
         for label, text in zip(batch["label"].to_pylist(), batch["text"].to_pylist(), strict=True):
             _, found = features([text])
             ids, n = np.unique(found, return_counts=True)
@@ -157,7 +157,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str])
 
     def scored(batches):
         logit, bias = shared.value
-        for batch in batches:
+        for batch in smaller(batches):
             texts = [t or "" for t in batch["text"].to_pylist()]
             z = np.zeros(len(texts))
             for a, b in steps(texts):
