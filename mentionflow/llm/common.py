@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space that separates words and is squeezed before texts are compared.
@@ -65,6 +65,21 @@ def or_empty(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def key_of(*columns: Column | str) -> Column:
+    """One text that tells rows with different values apart, nulls too: joins and windows on it need one shuffle."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in columns]
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.replace(c.cast("string"), F.lit("|"), F.lit("||"))), F.lit("-")) for c in cols])
+
+
+def first_of_each(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
+    """Of the rows of docs with a key (not null) that kept (one column, _kept, no value twice) has, one for each key. Rows
+    of one key are moved once, for the join, and are still together for the window."""
+    joined = docs.withColumn("_key", key).join(kept.withColumnRenamed("_kept", "_key"), "_key")
+    others = [c for c in docs.columns if c != "text"]
+    first = Window.partitionBy("_key").orderBy(*others, F.xxhash64("text"))
+    return joined.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*docs.columns)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS, Scratch, or_empty, table
+from .common import BLANKS, Scratch, first_of_each, key_of, or_empty, table
 
 RUN = "part int, run long, digest string, n_bytes long, keep_id long, n long"
 #: Digests that a range holds at most on average.
@@ -93,16 +93,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, one of each group; of rows repeated with one id, one stays."""
-    from pyspark.sql import Window
-
-    kept = exact_groups(docs).filter("kept").select("doc_id", "text_sha256").distinct()
-    marked = docs.withColumn("_sha", F.sha2(normalised(), 256)).join(
-        kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept")),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept")),
-    )
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    first = Window.partitionBy("_id", "_kept").orderBy(*others, F.xxhash64("text"))
-    return marked.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*docs.columns)
+    kept = exact_groups(docs).filter("kept").select(key_of("doc_id", "text_sha256").alias("_kept")).distinct()
+    return first_of_each(docs, kept, key_of("doc_id", F.sha2(normalised(), 256)))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS, Scratch, or_empty, smaller, table
+from .common import BLANKS, Scratch, first_of_each, key_of, or_empty, smaller, table
 
 WORDS, THRESHOLD, TOLERANCE = 5, "0.8", 1e-9
 BANDS, BAND_ROWS, STEP = 32, 4, 32
@@ -351,12 +351,8 @@ def similar_documents(docs: DataFrame, threshold: str = THRESHOLD, tolerance: fl
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:
     """The rows of docs with their class's smallest id; of rows repeated with one id, one stays."""
-    kept = similar_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("h1").alias("_h1")).distinct()
-    marked = docs.withColumn("_h", F.xxhash64(F.trim(F.regexp_replace(or_empty("text"), BLANKS, " "))))
-    joined = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_h1")))
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    first = Window.partitionBy("_id", "_h1").orderBy(*others, F.xxhash64("text"))
-    return joined.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*docs.columns)
+    kept = similar_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key_of("doc_id", "h1").alias("_kept")).distinct()
+    return first_of_each(docs, kept, key_of("doc_id", F.xxhash64(F.trim(F.regexp_replace(or_empty("text"), BLANKS, " ")))))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

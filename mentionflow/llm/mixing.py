@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NON_BLANKS, Scratch, table
+from .common import NON_BLANKS, Scratch, key_of, table
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
@@ -129,13 +129,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     documents and share what the mix takes of them."""
     scratch = Scratch(docs.sparkSession, "mixing")
     words = F.coalesce(F.regexp_count("text", F.lit(NON_BLANKS)), F.lit(0)).cast("long")
-    plan = mix(docs, scratch).filter("times > 0").groupBy("doc_id", "source", "size").agg(F.sort_array(F.collect_list("times"), asc=False).alias("times"))
-    rows = docs.withColumn("_size", words).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d._size") == F.col("p.size"))
-    nth = Window.partitionBy("d.doc_id", "d.source", "d._size").orderBy(F.xxhash64("d.text"))
-    joined = rows.join(plan.alias("p"), same).withColumn("_n", F.row_number().over(nth))
-    times = F.coalesce(F.get(F.col("p.times"), F.col("_n") - 1), F.lit(0))
-    return joined.withColumn("_times", F.array_repeat(F.lit(1), times)).withColumn("_one", F.explode("_times")).select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    plan = mix(docs, scratch).filter("times > 0").groupBy(key_of("doc_id", "source", "size").alias("_key")).agg(F.sort_array(F.collect_list("times"), asc=False).alias("_times"))
+    joined = docs.withColumn("_key", key_of("doc_id", "source", words)).join(plan, "_key")
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text")))
+    times = F.coalesce(F.get("_times", nth - 1), F.lit(0))
+    return joined.withColumn("_n", times).withColumn("_one", F.explode(F.array_repeat(F.lit(1), F.col("_n")))).select(*docs.columns)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
