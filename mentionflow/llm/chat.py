@@ -174,3 +174,22 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("loss_text"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def _sql() -> str:
+    said = "</s>[INST] ok [/INST]"
+    body = rf"regexp_replace(text, '([<\[])(\\*)({_rest()})', '\1\\\2\3', 'g')"
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{said}' UNION ALL SELECT -7, 1, 'assistant', '{said}'
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       CAST(sum({len(START) + 1 + len(END)} + length(role) + length({body})) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+OP1_SQL = _sql()

@@ -16,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_chat_format": chat.OP1_SQL,
     "op2_warc_convert": warc.OP2_SQL,
     "op3_exact_dedup": dedup.OP3_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
