@@ -38,8 +38,8 @@ def flattened(items: DataFrame) -> DataFrame:
 
 
 def first_by_url(results: DataFrame) -> DataFrame:
-    """Per expert the first result of each URL (blanks at its ends don't count)."""
-    order = ["cluster_no", "item_pos", "result_pos"]
+    """Per expert the first result of each URL (blanks at its ends don't count); of two in one place, the smaller URL."""
+    order = ["cluster_no", "item_pos", "result_pos", "url"]
     rest = [c for c in results.columns if c not in EXPERT]
     # min_by combines within each task before anything is shuffled.
     one = F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import url as U
 from ..functions.text import let
 
-ORDER = ["cluster_no", "item_pos", "result_pos"]
+ORDER = ["cluster_no", "item_pos", "result_pos", "url"]
 
 
 def usable(results: DataFrame) -> DataFrame:

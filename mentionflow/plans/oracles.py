@@ -202,7 +202,7 @@ published AS (
   SELECT p.kol_id, p.cluster_no, 1000000000 AS item_pos, row_number() OVER (PARTITION BY p.kol_id, p.cluster_no ORDER BY page_id, p.url) - 1 AS result_pos, url, title, description, date_text
   FROM published p WHERE k % 4 = 0 AND page_id % 2 = 0
 ), first_hits AS (
-  SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY kol_id, trim(url) ORDER BY cluster_no, item_pos, result_pos) AS n FROM flat) WHERE n = 1
+  SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY kol_id, trim(url) ORDER BY cluster_no, item_pos, result_pos, url) AS n FROM flat) WHERE n = 1
 )"""
 SERP_ATTRIBUTION = X.with_tables(
     X.RESULTS, X.SERP, ITEMS,
@@ -256,7 +256,7 @@ RUN = (
     X.RESULTS, X.SERP, ITEMS, PROCESSED, CANDIDATE_ROWS,
     f"plain_meta AS (SELECT url AS meta_url, {_TITLE} AS m_title FROM pages), enriched AS (SELECT c.* EXCLUDE (title), coalesce(nullif(m_title, ''), title) AS title FROM candidates c LEFT JOIN plain_meta ON meta_url = c.url AND platform = 'Website')",
     "decided AS (SELECT *, {} AS keep, {} AS reason FROM enriched)".format(*_decision(9)),
-    f"""final_rows AS (SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY kol_id, norm_url ORDER BY cluster_no, item_pos, result_pos) AS n FROM decided WHERE keep AND {_usable()}) WHERE n = 1)""",
+    f"""final_rows AS (SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY kol_id, norm_url ORDER BY cluster_no, item_pos, result_pos, url) AS n FROM decided WHERE keep AND {_usable()}) WHERE n = 1)""",
 )
 MONITOR_OUTPUT = X.with_tables(
     *RUN, select="SELECT kol_id, url, norm_url, title, description, author, date_text AS published_date, host AS source, platform, activity_type, CAST(cluster_no AS INT) AS cluster_no FROM final_rows"

@@ -38,6 +38,14 @@ def test_merged_items_and_first_by_url(spark):
     assert sorted(r.url for r in flat.collect()) == ["https://a/1", "https://a/3"]
 
 
+def test_first_by_url_of_results_in_one_place(spark):
+    """Two items in one place with one URL but for blanks: the smaller spelling stays, in whatever order they come."""
+    both = [item(0, [{"url": "https://a/1 "}]), item(0, [{"url": "https://a/1"}])]
+    for rows in (both, both[::-1]):
+        flat = serp.flattened(serp.attributed(spark.createDataFrame(rows, ITEM), chunks(spark, "q")))
+        assert [r.url for r in serp.first_by_url(flat).collect()] == ["https://a/1"]
+
+
 def test_processed(spark):
     roster = spark.createDataFrame([("K1", 1, "Ann Lee")], "kol_id string, roster_seq int, kol_name string")
     rows = [item(0, [{"url": "https://x.com/a", "title": "Ann Lee | hi", "snippet": "s", "date": "today", "position": "0"}])]
