@@ -99,7 +99,8 @@ def arc_records(data: bytes):
         if data[at : at + 1] in (b"\n", b"\r"):
             at += 1
             continue
-        line, _, _ = data[at : at + 65536].partition(b"\n")
+        end = data.find(b"\n", at)
+        line = data[at : end if end >= 0 else len(data)]
         fields = line.decode("utf-8", "replace").rstrip("\r").split(" ")
         if fields[0].startswith("filedesc://"):
             names = ["URL", *["-"] * (len(fields) - 2), "Archive-length"]

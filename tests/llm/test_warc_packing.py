@@ -29,7 +29,7 @@ def test_pages_with_copies(spark):
     import hashlib
 
     big = "é<\r\n\r\nWARC/1.1\r\n" * 20
-    rows = [(1, "u1", big), (2, "u 2", big), (3, None, big), (4, "u4", "small"), (5, "u5", "small"), (6, "u6", None), (7, "u7", ""), (1, "again", big), (None, "n", big), (8, "u8", "x" * 100), (9, "u9", "x" * 100), (10, "u10", "x" * 99), (11, "u11", "x" * 99)]
+    rows = [(1, "u1", big), (2, "u 2", big), (3, None, big), (4, "u4", "small"), (5, "u5", "small"), (6, "u6", None), (7, "u7", ""), (1, "again", big), (None, "n", big), (8, "u8", "x" * 100), (9, "u9", "x" * 100), (10, "u10", "x" * 99), (11, "u11", "x" * 99), (12, "u/" + "é" * 40_000, "after a long url")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, payload string")
     got = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.archived(df.repartition(3)).collect()), key=str)
     want = []
