@@ -169,7 +169,7 @@ def is_ipv4(value: str) -> bool:
     return all(int(p) < 256 and p == str(int(p)) for p in value.split("."))
 
 
-ISO, DAY_FIRST = re.compile(r"(\d{4})([-/.])(\d\d)\2(\d\d)"), re.compile(r"(\d\d)([-/.])(\d\d)\2(\d{4})")
+ISO, DAY_FIRST = re.compile(r"([0-9]{4})([-/.])([0-9][0-9])\2([0-9][0-9])"), re.compile(r"([0-9][0-9])([-/.])([0-9][0-9])\2([0-9]{4})")
 
 
 def day_of(value: str) -> tuple[datetime.date, str] | None:
@@ -204,12 +204,12 @@ def date(value: str, key: bytes, undo: bool) -> str:
 #: Kinds in the order in which they are tried at a place: pattern, validator, permutation.
 KINDS: dict[str, tuple[str, Callable[[str], bool], Callable[[str, bytes, bool], str]]] = {
     "email": (r"(?<![\w.%+-])[\w%+-](?:[\w.%+-]*[\w%+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,24}(?![\w-])", lambda v: True, email),
-    "iban": (r"(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", is_iban, iban),
-    "ipv4": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", is_ipv4, ipv4),
-    "date": (r"(?<![\w./-])(?:\d{4}([-/.])\d\d\1\d\d|\d\d([-/.])\d\d\2\d{4})(?![\w/-]|\.\d)", is_date, date),
-    "ssn": (r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])", is_ssn, ssn),
-    "number": (r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)", lambda v: len({c for c in v if not c.isdigit()}) <= 1, number),
-    "phone": (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{2,4}|\d{2,4}(?=[ .-]\d{2,4}[ .-]\d)|(?<=\+)\d{6,14}|(?<=\+\d)[ .-]?\d{6,12})(?:[ .-]\d{2,4}){0,4}(?![\w-])", is_phone, phone),
+    "iban": (r"(?<!\w)[A-Z]{2}[0-9][0-9](?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", is_iban, iban),
+    "ipv4": (r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])", is_ipv4, ipv4),
+    "date": (r"(?<![\w./-])(?:[0-9]{4}([-/.])[0-9][0-9]\1[0-9][0-9]|[0-9][0-9]([-/.])[0-9][0-9]\2[0-9]{4})(?![\w/-]|\.[0-9])", is_date, date),
+    "ssn": (r"(?<![\w-])[0-9]{3}-[0-9][0-9]-[0-9]{4}(?![\w-])", is_ssn, ssn),
+    "number": (r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-]|\.[0-9])", lambda v: len({c for c in v if not c.isdigit()}) <= 1, number),
+    "phone": (r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{2,4}|[0-9]{2,4}(?=[ .-][0-9]{2,4}[ .-][0-9])|(?<=\+)[0-9]{6,14}|(?<=\+[0-9])[ .-]?[0-9]{6,12})(?:[ .-][0-9]{2,4}){0,4}(?![\w-])", is_phone, phone),
 }
 CANDIDATE = re.compile(r"[@0-9]")
 PATTERNS = {kind: re.compile(pattern) for kind, (pattern, _, _) in KINDS.items()}
