@@ -227,8 +227,12 @@ def found_in(text: str) -> list[tuple[int, int, str]]:
             continue
         valid = KINDS[kind][1]
         own = [(*m.span(), kind) for m in pattern.finditer(text) if valid(m.group())]
-        for s, e, _ in own:  # what is found is out of the later patterns' way
-            text = text[:s] + TAKEN * (e - s) + text[e:]
+        if own:  # what is found is out of the later patterns' way
+            parts, last = [], 0
+            for s, e, _ in own:
+                parts += [text[last:s], TAKEN * (e - s)]
+                last = e
+            text = "".join(parts) + text[last:]
         found += own
     return sorted(found)
 
