@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, CalendarIntervalType, DataType, MapType, StructType, VariantType
 
 #: White space that separates words and is squeezed before texts are compared.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -71,13 +72,34 @@ def key_of(*columns: Column | str) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.replace(c.cast("string"), F.lit("|"), F.lit("||"))), F.lit("-")) for c in cols])
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_row(docs: DataFrame) -> Column:
+    """All columns as one, so that columns beside it may have any names; select("row.*") brings them back."""
+    return F.struct(*[quoted(c) for c in docs.columns]).alias("row")
+
+
+def sortable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(sortable(f.dataType) for f in kind.fields)
+    return sortable(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType, CalendarIntervalType))
+
+
+def row_order(docs: DataFrame) -> list[Column]:
+    """An order of rows by all columns of "row", so that which of several stays is no chance; texts count by their hash."""
+    fields = [(f, F.col("row").getField(f.name)) for f in docs.schema.fields if f.name != "text"]
+    return [c if sortable(f.dataType) else F.to_json(F.struct(c.alias("v"))) for f, c in fields] + [F.xxhash64(F.col("row").getField("text"))]
+
+
 def first_of_each(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
-    """Of the rows of docs with a key (not null) that kept (one column, _kept, no value twice) has, one for each key. Rows
+    """Of the rows of docs with a key (not null) that kept (one column, key, no value twice) has, one for each key. Rows
     of one key are moved once, for the join, and are still together for the window."""
-    joined = docs.withColumn("_key", key).join(kept.withColumnRenamed("_kept", "_key"), "_key")
-    others = [c for c in docs.columns if c != "text"]
-    first = Window.partitionBy("_key").orderBy(*others, F.xxhash64("text"))
-    return joined.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*docs.columns)
+    joined = docs.select(key.alias("key"), as_row(docs)).join(kept, "key")
+    first = Window.partitionBy("key").orderBy(*row_order(docs))
+    return joined.withColumn("n", F.row_number().over(first)).filter("n = 1").select("row.*")
 
 
 def partitions(spark: SparkSession) -> int:

@@ -93,7 +93,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, one of each group; of rows repeated with one id, one stays."""
-    kept = exact_groups(docs).filter("kept").select(key_of("doc_id", "text_sha256").alias("_kept")).distinct()
+    kept = exact_groups(docs).filter("kept").select(key_of("doc_id", "text_sha256").alias("key")).distinct()
     return first_of_each(docs, kept, key_of("doc_id", F.sha2(normalised(), 256)))
 
 

@@ -2,13 +2,20 @@
 
 Texts are sets of five-word shingles; two are linked if their Jaccard similarity is 0.8 or more. Copies (the
 same words) are one node. Every node gets a MinHash signature; nodes that agree in a band of it meet in a
-bucket. Two hashes of a bucket's members can only be compared where both are, so buckets are joined up to
-connected components, and the texts of a component (many small ones at once) go to one task. A component
-that is too large goes by buckets instead, and a bucket that is too large by pairs of blocks. In a task, each
-pair is looked at in the first band in which it agrees: signatures are compared a few values at a time, the pair
-is dropped once the posterior probability of its similarity reaching the threshold is below the tolerance, and
-what is left is verified on the shingles themselves. Tasks return links per node and a spanning forest, never
-pairs, so a group of n near copies makes n rows.
+bucket. Nodes are numbered at random, and the smallest number among all nodes that a node meets is its home; a
+ball is the nodes of one home (its core) and all that these meet (its shell). So each node counts its links in one
+ball, and a group of near copies is a few balls, however many buckets its nodes share. Balls are compared in
+a task each, many small ones in one: signatures are compared a few values at a time, a pair is dropped once
+the posterior probability of its similarity reaching the threshold is below the tolerance, and what is left
+is verified on the shingles themselves.
+
+A ball too large for a task is first compared with its home alone, in as many tasks as it needs. From home P a
+text x has lost r and gained a shingles. Texts x and y share |P| - r_x - r_y + s shingles, where s is what both
+lost and both gained, so they are linked if num (a_x + a_y) + den (r_x + r_y) - (den - num) |P| is at most
+(num + den) s, for a threshold of num / den. With w = num a + den r, all pairs whose w add up to (den - num) |P| at
+most are linked whatever s is, and counted from a histogram of w: near copies close to their home are never
+paired. Only nodes that this leaves undecided go on, to pairs of blocks, and there only undecided pairs are looked at.
+Tasks return links per node and a spanning forest, never pairs.
 
 With 32 bands of 4 values, a pair at the threshold shares no band with probability 5e-8; the tolerance is 1e-9.
 """
@@ -22,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import BLANKS, Scratch, first_of_each, key_of, or_empty, smaller, table
@@ -30,8 +37,9 @@ from .common import BLANKS, Scratch, first_of_each, key_of, or_empty, smaller, t
 WORDS, THRESHOLD, TOLERANCE = 5, "0.8", 1e-9
 BANDS, BAND_ROWS, STEP = 32, 4, 32
 HASHES = BANDS * BAND_ROWS
-#: Texts and words that a task takes on at once; words that one vectorised step hashes; words remembered.
-UNIT_DOCS, UNIT_WORDS, STEP_WORDS, KNOWN_WORDS = 2000, 1_000_000, 100_000, 400_000
+#: Texts and words of a ball that one task compares, and of a block of a larger one; words that one vectorised step
+#: hashes; words remembered.
+BALL_DOCS, BALL_WORDS, BLOCK_DOCS, BLOCK_WORDS, STEP_WORDS, KNOWN_WORDS = 600, 600_000, 2000, 600_000, 100_000, 400_000
 
 _rng = np.random.default_rng(20240131)
 ODD = (_rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32) | np.uint32(1)
@@ -108,7 +116,7 @@ def slices(texts: list[str]):
         yield start, len(texts)
 
 
-SIGNED = "rid long, doc_id long, h1 long, h2 long, words long, bands array<long>"
+SIGNED = "rid long, doc_id long, h1 long, h2 long, text string, words long, bands array<long>"
 
 
 def signed(batches):
@@ -123,9 +131,9 @@ def signed(batches):
             # A text without words is in no bucket.
             offsets = np.r_[0, np.cumsum(np.where(some, BANDS, 0))].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].ravel()))
-            rids = pa.array(np.arange(n, n + b - a))
+            rids = pa.array(scrambled(np.arange(n, n + b - a).astype(np.uint64)).view(np.int64))  # different, and in no order
             n += b - a
-            yield pa.RecordBatch.from_arrays([rids, *(batch[c].slice(a, b - a) for c in ("doc_id", "h1", "h2")), pa.array(words), lists], ["rid", "doc_id", "h1", "h2", "words", "bands"])
+            yield pa.RecordBatch.from_arrays([rids, *(batch[c].slice(a, b - a) for c in ("doc_id", "h1", "h2", "text")), pa.array(words), lists], ["rid", "doc_id", "h1", "h2", "text", "words", "bands"])
 
 
 def least_matches(threshold: float, tolerance: float) -> list[int]:
@@ -162,9 +170,8 @@ class Unit:
         self.mark = np.zeros(int(self.tokens.max(initial=0)) + 1, bool)
         self.links = np.zeros(len(nodes), np.int64)
         self.parent = list(range(len(nodes)))
-        t = Fraction(threshold)
-        self.num, self.den = t.numerator, t.denominator
-        self.least = least_matches(float(t), tolerance)
+        self.num, self.den = ratio(threshold)
+        self.least = least_matches(self.num / self.den, tolerance)
 
     def find(self, x: int) -> int:
         while self.parent[x] != x:
@@ -175,57 +182,61 @@ class Unit:
     def set_of(self, x: int) -> np.ndarray:
         return self.tokens[self.ends[x] - self.size[x] : self.ends[x]]
 
-    def look_at(self, x: int, others: np.ndarray, band: int) -> None:
-        """Pairs of x with others, all of which agree in this band."""
-        if band:
-            others = others[~(self.keys[others, :band] == self.keys[x, :band]).any(axis=1)]
+    def linked(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Those of others that are linked to x."""
         small, large = np.minimum(self.size[others], self.size[x]), np.maximum(self.size[others], self.size[x])
         others = others[small * self.den >= large * self.num]
+        others = others[(self.keys[others] == self.keys[x]).any(axis=1)]
         same = np.zeros(len(others), np.int64)
         for k, least in enumerate(self.least):
             if not len(others):
-                return
+                return others
             part = slice(k * STEP, (k + 1) * STEP)
             same = same + (self.signature[others, part] == self.signature[x, part]).sum(axis=1)
             keep = same >= least
             others, same = others[keep], same[keep]
         if not len(others):
-            return
+            return others
         own = self.set_of(x)
         self.mark[own] = True
         n = self.size[others]
         hits = self.mark[np.concatenate([self.set_of(y) for y in others.tolist()])]
         shared = np.add.reduceat(hits.astype(np.int64), np.cumsum(n) - n)
         self.mark[own] = False
-        linked = others[shared * self.den >= (n + self.size[x] - shared) * self.num]
-        self.links[x] += len(linked)
-        self.links[linked] += 1
-        for y in linked.tolist():
-            a, b = self.find(x), self.find(y)
-            if a != b:
-                self.parent[max(a, b)] = min(a, b)
-
-    def bucket(self, members: np.ndarray, band: int, block: np.ndarray | None = None) -> None:
-        """All pairs of members, or those of different blocks."""
-        if block is None:
-            for k in range(len(members) - 1):
-                self.look_at(int(members[k]), members[k + 1 :], band)
-        else:
-            right = members[block == block.max()]
-            for x in members[block != block.max()].tolist():
-                self.look_at(x, right, band)
-
-    def all_buckets(self, members: np.ndarray) -> None:
-        for band in range(BANDS):
-            key = self.keys[members, band]
-            order = np.argsort(key, kind="stable")
-            for run in np.split(members[order], np.flatnonzero(np.diff(key[order])) + 1):
-                if len(run) > 1:
-                    self.bucket(run, band)
-
-
-UNIT_ROW = "unit long, node long, text string, b long, i int, j int, block int"
+        return others[shared * self.den >= (n + self.size[x] - shared) * self.num]
+
+    def ball(self, at: np.ndarray, core: np.ndarray, block: np.ndarray, w: np.ndarray, limit: int) -> None:
+        """Links of the core of a ball with all of it, or with those of the other block if there are two. Pairs whose w
+        add up to no more than limit are counted already."""
+        order = np.lexsort((~core, block))  # a node comes after those whose pairs with it are its own to count
+        at, core, block, w = at[order], core[order], block[order], w[order]
+        second = int(np.searchsorted(block, block[-1])) if block[0] != block[-1] else 0
+        for k in range(second if second else len(at)):
+            others = np.arange(second if second else k + 1, len(at))
+            if not core[k]:
+                others = others[core[others]]
+            others = others[w[others] + w[k] > limit]
+            if not len(others):
+                continue
+            x, hits = int(at[k]), np.zeros(len(self.nodes), bool)
+            hits[self.linked(x, at[others])] = True
+            others = others[hits[at[others]]]
+            if core[k]:
+                self.links[x] += len(others)
+            self.links[at[others[core[others]]]] += 1
+            for y in at[others].tolist():
+                a, b = self.find(x), self.find(y)
+                if a != b:
+                    self.parent[max(a, b)] = min(a, b)
+
+
+def ratio(threshold: str) -> tuple[int, int]:
+    t = Fraction(threshold)
+    return t.numerator, t.denominator
+
+
 FOUND = "node long, root long, links long"
+DELTA = "home long, node long, core boolean, words long, w long, top long"
 
 
 def verifier(threshold: str, tolerance: float):
@@ -233,28 +244,46 @@ def verifier(threshold: str, tolerance: float):
         nodes, first, index = np.unique(t["node"].to_numpy(), return_index=True, return_inverse=True)
         texts = t["text"].take(pa.array(first)).to_pylist()
         unit = Unit(nodes, texts, threshold, tolerance)
-        key, i, j, block = (t[c].fill_null(0).to_numpy() for c in ("b", "i", "j", "block"))
-        whole = t["b"].is_null().to_numpy()
-        if whole.any():
-            unit.all_buckets(np.unique(index[whole]))
-        rows = np.flatnonzero(~whole)
-        rows = rows[np.lexsort((nodes[index[rows]], j[rows], i[rows], key[rows]))]
-        cut = np.flatnonzero((np.diff(key[rows]) != 0) | (np.diff(i[rows]) != 0) | (np.diff(j[rows]) != 0)) + 1
-        for part in np.split(rows, cut) if len(rows) else []:
-            members, at = np.unique(index[part], return_index=True)
-            band = int(np.flatnonzero(unit.keys[members[0]] == key[part[0]])[0])
-            pairs = i[part[0]] != j[part[0]]
-            if not pairs:
-                unit.bucket(members, band)
-            elif len(np.unique(block[part])) > 1:
-                unit.bucket(members, band, block[part][at])
-        some = np.flatnonzero(unit.links)
-        roots = [unit.find(x) for x in some.tolist()]
-        return pa.table({"node": pa.array(nodes[some], pa.int64()), "root": pa.array(nodes[roots], pa.int64()), "links": pa.array(unit.links[some], pa.int64())})
+        home, core, i, j, block, w, top = (t[c].to_numpy() for c in ("home", "core", "i", "j", "block", "w", "top"))
+        rows = np.lexsort((nodes[index], j, i, home))
+        new = (np.diff(home[rows]) != 0) | (np.diff(i[rows]) != 0) | (np.diff(j[rows]) != 0)
+        for part in np.split(rows, np.flatnonzero(new) + 1):
+            if i[part[0]] == j[part[0]] or len(np.unique(block[part])) > 1:
+                unit.ball(index[part], core[part], block[part], w[part], int(top[part[0]]))
+        roots = np.array([unit.find(x) for x in range(len(nodes))])
+        some = np.flatnonzero((unit.links > 0) | (roots != np.arange(len(nodes))))
+        return pa.table({"node": pa.array(nodes[some], pa.int64()), "root": pa.array(nodes[roots[some]], pa.int64()), "links": pa.array(unit.links[some], pa.int64())})
 
     return verify
 
 
+def measurer(threshold: str):
+    """What each node of a part of a large ball has lost and gained from its home, whose text every part has."""
+    num, den = ratio(threshold)
+
+    def measure(t: pa.Table) -> pa.Table:
+        known, home = WordHash(), t["home"][0].as_py()
+        node, core, extra = (t[c].to_numpy() for c in ("node", "core", "extra"))
+        texts = t["text"].to_pylist()
+        at = int(np.flatnonzero(node == home)[0])
+        hashes, _ = shingles([texts[at]], known)
+        whole = np.unique(hashes)
+        w, words = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
+        for a, b in slices(texts):
+            hashes, ends = shingles(texts[a:b], known)
+            kept = whole[np.minimum(np.searchsorted(whole, hashes), len(whole) - 1)] == hashes
+            for k, (s, e) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True), a):
+                shared, own = len(np.unique(hashes[s:e][kept[s:e]])), len(np.unique(hashes[s:e]))
+                w[k], words[k] = num * (own - shared) + den * (len(whole) - shared), e - s
+        some = np.flatnonzero(~extra)
+        n = len(some)
+        return pa.table(
+            {"home": pa.array([home] * n, pa.int64()), "node": pa.array(node[some], pa.int64()), "core": pa.array(core[some], pa.bool_()), "words": pa.array(words[some], pa.int64()), "w": pa.array(w[some], pa.int64()), "top": pa.array([(den - num) * len(whole)] * n, pa.int64())}
+        )
+
+    return measure
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, label) of every node of edges (u, v): equal labels within a connected component.
 
@@ -288,70 +317,110 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select("doc_id", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"))
 
 
-def units_of(buckets: DataFrame, reps: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """node, unit, b, i, j, block: where each node's text goes. buckets: b, node, of two members or more."""
-    of = scratch.keep(labels.join(reps.select("node", "words"), "node"), "of")
-    sizes = of.groupBy("label").agg(F.count("*").alias("docs"), F.sum("words").alias("words"))
-    sizes = scratch.keep(sizes.withColumn("large", (F.col("docs") > UNIT_DOCS) | (F.col("words") > UNIT_WORDS)), "sizes")
-    total = sizes.filter("not large").agg(F.sum("docs").alias("docs"), F.sum("words").alias("words")).first()
-    n = max(1, -(-(total["docs"] or 0) // UNIT_DOCS), -(-(total["words"] or 0) // UNIT_WORDS))
-    none = F.lit(None).cast("long")
-    zero = [F.lit(0).alias(c) for c in ("i", "j", "block")]
-    placed = of.join(sizes.select("label", "large"), "label")
-    units = placed.filter("not large").select("node", F.pmod(F.xxhash64("label"), F.lit(n)).alias("unit"), none.alias("b"), *zero)
-    if sizes.filter("large").isEmpty():
-        return units
-    inside = buckets.join(placed.filter("large").select("node", "words"), "node")
-    width = inside.groupBy("b").agg(F.count("*").alias("docs"), F.sum("words").alias("total"))
-    blocks = F.ceil(F.greatest(F.col("docs") / (UNIT_DOCS / 2), F.col("total") / (UNIT_WORDS / 2))).cast("int")
-    inside = inside.join(width.withColumn("blocks", F.when((F.col("docs") > UNIT_DOCS) | (F.col("total") > UNIT_WORDS), blocks).otherwise(1)), "b")
-    # Buckets share units until these are as large as others; a node that is in several of a unit's buckets goes there once.
-    m = max(1, -(-(width.agg(F.sum("total")).first()[0] or 0) // UNIT_WORDS))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    split = inside.withColumn("block", block).withColumn("other", other).select("node", "b", "blocks", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    unit = F.when(F.col("blocks") > 1, F.xxhash64("b", "i", "j").bitwiseOR(F.lit(1 << 62))).otherwise(F.pmod(F.xxhash64("b"), F.lit(m)) + n)
-    return units.unionByName(split.select("node", unit.alias("unit"), "b", "i", "j", "block"))
-
-
-def similar_documents(docs: DataFrame, threshold: str = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+def buckets_of(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """b, low, node, words: the buckets of two nodes or more, low the smallest node there. nodes: node, words, bands."""
+    keyed = scratch.keep(nodes.select("node", "words", F.explode("bands").alias("b")), "keyed")
+    shared = keyed.groupBy("b").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1").select("b", "low")
+    return keyed.join(shared, "b")
+
+
+def balls(buckets: DataFrame, scratch: Scratch) -> DataFrame:
+    """home, node, core, words: the nodes of each ball. buckets: as buckets_of gives them."""
+    at_home = F.min("low").over(Window.partitionBy("node"))
+    placed = scratch.keep(buckets.select("b", "node", "words", at_home.alias("home")), "placed")
+    # Few homes meet in a bucket, as a home has the smallest number of all that its core meets.
+    homes = placed.groupBy("b").agg(F.collect_set("home").alias("homes"))
+    around = placed.join(homes, "b").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_set("homes"))).alias("homes"), F.min("home").alias("own"), F.max("words").alias("words"))
+    found = around.select(F.explode("homes").alias("home"), "node", "own", "words").select("home", "node", (F.col("home") == F.col("own")).alias("core"), "words")
+    found = scratch.keep(found, "balls")
+    scratch.drop("placed")
+    return found
+
+
+def in_parts(n: Column, words: Column, most: int, most_words: int) -> Column:
+    return F.greatest(F.ceil(n / most), F.ceil(words / most_words), F.lit(1)).cast("int")
+
+
+def sent(texts: DataFrame, places: DataFrame, columns: list[str]) -> DataFrame:
+    """places (node and columns) with the text of each node. Texts move once, whatever the number of a node's places."""
+    wanted = places.groupBy("node").agg(F.collect_list(F.struct(*columns)).alias("at"))
+    # Always a merge join: at some size texts would be shuffled anyway, and the plan should be the same at every size.
+    return texts.join(wanted.hint("merge"), "node").select("node", "text", F.inline("at"))
+
+
+def links_of(texts: DataFrame, near: DataFrame, scratch: Scratch, threshold: str, tolerance: float, ball: tuple[int, int], block: tuple[int, int]) -> DataFrame:
+    """node, root, links: parts of each node's number of links, and edges that join all that links join."""
+    sizes = near.groupBy("home").agg(F.count("*").alias("docs"), F.sum("words").alias("words"))
+    large = sizes.filter((F.col("docs") > ball[0]) | (F.col("words") > ball[1]))
+    large = scratch.keep(large.select("home", in_parts(F.col("docs"), F.col("words"), *ball).alias("parts")), "large")
+    small = near.join(large.select("home"), "home", "left_anti")
+    total = small.agg(F.count("*").alias("docs"), F.sum("words").alias("words")).first()
+    n = max(1, -(-total["docs"] // ball[0]), -(-(total["words"] or 0) // ball[1]))
+    none = [F.lit(0).alias(c) for c in ("i", "j", "block")]
+    whole = [F.lit(0).cast("long").alias("w"), F.lit(-1).cast("long").alias("top")]
+    columns = ["unit", "home", "core", "i", "j", "block", "w", "top"]
+    places = small.select(F.pmod(F.xxhash64("home"), F.lit(n)).alias("unit"), "node", "home", "core", *none, *whole)
+    verify = verifier(threshold, tolerance)
+    found = scratch.keep(sent(texts, places, columns).groupBy("unit").applyInArrow(verify, FOUND), "found")
+    if large.isEmpty():
+        return found
+
+    # Large balls: everything is measured from its home, in parts that all have the home's text.
+    inside = near.join(large, "home")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != part)
+    copies = F.when(F.col("node") == F.col("home"), others).otherwise(F.array().cast("array<int>"))
+    places = inside.select("node", "home", "core", F.explode(F.concat(F.array(F.struct(part.alias("part"), F.lit(False).alias("extra"))), F.transform(copies, lambda p: F.struct(p.alias("part"), F.lit(True).alias("extra"))))).alias("p"))
+    places = places.select("node", "home", "core", "p.*")
+    deltas = scratch.keep(sent(texts, places, ["home", "core", "part", "extra"]).groupBy("home", "part").applyInArrow(measurer(threshold), DELTA), "deltas")
+    counts = deltas.groupBy("home", "w").agg(F.count("*").alias("n"), F.max("top").alias("top"))
+    asked = counts.select("home", (F.col("top") - F.col("w")).alias("at"), F.lit(1).alias("later"), F.lit(0).cast("long").alias("n"), "w")
+    marks = counts.select("home", F.col("w").alias("at"), F.lit(0).alias("later"), "n", F.lit(None).cast("long").alias("w")).unionByName(asked)
+    upto = marks.withColumn("n", F.sum("n").over(Window.partitionBy("home").orderBy("at", "later").rowsBetween(Window.unboundedPreceding, 0))).filter("later = 1")
+    upto = upto.join(counts.groupBy("home").agg(F.max("w").alias("far")), "home").select("home", "w", F.col("n").alias("close"), "far")
+    marked = scratch.keep(deltas.join(upto, ["home", "w"]), "marked")
+    itself = F.when(F.col("w") * 2 <= F.col("top"), 1).otherwise(0)
+    direct = marked.filter(F.col("w") <= F.col("top")).select("node", F.col("home").alias("root"), F.when(F.col("core"), F.col("close") - itself).otherwise(0).cast("long").alias("links"))
+
+    # Only nodes with undecided pairs go on.
+    open_ = marked.filter(F.col("w") + F.col("far") > F.col("top"))
+    blocks = open_.groupBy("home").agg(in_parts(F.count("*"), F.sum("words"), *block).alias("blocks"))
+    split = open_.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    places = split.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).select(F.xxhash64("home", "i", "j").alias("unit"), "node", *columns[1:])
+    rest = scratch.keep(sent(texts, places, columns).groupBy("unit").applyInArrow(verify, FOUND), "rest")
+    return found.unionByName(direct).unionByName(rest)
+
+
+def similar_documents(docs: DataFrame, threshold: str = THRESHOLD, tolerance: float = TOLERANCE, ball: tuple[int, int] = (BALL_DOCS, BALL_WORDS), block: tuple[int, int] = (BLOCK_DOCS, BLOCK_WORDS)) -> DataFrame:
     """doc_id, class_id, n_links, copy_id, n_copies and h1, a row per row of docs.
 
     class_id: smallest id of the documents joined to it by links. n_links: other texts with a similarity of threshold or
     more; texts of the same words are copies (n_copies, itself too, smallest id copy_id) and count as one. Texts of
     fewer than five words are one shingle; null and blank texts are copies of each other and link to nothing. Null
-    ids are never the smallest if there is another; other columns are ignored.
+    ids are never the smallest if there is another; other columns are ignored, whatever their names. ball, block: texts
+    and words that a task takes on at once; they don't change the result.
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
-    texts = prepared(docs)
-    each = scratch.keep(texts.mapInArrow(signed, SIGNED), "signed")
+    each = scratch.keep(prepared(docs).mapInArrow(signed, SIGNED), "signed")
     reps = each.groupBy("h1", "h2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"), F.max("words").alias("words"))
     reps = scratch.keep(reps, "reps")
-    keyed = each.join(reps.select(F.col("node").alias("rid")), "rid").select(F.col("rid").alias("node"), F.explode("bands").alias("b"))
-    keyed = scratch.keep(keyed, "keyed")
-    shared = keyed.groupBy("b").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1").select("b", "low")
-    buckets = scratch.keep(keyed.join(shared, "b"), "buckets")
+    nodes = each.join(reps.select(F.col("node").alias("rid")), "rid").select(F.col("rid").alias("node"), "words", "bands")
+    near = balls(buckets_of(nodes, scratch), scratch)
     scratch.drop("keyed")
-    near = components(buckets.select(F.col("low").alias("u"), F.col("node").alias("v")), scratch, "near")
-    units = scratch.keep(units_of(buckets.select("b", "node"), reps, near, scratch), "units")
-    wanted = units.join(reps.select("node", "h1", "h2", "copy_id"), "node")
-    wanted = wanted.groupBy("h1", "h2", "copy_id", "node").agg(F.collect_list(F.struct("unit", "b", "i", "j", "block")).alias("at"))
-    wanted = scratch.keep(wanted, "wanted")
-    same = (F.col("t.h1") == F.col("w.h1")) & (F.col("t.h2") == F.col("w.h2")) & F.col("t.doc_id").eqNullSafe(F.col("w.copy_id"))
-    # Always a merge join: at some size texts would be shuffled anyway, and the plan should be the same at every size.
-    sent = texts.alias("t").join(wanted.hint("merge").alias("w"), same).select("w.node", "t.text", F.inline("w.at")).select("unit", "node", "text", "b", "i", "j", "block")
-    found = scratch.keep(sent.groupBy("unit").applyInArrow(verifier(threshold, tolerance), FOUND), "found")
+    found = links_of(each.select(F.col("rid").alias("node"), "text"), near, scratch, threshold, tolerance, ball, block)
     linked = components(found.select(F.col("root").alias("u"), F.col("node").alias("v")), scratch, "linked")
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     placed = reps.join(linked, "node", "left").join(links, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = placed.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     classes = scratch.keep(placed.join(lowest, "label").select("h1", "h2", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "copy_id", "n_copies"), "classes")
+    for step in ("balls", "large", "found", "deltas", "marked", "rest", "reps", "linked-labels"):
+        scratch.drop(step)
     return each.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "class_id", "n_links", "copy_id", "n_copies", "h1")
 
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:
     """The rows of docs with their class's smallest id; of rows repeated with one id, one stays."""
-    kept = similar_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key_of("doc_id", "h1").alias("_kept")).distinct()
+    kept = similar_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(key_of("doc_id", "h1").alias("key")).distinct()
     return first_of_each(docs, kept, key_of("doc_id", F.xxhash64(F.trim(F.regexp_replace(or_empty("text"), BLANKS, " ")))))
 
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from mentionflow.llm import iblt, jaccard, pii, quality, secrets
 
@@ -46,8 +47,8 @@ def near_by_hand(rows, threshold=0.8):
     return sorted(out, key=str)
 
 
-def near(df):
-    return sorted((tuple(r)[:5] for r in jaccard.similar_documents(df).collect()), key=str)
+def near(df, **limits):
+    return sorted((tuple(r)[:5] for r in jaccard.similar_documents(df, **limits).collect()), key=str)
 
 
 def edited(rng, text, n):
@@ -72,10 +73,25 @@ def test_similar_documents(spark, docs, corpus):
     assert near(docs(rows)) == near_by_hand(rows)
 
 
-def test_large_groups_go_by_buckets_and_blocks(spark, docs, corpus, monkeypatch):
-    monkeypatch.setattr(jaccard, "UNIT_DOCS", 16)
-    monkeypatch.setattr(jaccard, "UNIT_WORDS", 3000)
-    assert near(docs(corpus)) == near_by_hand(corpus)
+@pytest.mark.parametrize("ball, block", [((16, 3000), (10, 1500)), ((1, 1), (40, 10**6)), ((30, 10**6), (1000, 10**6))])
+def test_large_groups_go_by_their_home_and_by_blocks(spark, docs, corpus, ball, block):
+    assert near(docs(corpus), ball=ball, block=block) == near_by_hand(corpus)
+
+
+def test_rows_of_a_node_do_not_grow_with_its_group(spark, docs):
+    """A text of a group of near copies is sent once if the group is close, and to few blocks if not."""
+    from mentionflow.llm.common import Scratch
+
+    rng = random.Random(3)
+    base = " ".join(f"h{rng.randrange(900)}" for _ in range(300))
+    rows = list(enumerate((edited(rng, base, 1) for _ in range(900)), 1))
+    got = jaccard.similar_documents(docs(rows), ball=(50, 10**6), block=(50, 10**6)).collect()
+    distinct = len({t for _, t in rows})
+    assert {r.n_links for r in got} == {distinct - 1} and {r.class_id for r in got} == {1}
+    scratch = Scratch(spark, "rows")
+    each = scratch.keep(jaccard.prepared(docs(rows)).mapInArrow(jaccard.signed, jaccard.SIGNED), "signed")
+    near_ = jaccard.balls(jaccard.buckets_of(each.select(F.col("rid").alias("node"), "words", "bands"), scratch), scratch)
+    assert near_.count() < 3 * distinct
 
 
 def test_no_rows_and_no_links(spark, docs):
