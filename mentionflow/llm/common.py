@@ -49,11 +49,11 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def smaller(batches, column: str = "text", most: int = 2_000_000):
-    """Record batches cut so that each has about so many bytes of the column, one row at least. What a task makes of a batch
+def smaller(batches, texts=lambda batch: batch["text"], most: int = 2_000_000):
+    """Record batches cut so that each has about so many bytes of texts, one row at least. What a task makes of a batch
     is several times as large as the batch, so batches of ten thousand rows are too large to take at once."""
     for batch in batches:
-        size = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        size = np.cumsum(pc.fill_null(pc.binary_length(texts(batch)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             before = size[start - 1] if start else 0

@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import or_empty, smaller, table
+from .common import as_row, or_empty, quoted, smaller, table
 
 #: Feature buckets (power of two), vector size, character n-grams, labelled rows of each class at most.
 BUCKETS, DIM, GRAMS, TRAIN_ROWS = 1 << 17, 16, (2, 3, 4), 2000
@@ -135,7 +136,9 @@ def fit(labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], dim: int
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """Fits on at most train_rows labelled documents of each class, those with the smallest hash of the id. Rows whose
-    crc32(doc_id as text) mod 4 is 2 are never used. A document with several labels has the lowest."""
+    crc32(doc_id as text) mod 4 is 2 are never used. A document with several labels has the lowest; of rows repeated with
+    one id the smallest text counts; null ids and labels that are neither 0 nor 1 are passed over, null texts are empty.
+    Without labels every text scores 0.5. Other columns of both tables are ignored, whatever their names."""
     marked = labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("label"))
     marked = marked.filter(~held_out(F.col("doc_id")))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -150,26 +153,47 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str]) -> DataFrame:
-    """columns of docs and score, one row per row of docs; null and empty texts score as the bias alone."""
-    spark = docs.sparkSession
+def scorer(spark: SparkSession, model: tuple[np.ndarray, float]):
+    """A function from texts (an Arrow array) to scores."""
     shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers, whatever the input
 
-    def scored(batches):
+    def scores(column: pa.Array) -> pa.Array:
         logit, bias = shared.value
+        texts = [t or "" for t in column.to_pylist()]
+        z = np.zeros(len(texts))
+        for a, b in steps(texts):
+            doc, found = features(texts[a:b])
+            n = np.bincount(doc, minlength=b - a)
+            z[a:b] = np.bincount(doc, weights=logit[found], minlength=b - a) / np.maximum(n, 1)
+        return pa.array(1 / (1 + np.exp(-np.clip(z + bias, -30, 30))), pa.float64())
+
+    return scores
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str]) -> DataFrame:
+    """columns of docs (text and others, none of them called score) and score, one row per row of docs, repeated rows too;
+    null and empty texts score as the bias alone; an empty table gives no rows."""
+    scores = scorer(docs.sparkSession, model)
+
+    def scored(batches):
         for batch in smaller(batches):
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            z = np.zeros(len(texts))
-            for a, b in steps(texts):
-                doc, found = features(texts[a:b])
-                n = np.bincount(doc, minlength=b - a)
-                z[a:b] = np.bincount(doc, weights=logit[found], minlength=b - a) / np.maximum(n, 1)
-            out = 1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in columns), pa.array(out, pa.float64())], [*columns, "score"])
-
-    rows = docs.select(*columns, *({"text"} - set(columns)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema.fields)
-    return rows.mapInArrow(scored, f"{schema}, score double")
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in columns), scores(batch["text"])], [*columns, "score"])
+
+    rows = docs.select(*map(quoted, columns), *map(quoted, {"text"} - set(columns)))
+    schema = StructType([*(docs.schema[c] for c in columns), StructField("score", DoubleType())])
+    return rows.mapInArrow(scored, schema)
+
+
+def accepted(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that score threshold or more, with all columns, whatever their names (score too)."""
+    scores = scorer(docs.sparkSession, model)
+
+    def scored(batches):
+        for batch in smaller(batches, lambda b: b["row"].field("text")):
+            yield pa.RecordBatch.from_arrays([batch["row"], scores(batch["row"].field("text"))], ["row", "score"])
+
+    rows = docs.select(as_row(docs))
+    return rows.mapInArrow(scored, StructType([rows.schema["row"], StructField("score", DoubleType())])).filter(F.col("score") >= threshold).select("row.*")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
