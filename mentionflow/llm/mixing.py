@@ -3,24 +3,26 @@
 Documents of a source queue up in a shuffled order (by a digest of the id). A document's virtual
 finish time is the source's words up to it divided by the source's target; half of the document is
 taken off, so that the document on a boundary falls to the nearer side. A source may be queued up to
-three times over. All queued documents are put in order of that time and the mix ends where the budget
-does. The order is never held in one task: running sums are taken within (source, digest prefix)
-buckets and within slices of virtual time, and only sums travel between them.
+three times over. All queued documents are range-sorted by that time, and what is after the budget is
+cut off. The order is never held in one task: running sums are taken within (source, digest prefix)
+buckets and by ranges of the sort, and only sums travel between them.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NON_BLANKS, Scratch, key_of, table
+from .common import NON_BLANKS, Scratch, as_row, key_of, partitions, row_order, table
 
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
-#: Rows of a source's bucket on average; slices of virtual time from one target to the next.
-BUCKET_ROWS, SLICES = 20_000, 4096
+#: Rows of a source's bucket and of a range of the sort on average.
+BUCKET_ROWS, RANGE_ROWS = 20_000, 1_000_000
+#: The order of the mix.
+ORDER = ("v", "source_rank", "key", "size", "epoch")
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
@@ -47,13 +49,20 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) ->
     return level.withColumn("target", F.coalesce(target, F.col("cap").cast("double"))).select("source", "source_rank", "source_size", "target")
 
 
+def words_in(text: str = "text") -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(NON_BLANKS)), F.lit(0)).cast("long")
+
+
 def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """doc_id, source, key, size, source_size, target, taken and times (how often the mix takes the row), a row
-    per row of docs, in no order. Null texts have size 0; a null source is a source of its own, last in order.
-    Rows of size 0 are taken 0 times. Ties in the shuffled order can only be rows of one id and size."""
-    key = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256)
-    size = F.coalesce(F.regexp_count("text", F.lit(NON_BLANKS)), F.lit(0)).cast("long")
-    sized = scratch.keep(docs.select("doc_id", "source", size.alias("size"), key.alias("key")), "sizes")
+    """doc_id, source, key, size, source_size, target, taken, times (how often the mix takes the row) and turns (its places
+    in the order of the mix, structs of ORDER), a row per row of docs, in no order.
+
+    Null texts have size 0; a null source is a source of its own, last in order. Rows of size 0 are taken 0 times; an empty
+    table gives no rows. Rows without an id are shuffled by their text; ties in the shuffled order can only be rows of
+    one id and size. Other columns are ignored, whatever their names.
+    """
+    key = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.col("text")), F.lit("-")), 256)
+    sized = scratch.keep(docs.select("doc_id", "source", words_in().alias("size"), key.alias("key")), "sizes")
     digits = max(2, math.ceil(math.log(max(1, sized.count()) / BUCKET_ROWS + 1, 16)))
     bucket = F.substring("key", 1, digits)
     buckets = sized.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
@@ -85,55 +94,43 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, epochs: int = EPOCHS
         .withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in range(epochs)])))
         .select("source_rank", "key", "size", "epoch", time(F.col("epoch")).alias("v"))
     )
-    last = last_turn(turns, budget)
-    if last is None:
-        times = F.lit(0)
-    else:
-        here = lambda e: F.struct(time(e).alias("v"), F.col("source_rank"), F.col("key"), F.col("size"), F.lit(e).alias("epoch"))
-        end = F.struct(F.lit(last["v"]).alias("v"), F.lit(last["source_rank"]).alias("source_rank"), F.lit(last["key"]).alias("key"), F.lit(last["size"]).alias("size"), F.lit(last["epoch"]).alias("epoch"))
-        times = F.when(F.col("size") > 0, sum((here(e) <= end).cast("int") for e in range(epochs))).otherwise(0)
-    return queued.withColumn("times", times).select("doc_id", "source", "key", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), F.col("times").cast("int").alias("times"))
-
-
-def last_turn(turns: DataFrame, budget: int):
-    """The last row of turns, in order of v, source_rank, key, size, epoch, up to which their sizes come to no more
-    than the budget. The slice of v that holds it is found from sums, then a slice of that slice; only the rows
-    of the last are sorted."""
-    low, width, taken = 0.0, 1.0 / SLICES, 0
-    for _ in range(2):
-        n = 4 * SLICES
-        slot = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(n)).cast("long")
-        sums = turns.groupBy(slot.alias("slot")).agg(F.sum("size").alias("words"), F.max("v").alias("v"))
-        running = sums.withColumn("through", F.lit(taken) + F.sum("words").over(Window.orderBy("slot")))
-        over = running.filter(F.col("through") > budget).orderBy("slot").first()
-        if over is None:
-            break
-        taken = over["through"] - over["words"]
-        turns = turns.filter((slot == over["slot"]))
-        if over["slot"] == n:
-            break
-        low, width = low + over["slot"] * width, width / (4 * SLICES)
-    order = ["v", "source_rank", "key", "size", "epoch"]
+    last = last_turn(turns, budget, scratch)
+    here = [F.struct(time(F.lit(e)).alias("v"), F.col("source_rank"), F.col("key"), F.col("size"), F.lit(e).alias("epoch")) for e in range(epochs)]
+    end = F.struct(*[F.lit(last[c]).alias(c) for c in ORDER]) if last else F.lit(None)
+    taken = F.when(F.col("size") > 0, F.filter(F.array(*here), lambda t: F.coalesce(t <= end, F.lit(False)) if last else F.lit(False))).otherwise(F.array())
+    taken = queued.withColumn("turns", taken).withColumn("times", F.size("turns"))
+    return taken.select("doc_id", "source", "key", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "times", "turns")
+
+
+def last_turn(turns: DataFrame, budget: int, scratch: Scratch):
+    """Range-sorts the turns and gives the last one up to which their sizes come to no more than the budget (None if there is
+    none). Only the sums of the ranges, and one range, are looked at to find it."""
+    n = max(partitions(turns.sparkSession), -(-turns.count() // RANGE_ROWS))
+    ranged = scratch.keep(turns.repartitionByRange(n, *ORDER).sortWithinPartitions(*ORDER).withColumn("part", F.spark_partition_id()), "turns")
+    down = [F.col(c).desc() for c in ORDER]
+    sums = ranged.groupBy("part").agg(F.sum("size").alias("words"))  # a row per range
+    over = sums.withColumn("through", F.sum("words").over(Window.orderBy("part"))).filter(F.col("through") > budget).orderBy("part").first()
     if over is None:
-        return turns.orderBy(*[F.col(c).desc() for c in order]).first()
-    running = turns.withColumn("through", F.lit(taken) + F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-    inside = running.filter(F.col("through") <= budget).orderBy(*[F.col(c).desc() for c in order]).first()
-    if inside is not None:
-        return inside
-    first = turns.orderBy(*order).first()
-    return {**first.asDict(), "epoch": -1}  # all before that row
-
-
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs as often as the mix takes them. Rows repeated with one id and size count as that many
-    documents and share what the mix takes of them."""
+        return ranged.orderBy(*down).first()
+    so_far = Window.partitionBy("part").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    inside = ranged.filter(F.col("part") == over["part"]).withColumn("through", F.lit(over["through"] - over["words"]) + F.sum("size").over(so_far))
+    return inside.filter(F.col("through") <= budget).orderBy(*down).first() or ranged.filter(F.col("part") < over["part"]).orderBy(*down).first()
+
+
+def mixed_documents(docs: DataFrame, in_order: bool = False) -> DataFrame:
+    """The rows of docs as often as the mix takes them, with all columns, whatever their names. Rows repeated with one id
+    and size count as that many documents and share what the mix takes of them. in_order: range-sorted into the order
+    of the mix, which moves texts once more; otherwise in no order. Texts that are null or blank are never taken."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    words = F.coalesce(F.regexp_count("text", F.lit(NON_BLANKS)), F.lit(0)).cast("long")
-    plan = mix(docs, scratch).filter("times > 0").groupBy(key_of("doc_id", "source", "size").alias("_key")).agg(F.sort_array(F.collect_list("times"), asc=False).alias("_times"))
-    joined = docs.withColumn("_key", key_of("doc_id", "source", words)).join(plan, "_key")
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("text")))
-    times = F.coalesce(F.get("_times", nth - 1), F.lit(0))
-    return joined.withColumn("_n", times).withColumn("_one", F.explode(F.array_repeat(F.lit(1), F.col("_n")))).select(*docs.columns)
+    plan = mix(docs, scratch).filter("times > 0").groupBy(key_of("doc_id", "source", "size").alias("key"))
+    plan = plan.agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("times")).alias("n"), "turns"))), lambda t: t["turns"]).alias("all"))
+    joined = docs.select(key_of("doc_id", "source", words_in()).alias("key"), as_row(docs)).join(plan, "key")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(*row_order(docs)))
+    taken = joined.withColumn("turns", F.get("all", nth - 1)).select("row", F.explode("turns").alias("turn"))
+    if in_order:
+        order = [F.col("turn")[c] for c in ORDER]
+        taken = taken.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    return taken.select("row.*")
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +140,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, sha256(coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+  SELECT doc_id, source, sha256(coalesce(CAST(doc_id AS VARCHAR), '-' || text, '-')) AS key,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents
 ), s AS (
