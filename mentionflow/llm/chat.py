@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, or_empty, table
+from .common import Scratch, or_empty, partitions, table
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: Strings that chat templates give a meaning; never left as they are inside a text.
@@ -46,7 +46,8 @@ def unescaped_role(role: Column) -> Column:
 
 def conversation_nodes(turns: DataFrame) -> DataFrame:
     """Rows by turn as a reply tree without branches: tree, id, parent, score, role, text. Rows of one turn follow
-    each other in the order of role and text; null texts and roles are empty, a null turn comes first."""
+    each other in the order of role and text; null texts and roles are empty, a null turn comes first; null conversations
+    are one. An empty table gives no rows; other columns are ignored, whatever their names."""
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     n = F.row_number().over(order)
     node = lambda k: F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), k)
@@ -57,18 +58,15 @@ def conversation_nodes(turns: DataFrame) -> DataFrame:
 
 def runs_of(links: DataFrame, scratch: Scratch) -> DataFrame:
     """id, parent, score, leaf, head, dist: each node's run of unbranched replies (by its first node) and its place there."""
-    children = links.filter("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("children"))
-    known = links.select(F.col("id").alias("p")).distinct()
-    nodes = links.join(children, "id", "left").withColumn("children", F.coalesce("children", F.lit(0)))
-    fan = children.select(F.col("id").alias("p"), F.col("children").alias("siblings"))
-    nodes = (
-        nodes.join(known, F.col("parent") == F.col("p"), "left")
-        .withColumn("parent", F.col("p"))  # a reply to nothing that is there starts a tree
-        .drop("p")
-        .join(fan, F.col("parent") == F.col("p"), "left")
-        .withColumn("is_head", F.col("parent").isNull() | (F.col("siblings") > 1))
-        .select("tree", "id", "parent", "score", (F.col("children") == 0).alias("leaf"), "is_head")
-    )
+    # Nodes without a parent are split off: their nulls would meet in one task of a join.
+    fans = links.filter("parent is not null").groupBy(F.col("parent").alias("p")).agg(F.count("*").alias("fan"))
+    fans = scratch.keep(fans.join(links.select(F.col("id").alias("p")), "p", "left_semi"), "fans")
+    own = F.col("id") == F.col("p")
+    nodes = links.join(fans, own, "left").select("tree", "id", "parent", "score", F.col("fan").isNull().alias("leaf"))
+    nodes = scratch.keep(nodes, "with-leaves")
+    replies = nodes.filter("parent is not null").join(fans, F.col("parent") == F.col("p"), "left")  # a reply to nothing that is there starts a tree
+    replies = replies.select("tree", "id", F.col("p").alias("parent"), "score", "leaf", (F.col("p").isNull() | (F.col("fan") > 1)).alias("is_head"))
+    nodes = nodes.filter("parent is null").withColumn("is_head", F.lit(True)).unionByName(replies)
     nodes = scratch.keep(nodes, "nodes")
     at = nodes.select(
         "id", F.when(F.col("is_head"), F.col("id")).otherwise(F.col("parent")).alias("head"), F.when(F.col("is_head"), 0).otherwise(1).cast("long").alias("dist"), F.col("is_head").alias("done")
@@ -91,8 +89,10 @@ def paths_of(placed: DataFrame, scratch: Scratch) -> DataFrame:
     """tree, path (heads of the runs from the root on), score (mean over its nodes): a row per root-to-leaf path."""
     runs = placed.groupBy("head").agg(F.sum("score").alias("score"), F.count("*").alias("n"), F.max("leaf").alias("leaf"))
     of = placed.select(F.col("id").alias("parent"), F.col("head").alias("above"))
-    tops = placed.filter("dist = 0").select("tree", "id", "parent")
-    runs = scratch.keep(tops.withColumnRenamed("id", "head").join(runs, "head").join(of, "parent", "left").select("tree", "head", "above", "score", "n", "leaf"), "runs")
+    tops = placed.filter("dist = 0").select("tree", F.col("id").alias("head"), "parent")
+    below = tops.filter("parent is not null").join(of, "parent", "left").select("tree", "head", "above")
+    tops = tops.filter("parent is null").select("tree", "head", F.lit(None).cast("string").alias("above")).unionByName(below)
+    runs = scratch.keep(tops.join(runs, "head").select("tree", "head", "above", "score", "n", "leaf"), "runs")
     step, done = 0, None
     front = runs.filter("above is null").select("tree", F.array("head").alias("path"), "head", "score", "n", "leaf")
     while True:
@@ -110,32 +110,41 @@ def paths_of(placed: DataFrame, scratch: Scratch) -> DataFrame:
     return done.select("tree", "path", F.col("head").alias("last"), (F.col("score") / F.col("n")).alias("score"))
 
 
-def best_paths(paths: DataFrame, keep: int | None, salts: int = 64) -> DataFrame:
-    """The paths with the highest scores of each tree (smallest last run first among equals), ranked from 1. A tree of
-    any width is first ranked in salted parts."""
-    if keep is None:
-        return paths
+def best_paths(paths: DataFrame, keep: int | None, scratch: Scratch, salts: int = 64) -> DataFrame:
+    """The keep paths with the highest scores of each tree (all if None; smallest last run first among equals), with
+    branch_rank from 1. A tree of any width is first ranked in salted parts, or in ranges if all its paths stay."""
     order = [F.col("score").desc(), "last"]
-    part = F.pmod(F.xxhash64("last"), F.lit(salts))
-    some = paths.withColumn("part", part)
-    some = some.withColumn("branch_rank", F.row_number().over(Window.partitionBy("tree", "part").orderBy(*order))).filter(F.col("branch_rank") <= keep)
-    return some.withColumn("branch_rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order))).filter(F.col("branch_rank") <= keep).drop("part")
+    if keep is not None:
+        some = paths.withColumn("part", F.pmod(F.xxhash64("last"), F.lit(salts)))
+        some = some.withColumn("branch_rank", F.row_number().over(Window.partitionBy("tree", "part").orderBy(*order))).filter(F.col("branch_rank") <= keep)
+        return some.withColumn("branch_rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order))).filter(F.col("branch_rank") <= keep).drop("part")
+    ranged = paths.repartitionByRange(partitions(paths.sparkSession), F.col("tree").asc(), *order).withColumn("part", F.spark_partition_id())
+    ranged = scratch.keep(ranged, "ranged")
+    # Trees in one range, nearly all, need no count of what is before.
+    before = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("tree", "part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    some = ranged.withColumn("branch_rank", F.row_number().over(Window.partitionBy("tree", "part").orderBy(*order)))
+    later = counts.filter("before > 0").select(F.col("tree").alias("t"), F.col("part").alias("q"), "before")
+    some = some.join(later, F.col("tree").eqNullSafe(F.col("t")) & (F.col("part") == F.col("q")), "left")
+    return some.withColumn("branch_rank", (F.col("branch_rank") + F.coalesce("before", F.lit(0))).cast("int")).drop("part", "t", "q", "before")
 
 
 def format_paths(nodes: DataFrame, keep: int | None = None, train_role: str = "assistant") -> DataFrame:
-    """One row per chosen root-to-leaf path: tree, path_id (its last node's run), score, n_turns, formatted, loss_spans.
+    """One row per chosen root-to-leaf path: tree, path_id (its last node's run), branch_rank (from 1, best score of its
+    tree first), score, n_turns, formatted, loss_spans.
 
     nodes: tree, id, parent, score, role, text. Of rows with one id the first by score (highest), role and text
     stays. Replies to an unknown parent start a tree of their own, circles of replies (which have no root) give no
     path. A null score counts as 0. loss_spans: code points [start, end) of formatted that hold texts of train_role.
-    keep: paths for each tree, best score first; None for all.
+    keep: paths for each tree, best score first; None for all. Null ids are one node; a null tree is a tree; an empty
+    table gives no rows; other columns are ignored, whatever their names. A path is one text, however long.
     """
     scratch = Scratch(nodes.sparkSession, "chat")
     best = F.max(F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), or_empty("role").alias("role"), or_empty("text").alias("text"), "tree", "parent")).alias("b")
     one = scratch.keep(nodes.groupBy("id").agg(best).select("id", "b.*"), "given")
     placed = scratch.keep(runs_of(one.select("tree", "id", "parent", "score"), scratch), "placed")
-    paths = best_paths(paths_of(placed, scratch), keep)
-    steps = paths.select("tree", F.col("last").alias("path_id"), F.col("score").alias("path_score"), F.posexplode("path").alias("run_no", "head"))
+    paths = best_paths(paths_of(placed, scratch), keep, scratch)
+    steps = paths.select("tree", F.col("last").alias("path_id"), "branch_rank", F.col("score").alias("path_score"), F.posexplode("path").alias("run_no", "head"))
     where = placed.select("head", "dist", "id").join(steps, "head")
     mark = F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n"))
     body = escaped(F.col("text"))
@@ -145,9 +154,9 @@ def format_paths(nodes: DataFrame, keep: int | None = None, train_role: str = "a
     turns = turns.withColumn("stop", F.sum(F.length("mark") + F.length("body") + len(END)).over(so_far) - len(END))
     turns = turns.withColumn("span", F.when(F.col("role") == train_role, F.struct((F.col("stop") - F.length("body")).alias("start"), F.col("stop").alias("end"))))
     each = F.sort_array(F.collect_list(F.struct("stop", F.concat("mark", "body", F.lit(END)).alias("piece"), "span")))
-    whole = turns.groupBy("tree", "path_id", "path_score").agg(each.alias("t"))
+    whole = turns.groupBy("tree", "path_id", "branch_rank", "path_score").agg(each.alias("t"))
     return whole.select(
-        "tree", "path_id", F.col("path_score").alias("score"), F.size("t").cast("long").alias("n_turns"), F.array_join(F.col("t.piece"), "").alias("formatted"), F.filter(F.col("t.span"), lambda s: s.isNotNull()).alias("loss_spans")
+        "tree", "path_id", "branch_rank", F.col("path_score").alias("score"), F.size("t").cast("long").alias("n_turns"), F.array_join(F.col("t.piece"), "").alias("formatted"), F.filter(F.col("t.span"), lambda s: s.isNotNull()).alias("loss_spans")
     )
 
 
