@@ -14,6 +14,7 @@ import hashlib
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from .common import or_empty, partitions, table
 
-#: Cells of the fingerprint that is kept; digests of two versions that are compared at once; ranges at most.
-CELLS, BATCH_DOCS, BATCH_DIGESTS, MOST_RANGES = 24, 512, 200_000, 4096
+#: Cells of the fingerprint that is kept; digests of two versions that are compared at once.
+CELLS, BATCH_DOCS, BATCH_DIGESTS = 24, 512, 200_000
+#: Rows of a range of documents on average at most; rows sampled for each range.
+RANGE_ROWS, SAMPLE = 200_000, 20
 PASSAGE = re.compile(r"[^\n.,;:!?]{1,64}[\n.,;:!?]*|[\n.,;:!?]+")
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -175,34 +178,56 @@ def compare(batches):
 OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
+def order_keys(no_id: np.ndarray, doc_id: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """17 bytes for each row that sort like (null ids last, id falling, digest rising)."""
+    sign = np.uint64(1 << 63)
+    falling = np.where(no_id, np.uint64(0), ~doc_id.astype(np.int64).view(np.uint64) ^ sign)
+    parts = [no_id.astype(np.uint8)[:, None], *(x.astype(">u8").view(np.uint8).reshape(-1, 8) for x in (falling, digest.astype(np.int64).view(np.uint64) ^ sign))]
+    return np.ascontiguousarray(np.hstack(parts)).view("S17").ravel()
+
+
+def cuts_of(rows: DataFrame) -> list[tuple]:
+    """(no id, id, digest) of the rows that begin the ranges, the first row of all first. The other cuts come from a sample
+    of SAMPLE rows a range, so what the driver holds is below a thousandth of a thousandth of the texts."""
+    n = rows.count()
+    if not n:
+        return []
+    ranges = max(partitions(rows.sparkSession), -(-n // RANGE_ROWS))
+    top = rows.agg(F.max("doc_id")).first()[0]
+    first = rows.filter(F.col("doc_id").eqNullSafe(F.lit(top).cast("long"))).agg(F.min("digest")).first()[0]
+    sample = rows.sample(min(1.0, SAMPLE * ranges / n), seed=5).select(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "digest").collect()
+    sample = sorted(set(map(tuple, sample)), key=lambda r: (r[0], -r[1], r[2]))
+    head = (top is None, top or 0, first)
+    every = max(1, len(sample) // ranges)
+    return [head, *(r for r in sample[every // 2 :: every] if r != head)]
+
+
 def document_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each row's text and of its edited text, and how like they are; a row per row of docs.
 
-    The next document is that with the next smaller id; rows of one id go by text, null ids come last, and after the
-    last row comes the first. Null texts count as empty; an only row is its own next; other columns are ignored.
-    Texts are shuffled once, by ranges of the id. The first row of a range is sent to the range before as well, so that
-    no range waits for another.
+    The next document is that with the next smaller id; rows of one id go by a hash of the text, null ids come last, and
+    after the last row comes the first. Null texts count as empty; an only row is its own next; an empty table gives no
+    rows; other columns are ignored, whatever their names. Texts are shuffled once, into ranges of (id, hash) that begin
+    at rows known beforehand: the first row of a range is sent to the range before as well, so that no range
+    waits for another.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("text"))
-    n = min(partitions(spark), MOST_RANGES)
-    cuts = sorted(set(rows.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.1 / n))) if n > 1 else []
-    # Ranges are counted down, in the order of the documents; null ids are in the last.
-    above = F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: c <= F.col("doc_id")) if cuts else F.array()
-    part = F.lit(len(cuts)) - F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(above))
-    rows = rows.withColumn("part", part)
-    tops = sorted(map(tuple, rows.groupBy("part").agg(F.max("doc_id")).collect()))  # a row per range
-    parts = [p for p, _ in tops]
-    feeds = dict(zip(parts, [parts[-1], *parts[:-1]] if parts else [], strict=True))
-    top, feed = ({p: v for p, v in pairs} for pairs in (tops, feeds.items()))
-    as_map = lambda m: F.create_map(*[F.lit(x) if x is not None else F.lit(None).cast("long") for kv in m.items() for x in kv])
-    if tops:
-        is_top = F.col("doc_id").eqNullSafe(as_map(top)[F.col("part")].cast("long"))
-        here, there = F.struct("part", F.lit(False).alias("feeder")), F.struct(as_map(feed)[F.col("part")].alias("part"), F.lit(True).alias("feeder"))
-        rows = rows.select("doc_id", "text", F.inline(F.when(is_top, F.array(here, there)).otherwise(F.array(here))))
-    else:
-        rows = rows.withColumn("feeder", F.lit(False))
-    dealt = rows.repartitionById(len(cuts) + 1, F.col("part").cast("int")).sortWithinPartitions("part", "feeder", F.col("doc_id").desc_nulls_last(), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("text")).withColumn("digest", F.xxhash64("text"))
+    cuts = cuts_of(rows)
+    n = max(1, len(cuts))
+    starts = spark.sparkContext.broadcast(order_keys(*(np.array([c[k] for c in cuts], t) for k, t in enumerate((bool, np.int64, np.int64)))).tobytes())
+
+    @F.pandas_udf("part int, feeds int")
+    def placed(no_id: pd.Series, doc_id: pd.Series, digest: pd.Series) -> pd.DataFrame:
+        """The range of a row; and the range before if it is the first of its own."""
+        begin, keys = np.frombuffer(starts.value, "S17"), order_keys(no_id.to_numpy(), doc_id.to_numpy(), digest.to_numpy())
+        part = np.maximum(np.searchsorted(begin, keys, side="right") - 1, 0)
+        return pd.DataFrame({"part": part, "feeds": np.where(begin[part] == keys, (part - 1) % n, -1)})
+
+    at = placed(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "digest")
+    here, there = F.struct(F.col("at.part").alias("part"), F.lit(False).alias("feeder")), F.struct(F.col("at.feeds").alias("part"), F.lit(True).alias("feeder"))
+    rows = rows.withColumn("at", at).select("doc_id", "text", "digest", F.inline(F.when(F.col("at.feeds") >= 0, F.array(here, there)).otherwise(F.array(here))))
+    dealt = rows.repartitionById(n, F.col("part")).sortWithinPartitions("part", "feeder", F.col("doc_id").desc_nulls_last(), "digest", "text")
     return dealt.select("part", "feeder", "doc_id", "text").mapInArrow(compare, OUT)
 
 
