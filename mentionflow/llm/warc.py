@@ -29,8 +29,10 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-#: Payloads of fewer bytes are never revisits; bytes of records that a batch holds.
-LEAST_BYTES, BATCH_BYTES = 100, 8_000_000
+FILEDESC = re.compile(rb"[0-9]+ [0-9]+ [^\n]*\nURL IP-address Archive-date")
+#: Payloads of fewer bytes are never revisits; bytes of records that a batch holds; compressed bytes inflated at once;
+#: records of a file.
+LEAST_BYTES, BATCH_BYTES, PIECE_BYTES, RECORDS = 100, 8_000_000, 262_144, 4096
 PAGE_HEADER = b"X-Page-Id"
 
 
@@ -57,63 +59,109 @@ def http_body(page_id: int | None, payload: bytes) -> bytes:
     return b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + own + b"Content-Length: %d\r\n\r\n" % len(payload) + payload
 
 
-def write_arc(pages: DataFrame, path: str, date: str = "20240131000000") -> None:
-    """pages (page_id, url, html) as gzipped ARC files, of version 1 and 2 by turns. A null url is written as '-'."""
+def write_arc(pages: DataFrame, path: str, date: str = "20240131000000", records: int = RECORDS) -> None:
+    """pages (page_id, url, html) as gzipped ARC files of so many records at most, of version 1 and 2 by turns. A null url is
+    written as '-'; other columns are ignored."""
 
-    def records(batches):
-        number = TaskContext.get().partitionId()
-        version, name = number % 2 + 1, f"part-{number:06d}.arc"
-        head = arc_head(version, name, date)
-        rows, size, offset = [head], len(head), len(head) + 1
+    def written(batches):
+        number, files, left = TaskContext.get().partitionId(), 0, 0
+        rows, size = [], 0
         for batch in batches:
             for page_id, url, html in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist(), batch["html"], strict=True):
+                if not left:  # the sink begins a file after as many rows as this
+                    version, name = (number + files) % 2 + 1, f"part-{number:06d}-{files:03d}.arc"
+                    rows.append(arc_head(version, name, date))
+                    files, left, offset = files + 1, records, len(rows[-1]) + 1
                 body = http_body(page_id, html.as_buffer().to_pybytes() if html.is_valid else b"")
                 rows.append(arc_record(version, quote(url or "-", safe=":/?#[]@!$&'()*+,;=%~"), date, body, offset, name))
-                size, offset = size + len(rows[-1]), offset + len(rows[-1]) + 1
+                left, size, offset = left - 1, size + len(rows[-1]), offset + len(rows[-1]) + 1
                 if size > BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
                     rows, size = [], 0
-        if rows and offset > len(head) + 1:
+        if rows:
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
 
-    rows = pages.select(F.col("page_id").cast("long"), "url", F.col("html").cast("binary").alias("html")).mapInArrow(records, "value binary")
-    rows.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").text(path)
+    rows = pages.select(F.col("page_id").cast("long"), "url", F.col("html").cast("binary").alias("html")).mapInArrow(written, "value binary")
+    rows.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", records + 1).text(path)
 
 
-def inflated(data: bytes) -> bytes:
-    """The content of a plain file or of one of any number of gzip members."""
-    if data[:2] != b"\x1f\x8b":
-        return data
-    out = []
-    while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
-        out.append(member.decompress(data))
-        data = member.unused_data
-    return b"".join(out)
+class Stream:
+    """The content of a file, plain or of any number of gzip members, inflated piece by piece as it is read."""
 
+    def __init__(self, data: bytes):
+        self.pieces, self.have, self.at = self.inflated(data), b"", 0
 
-def arc_records(data: bytes):
-    """(fields by name, body) of each record after the filedesc; stops at a header line that can't be read."""
-    at, names = 0, ARC_FIELDS[1].split()
-    while at < len(data):
-        if data[at : at + 1] in (b"\n", b"\r"):
-            at += 1
+    @staticmethod
+    def inflated(data: bytes):
+        if data[:2] != b"\x1f\x8b":
+            yield data
+            return
+        at, view = 0, memoryview(data)
+        while data[at : at + 2] == b"\x1f\x8b":
+            member = zlib.decompressobj(31)
+            while not member.eof:
+                if at >= len(data):
+                    raise ValueError("a gzip member is cut short")
+                piece = view[at : at + PIECE_BYTES]
+                at += len(piece)
+                yield member.decompress(piece)
+            at -= len(member.unused_data)
+        if data[at:].strip(b"\0"):
+            raise ValueError(f"byte {at} of the file begins no gzip member")
+
+    def more(self) -> bool:
+        """Whether there is a byte left."""
+        while self.at >= len(self.have):
+            piece = next(self.pieces, None)
+            if piece is None:
+                return False
+            self.have, self.at = piece, 0
+        return True
+
+    def take(self, n: int) -> bytes:
+        parts, left = [], n
+        while left and self.more():
+            parts.append(self.have[self.at : self.at + left])
+            self.at += len(parts[-1])
+            left -= len(parts[-1])
+        if left:
+            raise ValueError(f"the file ends {left} bytes before a record of {n} does")
+        return parts[0] if len(parts) == 1 else b"".join(parts)
+
+    def until(self, mark: bytes) -> bytes:
+        """What is before the mark, which is passed."""
+        while (end := self.have.find(mark, self.at)) < 0:
+            piece = next(self.pieces, None)
+            if piece is None:
+                raise ValueError(f"the file ends within a header: {self.have[self.at :][:200]!r}")
+            self.have, self.at = self.have[self.at :] + piece, 0
+        found, self.at = self.have[self.at : end], end + len(mark)
+        return found
+
+
+def arc_records(file: Stream):
+    """(fields by name, body) of each record but the filedesc ones; raises at a header line that can't be read and at a
+    body shorter than declared, as nothing after it could be told apart."""
+    names, first = ARC_FIELDS[1].split(), True
+    while file.more():
+        if file.have[file.at] in b"\r\n":
+            file.at += 1
             continue
-        end = data.find(b"\n", at)
-        line = data[at : end if end >= 0 else len(data)]
+        line = file.until(b"\n")
         fields = line.decode("utf-8", "replace").rstrip("\r").split(" ")
-        if fields[0].startswith("filedesc://"):
-            names = ["URL", *["-"] * (len(fields) - 2), "Archive-length"]
-        elif len(fields) > len(names):  # blanks inside the location or type
-            fields = [*fields[: len(names) - 2], " ".join(fields[len(names) - 2 : -1]), fields[-1]]
-        if len(fields) != len(names) or not fields[-1].isdigit():
-            return
-        start = at + len(line) + 1
-        at = start + int(fields[-1])
-        body = data[start:at]
-        if fields[0].startswith("filedesc://"):
-            names = body.split(b"\n")[1].decode().split() if body.count(b"\n") > 1 else ARC_FIELDS[int(body[:1] or b"1")].split()
+        if not (fields[-1].isascii() and fields[-1].isdigit()):
+            raise ValueError(f"no length in the header line {line[:200]!r}")
+        body = file.take(int(fields[-1]))
+        # A page may have such a URL too, but not such a body.
+        if fields[0].startswith("filedesc://") and (first or FILEDESC.match(body)):
+            lines, first = body.split(b"\n"), False
+            names = lines[1].decode().split() if len(lines) > 1 and lines[1].strip() else ARC_FIELDS[int(body[:1] or b"1")].split()
             continue
+        first = False
+        if len(fields) > len(names):  # blanks inside the location or type
+            fields = [*fields[: len(names) - 2], " ".join(fields[len(names) - 2 : -1]), fields[-1]]
+        if len(fields) != len(names):
+            raise ValueError(f"{len(fields)} fields, not {len(names)}, in the header line {line[:200]!r}")
         yield dict(zip(names, fields, strict=True)), body
 
 
@@ -137,7 +185,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 rows, size = [], 0
-                for fields, body in arc_records(inflated(content.as_py())):
+                for fields, body in arc_records(Stream(content.as_buffer().to_pybytes())):
                     cut = body.find(b"\r\n\r\n") + 4 if body.startswith(b"HTTP/") else 0
                     head, payload = body[: max(cut, 0)], body[max(cut, 0) :]
                     page = header(head, PAGE_HEADER)
@@ -196,18 +244,20 @@ def convert(records: DataFrame, path: str, scratch: Scratch, least_bytes: int =
     # Kept as a table, so that its size is known: Spark sends it to all tasks if it is small and shuffles if not.
     firsts = scratch.keep(firsts.select("payload_digest", F.col("first.page_id").alias("first_page"), F.col("first.record_id").alias("first_id")), "firsts")
     marked = records.join(firsts, "payload_digest", "left").withColumn("first_id", F.when(~F.col("page_id").eqNullSafe(F.col("first_page")), F.col("first_id")))
-    marked.select(warc_record().cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    marked.select(warc_record().cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
 
 
-def warc_records(data: bytes):
-    """(header lines, block) of each record, by the declared lengths."""
-    at = 0
-    while data.startswith(b"WARC/", at):
-        cut = data.index(b"\r\n\r\n", at) + 4
-        head = data[at:cut]
-        end = cut + int(header(head, b"Content-Length") or 0)
-        yield head, data[cut:end]
-        at = end + 4
+def warc_records(file: Stream):
+    """(header lines, block) of each record, by the declared lengths; raises where there is no record, or part of one."""
+    while file.more():
+        head = file.until(b"\r\n\r\n") + b"\r\n"
+        length = header(head, b"Content-Length")
+        if not head.startswith(b"WARC/") or length is None or not length.isdigit():
+            raise ValueError(f"no record begins with {head[:200]!r}")
+        block = file.take(int(length))
+        if file.take(4) != b"\r\n\r\n":
+            raise ValueError(f"the block of {header(head, b'WARC-Record-ID')} is longer than declared")
+        yield head, block
 
 
 READ = "page_id long, url string, date string, record_id string, record_type string, refers_to_id string, payload_bytes long, payload_digest string"
@@ -220,7 +270,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 rows = []
-                for lines, block in warc_records(inflated(content.as_py())):
+                for lines, block in warc_records(Stream(content.as_buffer().to_pybytes())):
                     get = lambda name, lines=lines: (header(lines, name) or b"").decode() or None
                     cut = block.find(b"\r\n\r\n") + 4 if block.startswith(b"HTTP/") else 0
                     head, payload = block[:cut], block[cut:]
@@ -247,7 +297,6 @@ def archived(pages: DataFrame) -> DataFrame:
     """
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
-    # A file for each partition of the input, whose size spark.sql.files.maxPartitionBytes bounds.
     write_arc(pages, f"{scratch.root}/arc")
     convert(read_arc(spark, f"{scratch.root}/arc"), f"{scratch.root}/warc", scratch)
     back = scratch.keep(read_warc(spark, f"{scratch.root}/warc"), "back")
