@@ -3,7 +3,8 @@
 Documents are tokenised and cut where they are tokenised. Full pieces are sequences of their own. The
 others are dealt out into groups of a bounded number of rows, best-fit packed there (largest first),
 and nearly full bins are emitted. Underfull bins go up a tree: groups merge, their bins are items of the
-next best-fit round, until one group is left or a round no longer lowers the number of bins.
+next best-fit round, until one group is left. Where groups can't merge because they would be too large, bins are
+dealt out anew instead, so that those of different groups meet, until a round lowers their number by less than 1%.
 """
 
 from __future__ import annotations
@@ -146,7 +147,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, nearly: float = NEARLY, gr
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece.
 
     Null and empty texts are one token (the closing id 0). Rows repeated with one id are packed as often as they
-    stand; an empty table gives no rows; other columns are ignored; null ids are packed like others.
+    stand; an empty table gives no rows; other columns are ignored, whatever their names; null ids are packed like others.
     """
     scratch = Scratch(docs.sparkSession, "packing")
     cuts = scratch.keep(pieces(docs, capacity), "pieces")
@@ -157,20 +158,22 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, nearly: float = NEARLY, gr
     deal = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups))
     item = F.struct("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("long").alias("offset"))
     bins = rest.select(deal.alias("grp"), F.col("length").cast("int").alias("fill"), F.array(item).alias("items"))
-    level = 1
+    level, anew = 1, False
     while n:
         first = F.col("items")[0]
         keyed = bins.select("grp", "fill", "items", first["doc_id"].alias("id0"), first["piece"].alias("piece0"), first["ids_crc32"].alias("crc0"))
         round_ = keyed.groupBy("grp").applyInArrow(packer(level, capacity, nearly), BIN)
         round_ = scratch.keep(round_, f"level{level}")
         left = round_.filter("not full").count()
-        ended = groups == 1 or left == 0 or (level > 1 and left > 0.99 * n)
+        ended = groups == 1 or left == 0 or (anew and left > 0.99 * n)
         out = round_ if ended else round_.filter("full")
         done.append(out.select("sequence_id", F.inline("items")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
         if ended:
             break
-        groups = max(math.ceil(groups / fan_in), math.ceil(left / group_rows))
-        bins = round_.filter("not full").select(F.pmod("grp", F.lit(groups)).alias("grp"), "fill", "items")
+        fewer = max(math.ceil(groups / fan_in), math.ceil(left / group_rows))
+        anew, groups = fewer >= groups, min(fewer, groups)
+        to = F.pmod(F.xxhash64("sequence_id"), F.lit(groups)) if anew else F.pmod("grp", F.lit(groups))
+        bins = round_.filter("not full").select(to.alias("grp"), "fill", "items")
         n, level = left, level + 1
     whole = done[0]
     for part in done[1:]:
