@@ -107,8 +107,10 @@ def iban_rest(text: str) -> int:
 
 
 def email(value: str, key: bytes, undo: bool) -> str:
+    """Name and domain are permuted apart, so that addresses of one domain stay so; the top-level domain stays."""
     local, _, domain = value.partition("@")
-    return f"{permuted_text(local, key, 'email', undo)}@{domain}"
+    own, dot, top = domain.rpartition(".")
+    return f"{permuted_text(local, key, 'email', undo)}@{permuted_text(own, key, 'domain', undo)}{dot}{top}"
 
 
 def number(value: str, key: bytes, undo: bool) -> str:
@@ -191,14 +193,14 @@ def is_date(value: str) -> bool:
 
 
 def date(value: str, key: bytes, undo: bool) -> str:
-    """A day that is read in the same form again: month-first days with a day above 12 stay such."""
+    """A day is permuted among those on which the day of the month is above 12 as well, or isn't. So month-first days stay
+    readable as such, and a day has one pseudonym in all forms."""
     day, form = day_of(value)
-    x = day.toordinal()
+    x, late = day.toordinal(), day.day > 12
     while True:
         x = FIRST_DAY + permuted(x - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, b"date", undo)
-        new = datetime.date.fromordinal(x).strftime(form)
-        if day_of(new) == (datetime.date.fromordinal(x), form):
-            return new
+        if (datetime.date.fromordinal(x).day > 12) == late:
+            return datetime.date.fromordinal(x).strftime(form)
 
 
 #: Kinds in the order in which they are tried at a place: pattern, validator, permutation.
