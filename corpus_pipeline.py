@@ -7,7 +7,6 @@ of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from mentionflow.llm import dedup, jaccard, mixing, packing, quality
 from mentionflow.llm.common import Scratch, table
@@ -16,8 +15,7 @@ from mentionflow.llm.common import Scratch, table
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score below 0.7) go. It learns from the labelled rows of docs."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, docs.columns)
-    return scored.filter(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
