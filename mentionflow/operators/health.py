@@ -28,8 +28,9 @@ def query_samples(failed_queries: DataFrame, per_expert: int = 3, full_at: int =
     return some.join(held.filter(F.col("before") < full_at).select(*EXPERT), EXPERT, "left_semi").drop("_n")
 
 
-def summary(roster: DataFrame, final: DataFrame, failed: DataFrame, failed_queries: DataFrame, dropped: int = 0, max_failure_rate_pct: float = 10) -> DataFrame:
-    """One row: counters, two capped lists and whether the run is degraded. failed: experts that failed."""
+def summary(roster: DataFrame, final: DataFrame, failed: DataFrame, failed_queries: DataFrame, dropped: DataFrame | None = None, max_failure_rate_pct: float = 10) -> DataFrame:
+    """One row: counters, two capped lists and whether the run is degraded. failed: experts that failed; dropped: rows that
+    the identity gate took out, if it takes any."""
     count = lambda df, name: df.agg(F.count("*").alias(name))
     names = roster.join(failed, EXPERT, "left_semi").select(*EXPERT, "kol_name").orderBy(*EXPERT).limit(50)
     listed = lambda df, order, value: F.transform(F.sort_array(F.collect_list(F.struct(*order, value))), lambda s: s[value])
@@ -43,10 +44,11 @@ def summary(roster: DataFrame, final: DataFrame, failed: DataFrame, failed_queri
         final.agg(F.count_if(F.col("validity") == "REVIEW").alias("review_rows"), F.count("*").alias("total_results")),
     ]
     whole = parts[0]
+    parts.append(count(final.limit(0) if dropped is None else dropped, "dropped_by_gate"))
     for part in parts[1:]:  # one row each
         whole = whole.join(part, F.lit(True))
     rate = F.when(F.col("total_kols") > 0, F.col("kols_failed") / F.col("total_kols") * 100).otherwise(F.lit(0.0))
-    return whole.withColumns({"dropped_by_gate": F.lit(dropped).cast("long"), "failure_rate_pct": rate}).withColumn("degraded", F.col("failure_rate_pct") > max_failure_rate_pct)
+    return whole.withColumn("failure_rate_pct", rate).withColumn("degraded", F.col("failure_rate_pct") > max_failure_rate_pct)
 
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:

@@ -63,6 +63,10 @@ def evidence(roster: DataFrame) -> DataFrame:
     )
 
 
+#: Columns that exist only within verdicts().
+_OWN = ("_has_name", "_short", "_strong", "_titled", "_adjacent", "_affiliation", "_specialty", "_suffix", "_hay", "_visible", "_is_strong", "_after", "_conflict", "_signals", "_review")
+
+
 def verdicts(results: DataFrame, roster: DataFrame) -> DataFrame:
     """results (title, description, body_text) with validity and validity_signals. Patterns run only where a name is
     visible at all."""
@@ -95,12 +99,18 @@ def verdicts(results: DataFrame, roster: DataFrame) -> DataFrame:
     said = F.array_join(F.concat(F.when(F.col("_is_strong"), F.array(F.lit("full-name"))).otherwise(F.array().cast("array<string>")), F.col("_signals")), "+")
     return joined.withColumns(
         {"validity": F.when(F.col("_review").isNull(), "VALID").otherwise("REVIEW"), "validity_signals": F.coalesce("_review", said)}
-    ).drop(*[c for c in joined.columns if c.startswith("_")])
+    ).drop(*_OWN)
+
+
+def judged(results: DataFrame, roster: DataFrame, mode: str = "tag") -> DataFrame:
+    """Both columns, before any row is dropped: empty in mode off, filled in any other."""
+    return results.withColumns({"validity": F.lit(""), "validity_signals": F.lit("")}) if mode == "off" else verdicts(results, roster)
 
 
 def gated(results: DataFrame, roster: DataFrame, mode: str = "tag") -> DataFrame:
     """mode off: empty columns; drop: only VALID rows; tag (and any other): both columns filled."""
-    if mode == "off":
-        return results.withColumns({"validity": F.lit(""), "validity_signals": F.lit("")})
-    judged = verdicts(results, roster)
-    return judged.filter("validity = 'VALID'") if mode == "drop" else judged
+    return passing(judged(results, roster, mode), mode)
+
+
+def passing(judged_results: DataFrame, mode: str) -> DataFrame:
+    return judged_results.filter("validity = 'VALID'") if mode == "drop" else judged_results

@@ -115,6 +115,24 @@ hits AS (
 )"""
 
 
+#: Experts with many given names, a nickname and another surname: their forms don't fit into one query.
+LONG_NAMES = f"""
+long_names AS (
+  SELECT c_custkey AS k, concat('L', CAST(c_custkey AS VARCHAR(20))) AS kol_id, 1 AS roster_seq, '' AS affiliation,
+         concat({pick(FIRST, 13, 'c_custkey')}, ' (', {pick('Bo,Jo,Max', 3, 'c_custkey')}, ') ', {pick('Ann,Ann Basil Cleo,Ann Basil Cleo Dale Erin,Ann Basil', 4, 'c_custkey')}, ' ',
+                {pick(LAST, 17, 'c_custkey')}, CASE WHEN c_custkey % 5 < 3 THEN concat(' (', {pick('Vale,Wolf', 2, 'c_custkey')}, ')') ELSE '' END) AS kol_name
+  FROM {{customer}}
+)"""
+
+#: Experts with one name, a first or a last name.
+SINGLE_NAMES = f"""
+single_names AS (
+  SELECT c_custkey AS k, concat('S', CAST(c_custkey AS VARCHAR(20))) AS kol_id, 1 AS roster_seq, CASE WHEN c_custkey % 3 = 0 THEN 'Mayo Clinic' ELSE '' END AS affiliation,
+         CASE WHEN c_custkey % 2 = 0 THEN {pick(FIRST, 13, 'c_custkey')} ELSE {pick(LAST, 17, 'c_custkey')} END AS kol_name
+  FROM {{customer}} WHERE c_custkey <= 60
+)"""
+
+
 def with_tables(*parts: str, select: str) -> str:
     return "WITH " + ",".join(parts) + "\n" + select
 

@@ -45,6 +45,7 @@ class Stages:
     candidates: DataFrame
     dated: DataFrame
     recent: DataFrame
+    judged: DataFrame
     final: DataFrame
 
     def settled(self) -> Stages:
@@ -76,8 +77,8 @@ def results(roster: DataFrame, manifest: DataFrame, items: DataFrame, page_table
     recent = dated.filter("_d.keep").drop("_d", "reason")
     final = urlfilter.first_by_normal_url(urlfilter.usable(recent), EXPERT)
     final = urlfilter.without_social(final, run.include_social_results)
-    mode = run.identity_gate if run.identity_gate in ("off", "tag", "drop") else "tag"
-    return Stages(roster, manifest, raw, unique, candidates, dated.drop("_d"), recent, identity.gated(final, roster, mode))
+    judged = identity.judged(final, roster, run.identity_gate)
+    return Stages(roster, manifest, raw, unique, candidates, dated.drop("_d"), recent, judged, identity.passing(judged, run.identity_gate))
 
 
 def monitor(spark: SparkSession, raw_roster: DataFrame, items: DataFrame, page_table: DataFrame, fetch_log: DataFrame, root: str, run: Run) -> DataFrame:
@@ -87,11 +88,13 @@ def monitor(spark: SparkSession, raw_roster: DataFrame, items: DataFrame, page_t
     """
     s = results(*prepared(raw_roster, run), items, page_table, run, fetch_log)
     copy = f"{root.rstrip('/')}/_results_{run.run_tag[:12]}"
-    s.final.drop("body_text", "norm_url").write.mode("overwrite").parquet(copy)
-    final = spark.read.parquet(copy)
+    s.judged.drop("body_text", "norm_url").write.mode("overwrite").parquet(copy)
+    judged = spark.read.parquet(copy)
+    final = identity.passing(judged, run.identity_gate)
+    dropped = judged.filter("validity <> 'VALID'") if run.identity_gate == "drop" else None
     sinks.stage(final, root, run.run_tag)
     failed = H.failed_experts(fetch_log)
-    summary = H.summary(s.roster, final, failed, serp.failed_queries(s.manifest, fetch_log).join(failed, EXPERT, "left_anti"), 0, run.max_failure_rate_pct)
+    summary = H.summary(s.roster, final, failed, serp.failed_queries(s.manifest, fetch_log).join(failed, EXPERT, "left_anti"), dropped, run.max_failure_rate_pct)
     sinks.promote(spark, root, run.run_tag, run.promote_empty_run)
     sinks.append_results(final, f"{root.rstrip('/')}/dataset")
     path = f"{root.rstrip('/')}/run_summary"

@@ -329,16 +329,16 @@ hays AS (SELECT doc_id, {_HAY} AS hay FROM mentions), counted AS (
 ), matches AS (
   SELECT n.kol_id, n.roster_seq, n.kind, n.form, n.anchor, c.* FROM said_names n JOIN counted c ON contains(c.hay, concat(' ', n.form, ' '))
 )"""
-CORPUS_SEARCH = X.with_tables(
-    X.ROSTER, CLEAN, FORMS, X.MENTIONS, SEARCH,
+CORPUS_ANSWERS = (
     f"""answers AS (
       SELECT kol_id, roster_seq, doc_id, count(DISTINCT form) AS n_forms, max(honorific) AS honorific, {", ".join(f"max({n}) AS {n}" for n in fixed.CLUSTER_TERMS)}
       FROM matches WHERE honorific > 0 AND (anchor = '  ' OR contains(hay, anchor)) GROUP BY ALL
     ), each_cluster AS (
       {" UNION ALL ".join(f"SELECT kol_id, roster_seq, {i} AS cluster_no, doc_id, n_forms + honorific{'' if n is None else f' + {n}'} AS n_terms FROM answers" + ('' if n is None else f' WHERE {n} > 0') for i, n in enumerate([None, *fixed.CLUSTER_TERMS], 1))}
     ), ranked AS (SELECT *, row_number() OVER (PARTITION BY kol_id, roster_seq, cluster_no ORDER BY n_terms DESC, doc_id) AS rank FROM each_cluster)""",
-    select="SELECT kol_id, roster_seq, CAST(cluster_no AS INT) AS cluster_no, doc_id, CAST(n_terms AS BIGINT) AS n_terms, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 10",
-)
+)
+CORPUS_RANKED = "SELECT kol_id, roster_seq, CAST(cluster_no AS INT) AS cluster_no, doc_id, CAST(n_terms AS BIGINT) AS n_terms, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 10"
+CORPUS_SEARCH = X.with_tables(X.ROSTER, CLEAN, FORMS, X.MENTIONS, SEARCH, *CORPUS_ANSWERS, select=CORPUS_RANKED)
 _TERMS = [("honorific", t) for t in fixed.HONORIFIC_TERMS] + [(n, t) for n, terms in fixed.CLUSTER_TERMS.items() for t in terms]
 _ANY = [("honorific", "(any)", " OR ".join(f"contains(hay, ' {t} ')" for t in fixed.HONORIFIC_TERMS)), ("topic", "(any)", " OR ".join(f"contains(hay, ' {t} ')" for n, t in _TERMS if n != "honorific"))]
 TERM_REACH = X.with_tables(
@@ -349,3 +349,62 @@ FORM_REACH = X.with_tables(
     X.ROSTER, CLEAN, FORMS, X.MENTIONS, SEARCH, "pairs AS (SELECT DISTINCT kol_id, roster_seq, doc_id, kind FROM matches), total AS (SELECT count(*) AS n FROM (SELECT DISTINCT kol_id, roster_seq, doc_id FROM pairs))",
     select=" UNION ALL ".join(f"SELECT '{k}' AS form_kind, (SELECT count(*) FROM pairs WHERE kind = '{k}') AS n_pairs, CAST((SELECT count(*) FROM pairs WHERE kind = '{k}') AS DOUBLE) / n AS share FROM total" for k in ("full", "short", "initial", "extra")),
 )
+
+# -- the remaining operators -----------------------------------------------------------------------
+
+MANIFEST_SUBSET = X.with_tables(X.ROSTER, CLEAN, FORMS, MANIFEST, select="SELECT kol_id, CAST(roster_seq AS INT) AS roster_seq, CAST(cluster_no AS INT) AS cluster_no, query FROM manifest WHERE cluster_no IN (1, 3, 4, 6)")
+#: The forms are read from the name; one is dropped in each of three steps while there are too many words.
+_MANY = "len(l) > 2 AND CAST(list_sum(list_transform(l, lambda n: len(string_split(n, ' ')))) AS BIGINT) + len(l) - 1 > 15"
+_FEWER = f"CASE WHEN {_MANY} THEN CASE WHEN list_contains(l, initial) AND initial <> l[1] AND initial <> l[2] THEN list_filter(l, lambda n: n <> initial) ELSE l[1:len(l) - 1] END ELSE l END"
+NAME_BUDGET = X.with_tables(
+    X.LONG_NAMES,
+    """cut AS (
+      SELECT kol_id, string_split(trim(regexp_replace(regexp_replace(kol_name, '\\([^)]*\\)', '', 'g'), ' +', ' ', 'g')), ' ') AS w, regexp_extract_all(kol_name, '\\(([^)]*)\\)', 1) AS p, ends_with(kol_name, ')') AS other
+      FROM long_names
+    ), made AS (
+      SELECT kol_id, array_to_string(w, ' ') AS whole, concat(w[1], ' ', w[-1]) AS short, array_to_string(list_concat([w[1]], list_transform(w[2:len(w) - 1], lambda m: m[1]), [w[-1]]), ' ') AS initial,
+             CASE WHEN other THEN [concat(p[1], ' ', w[-1]), concat(w[1], ' ', p[2])] ELSE [concat(p[1], ' ', w[-1])] END AS extras
+      FROM cut
+    ), s0 AS (SELECT kol_id, initial, list_concat([whole, short, initial], extras) AS l FROM made)""",
+    *[f"s{i} AS (SELECT kol_id, initial, {_FEWER} AS l FROM s{i - 1})" for i in (1, 2, 3)],
+    select=f"""SELECT kol_id, concat('("', array_to_string(l, '" OR "'), '") {fixed.HONORIFIC}') AS query FROM s3""",
+)
+WEBSITE_ONLY = X.with_tables(X.RESULTS, parsed("results"), select=f"SELECT page_id, norm_url, platform FROM urls WHERE {_usable()} AND platform = 'Website'")
+_UNESCAPED = "x"
+for _name, _sign in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    _UNESCAPED = f"replace({_UNESCAPED}, '{_name}', '{_sign}')"
+PAGE_BODY = f"""
+WITH bodies AS (
+  SELECT url, coalesce({_TITLE}, '') AS title, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<body>(.*?)(?:</body>.*)?$', 1), '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g') AS x FROM pages
+)
+SELECT url, title, substr(trim(regexp_replace({_UNESCAPED}, '\\s+', ' ', 'g')), 1, {fixed.BODY_CHARS}) AS body_text FROM bodies
+"""
+_GATED = (X.ROSTER, CLEAN, FORMS, X.MENTIONS, IDENTITY)
+GATE_MODES = X.with_tables(
+    *_GATED,
+    select="""SELECT doc_id, kol_id, 'off' AS mode, '' AS validity, '' AS validity_signals FROM verdicts UNION ALL SELECT doc_id, kol_id, 'tag', validity, validity_signals FROM verdicts
+      UNION ALL SELECT doc_id, kol_id, 'drop', validity, validity_signals FROM verdicts WHERE validity = 'VALID'""",
+)
+GATED_HEALTH = X.with_tables(
+    *_GATED, MANIFEST,
+    """failed_experts AS (SELECT kol_id, 1 AS roster_seq, trim(kol_name) AS kol_name FROM clean WHERE k % 41 = 0 AND roster_seq = 1), kept AS (SELECT v.* FROM verdicts v ANTI JOIN failed_experts e ON v.kol_id = e.kol_id),
+    lost_queries AS (SELECT m.* FROM manifest m ANTI JOIN failed_experts e ON m.kol_id = e.kol_id AND m.roster_seq = e.roster_seq WHERE (k * 7 + cluster_no) % 97 = 0 OR (k * 5 + cluster_no) % 89 = 0),
+    few AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kol_id, roster_seq ORDER BY cluster_no) AS nth FROM lost_queries) WHERE nth <= 3),
+    held AS (SELECT *, coalesce(sum(n) OVER (ORDER BY kol_id, roster_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT kol_id, roster_seq, count(*) AS n FROM few GROUP BY ALL)),
+    modes AS (SELECT unnest(['tag', 'drop']) AS mode), finals AS (SELECT mode, kept.* FROM kept, modes WHERE mode = 'tag' OR validity = 'VALID'),
+    searched AS (SELECT kol_id, roster_seq FROM forms WHERE deco <> 8 AND NOT (roster_seq = 1 AND k % 41 = 0))""",
+    select="""SELECT mode, (SELECT count(*) FROM clean) AS total_kols, (SELECT count(*) FROM failed_experts) AS kols_failed, (SELECT count(*) FROM lost_queries) AS queries_failed,
+      (SELECT count(*) FROM searched s WHERE NOT (roster_seq = 1 AND kol_id IN (SELECT kol_id FROM finals f WHERE f.mode = modes.mode))) AS kols_zero_results,
+      (SELECT count(*) FROM finals f WHERE f.mode = modes.mode AND validity = 'REVIEW') AS review_rows, (SELECT count(*) FROM finals f WHERE f.mode = modes.mode) AS total_results,
+      CASE mode WHEN 'drop' THEN (SELECT count(*) FROM kept WHERE validity <> 'VALID') ELSE 0 END AS dropped_by_gate,
+      CAST((SELECT count(*) FROM failed_experts) AS DOUBLE) / (SELECT count(*) FROM clean) * 100 AS failure_rate_pct, CAST((SELECT count(*) FROM failed_experts) AS DOUBLE) / (SELECT count(*) FROM clean) * 100 > 10 AS degraded,
+      (SELECT string_agg(kol_name, ' | ' ORDER BY kol_id) FROM (SELECT * FROM failed_experts ORDER BY kol_id LIMIT 50)) AS failed_kol_names,
+      (SELECT string_agg(query, ' | ' ORDER BY kol_id, roster_seq, cluster_no) FROM few JOIN held USING (kol_id, roster_seq) WHERE before < 20) AS failed_query_samples
+      FROM modes""",
+)
+GUARDED_OUTPUT = X.with_tables(
+    X.RESULTS, parsed("results"),
+    select=f"SELECT place, url, title FROM urls, (SELECT unnest(['output', 'dataset']) AS place) WHERE {_usable()}",
+)
+_ONE_NAME = "forms AS (SELECT *, 0 AS deco, kol_name AS full_form, kol_name AS short_form, kol_name AS initial_form, '' AS extra_form, affiliation AS anchor FROM single_names)"
+CORPUS_SEARCH_SINGLE = X.with_tables(X.SINGLE_NAMES, _ONE_NAME, X.MENTIONS, SEARCH, *CORPUS_ANSWERS, select=CORPUS_RANKED)

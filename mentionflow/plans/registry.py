@@ -11,7 +11,7 @@ from ..functions import dates as D
 from ..functions import url as U
 from ..functions.classify import activity
 from ..operators import corpus, health, identity, names, pages, queries, serp, urlfilter
-from ..sources import sinks
+from ..sources import sinks, tables
 from ..sources.shared import settled, shared_folder
 from . import fixtures as X
 from . import monitor as M
@@ -171,9 +171,7 @@ def crawl_frontier(spark, sf_dir):
 
 
 def page_metadata(spark, sf_dir):
-    table = injected_pages(spark, sf_dir)
-    meta = pages.page_metadata(table).drop("body_text")
-    return meta.join(table.select("url", "page_id"), "url").select("page_id", "title", "description", "author", "published_date")
+    return pages.page_metadata(injected_pages(spark, sf_dir), ("page_id",)).drop("body_text")
 
 
 def page_overlay(spark, sf_dir):
@@ -231,12 +229,97 @@ def form_reach(spark, sf_dir):
     return corpus.form_reach(mentions(spark, sf_dir), roster(spark, sf_dir))
 
 
+def manifest_subset(spark, sf_dir):
+    """Four of the six queries, as a lean weekly run asks."""
+    return queries.manifest(roster(spark, sf_dir), [1, 3, 4, 6])
+
+
+def name_budget(spark, sf_dir):
+    """Queries of names so long that forms must go."""
+    known = names.name_forms(X.run(spark, sf_dir, X.with_tables(X.LONG_NAMES, select="SELECT kol_id, roster_seq, kol_name, affiliation FROM long_names")))
+    return queries.manifest(known, [1]).select("kol_id", "query")
+
+
+def website_only(spark, sf_dir):
+    rows = urlfilter.usable(results_table(spark, sf_dir)).withColumn("platform", U.platform("url"))
+    return urlfilter.without_social(rows, False).select("page_id", "norm_url", "platform")
+
+
+def read_dumps(spark, sf_dir):
+    """Attribution of items that were read from JSON lines, to queries of a roster that was read from CSV."""
+    root = shared_folder(spark, "dumps")
+    raw_roster(spark, sf_dir).write.option("header", True).option("escape", '"').csv(f"{root}/roster.csv")
+    serp_items(spark, sf_dir).write.json(f"{root}/items.json")
+    asked = settled(queries.manifest(names.name_forms(names.clean_roster(tables.read_roster(spark, f"{root}/roster.csv")))), "manifest")
+    items = tables.read_serp_items(spark, f"{root}/items.json")
+    return serp.attributed(items, queries.batches(asked, 4)).select("kol_id", "item_pos", "cluster_no", "unattributed")
+
+
+def page_body(spark, sf_dir):
+    """Title and body text of the pages as they are."""
+    meta = pages.page_metadata(tables.read_pages(spark, f"{sf_dir}/pages.parquet"))
+    return meta.select("url", "title", "body_text")
+
+
+def body_mentions(spark, sf_dir, known):
+    """Results whose only evidence is the body text of their page."""
+    empty = F.lit("")
+    rows = mentions(spark, sf_dir).select("doc_id", "kol_id", F.lit(1).alias("roster_seq"), empty.alias("title"), empty.alias("description"), F.col("text").alias("body_text"))
+    return rows.join(known.select("kol_id", "roster_seq"), ["kol_id", "roster_seq"], "left_semi")
+
+
+def gate_modes(spark, sf_dir):
+    known = roster(spark, sf_dir)
+    rows = body_mentions(spark, sf_dir, known)
+    parts = [identity.gated(rows, known, mode).select("doc_id", "kol_id", F.lit(mode).alias("mode"), "validity", "validity_signals") for mode in ("off", "tag", "drop")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def gated_health(spark, sf_dir):
+    """The summary of a run that tags and of one that drops, written and read again."""
+    known, asked = M.prepared(raw_roster(spark, sf_dir), RUN)
+    log = settled(fetch_log(spark, sf_dir, asked), "fetch-log")
+    failed = health.failed_experts(log)
+    rows = body_mentions(spark, sf_dir, known).join(failed, ["kol_id", "roster_seq"], "left_anti")
+    judged = settled(identity.judged(rows, known).drop("body_text"), "judged")
+    lost = serp.failed_queries(asked, log).join(failed, ["kol_id", "roster_seq"], "left_anti")
+    found = None
+    for mode in ("tag", "drop"):
+        path = shared_folder(spark, f"summary-{mode}")
+        dropped = judged.filter("validity <> 'VALID'") if mode == "drop" else None
+        sinks.write_summary(health.summary(known, identity.passing(judged, mode), failed, lost, dropped), path)
+        lists = [F.array_join(c, " | ").alias(c) for c in ("failed_kol_names", "failed_query_samples")]
+        counts = ["total_kols", "kols_failed", "queries_failed", "kols_zero_results", "review_rows", "total_results", "dropped_by_gate", "failure_rate_pct", "degraded"]
+        part = spark.read.json(path).select(F.lit(mode).alias("mode"), *counts, *lists)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def guarded_output(spark, sf_dir):
+    """What is in the output and its second copy after a run with rows, and one without that must not be promoted."""
+    root = shared_folder(spark)
+    rows = urlfilter.usable(results_table(spark, sf_dir)).select("url", "title")
+    for tag, run in (("full", rows), ("empty", rows.limit(0))):
+        staged = sinks.stage(run, root, tag)
+        sinks.append_results(staged, f"{root}/dataset")
+        sinks.promote(spark, root, tag)
+    out, copy = spark.read.parquet(f"{root}/output"), spark.read.json(f"{root}/dataset")
+    pick = lambda df, place: df.select(F.lit(place).alias("place"), F.col("URL").alias("url"), F.col("Title").alias("title"))
+    return pick(out, "output").unionByName(pick(copy, "dataset"))
+
+
+def corpus_search_single(spark, sf_dir):
+    """Corpus search for experts with one name only."""
+    known = names.name_forms(X.run(spark, sf_dir, X.with_tables(X.SINGLE_NAMES, select="SELECT kol_id, roster_seq, kol_name, affiliation FROM single_names")))
+    return corpus.corpus_search(mentions(spark, sf_dir), known).withColumn("n_terms", F.col("n_terms").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         url_normalize, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, roster_clean, name_forms, query_manifest,
         query_chunks, serp_attribution, serp_flatten_dedupe, failed_queries, crawl_frontier, page_metadata, page_overlay, identity_verdict, identity_counts, monitor_output, stage_counts, run_health,
-        promote_output, corpus_search, term_reach, form_reach,
+        promote_output, corpus_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
     )
 }
 
@@ -248,7 +331,8 @@ SQL: dict[str, str] = {
         "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
         "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
         "monitor_output": O.MONITOR_OUTPUT, "stage_counts": O.STAGE_COUNTS, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
-        "form_reach": O.FORM_REACH,
+        "form_reach": O.FORM_REACH, "manifest_subset": O.MANIFEST_SUBSET, "name_budget": O.NAME_BUDGET, "website_only": O.WEBSITE_ONLY, "read_dumps": O.SERP_ATTRIBUTION, "page_body": O.PAGE_BODY,
+        "gate_modes": O.GATE_MODES, "gated_health": O.GATED_HEALTH, "guarded_output": O.GUARDED_OUTPUT, "corpus_search_single": O.CORPUS_SEARCH_SINGLE,
     }.items()
 }
 

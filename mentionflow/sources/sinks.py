@@ -33,7 +33,9 @@ def stage(results: DataFrame, root: str, run_tag: str) -> DataFrame:
 def promote(spark: SparkSession, root: str, run_tag: str, promote_empty: bool = False) -> int | None:
     """Staging replaces the output and goes. Without rows the output stays as it is (None), unless told otherwise.
 
-    The files are renamed, not rewritten: the old output is set aside first and put back if the new one can't be moved.
+    The files are renamed, not rewritten: the old output is set aside first and put back if the new one can't be moved. That is
+    two steps, between which there is no output, and on an object store a rename is a copy: readers that can't wait should
+    read the staged folder of the last run instead.
     """
     staged = staging_path(root, run_tag)
     rows = spark.read.parquet(staged).count()

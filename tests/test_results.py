@@ -1,5 +1,6 @@
 """Search results, pages, identity, health, sinks."""
 
+import dataclasses
 import datetime
 
 import pytest
@@ -81,6 +82,22 @@ def test_page_table(spark):
     assert [r.url for r in pages.frontier(results).orderBy("url").collect()] == ["u2", "u9"]
 
 
+def test_overlay_of_a_url_that_was_fetched_twice(spark):
+    meta = spark.createDataFrame([("u", "T1", "d", "", "", ""), ("u", "T2", "", "", "", "b"), ("v", "V", "", "", "", "")], "url string, title string, description string, author string, published_date string, body_text string")
+    results = spark.createDataFrame([("u", "Website", "old", "own", "a", "")], "url string, platform string, title string, description string, author string, published_date string")
+    for table in (meta, meta.orderBy("title")):
+        assert [(r.title, r.description, r.body_text) for r in pages.overlay(results, table).collect()] == [("T2", "own", "b")]
+    again = pages.page_metadata(spark.createDataFrame([(1, "u", "<title>A</title>"), (2, "u", "<title>B</title>")], "n int, url string, html string"), ("n", "url"))
+    assert sorted((r.n, r.url, r.title) for r in again.collect()) == [(1, "u", "A"), (2, "u", "B")]
+
+
+def test_verdicts_leave_other_columns_alone(spark):
+    roster = names.name_forms(spark.createDataFrame([("A", 1, "Ann Bea Lee", "", "", "")], "kol_id string, roster_seq int, kol_name string, suffix string, affiliation string, specialty string"))
+    rows = spark.createDataFrame([("A", 1, "Dr. Ann Lee", "", "", "mine")], "kol_id string, roster_seq int, title string, description string, body_text string, _own string")
+    got = identity.verdicts(rows, roster)
+    assert got.columns == [*rows.columns, "validity", "validity_signals"] and got.first()._own == "mine"
+
+
 def test_identity(spark):
     people = [("A", "Michael Scott Perry", "MD", "Cook Children's Medical Center", "Neurology"), ("B", "Ghulam Rehman (Manni) Mohy-Ud-Din (Mohyuddin)", "", "", ""), ("C", "()", "", "", "")]
     roster = names.name_forms(spark.createDataFrame([(k, 1, n, s, a, f) for k, n, s, a, f in people], "kol_id string, roster_seq int, kol_name string, suffix string, affiliation string, specialty string"))
@@ -140,3 +157,8 @@ def test_monitor_end_to_end(spark, tmp_path):
     assert (done.total_results, done.kols_zero_results, done.degraded) == (1, 1, False)
     r = spark.read.parquet(f"{tmp_path}/output").first()
     assert (r.KOL_ID, r.Title, r.Activity_Type, r.Validity, r.Validity_Signals) == ("K1", "Dr. Ann Lee said", "Press", "VALID", "titled-name")
+    page = spark.createDataFrame([("https://a.org/news/1", "<title>Nobody said</title>")], tables.PAGES)
+    done = M.monitor(spark, raw, items, page, log, f"file://{tmp_path}/drop", dataclasses.replace(run, identity_gate="drop", promote_empty_run=True)).first()
+    assert (done.total_results, done.dropped_by_gate, done.review_rows, done.kols_zero_results) == (0, 1, 0, 2)
+    tagged = M.monitor(spark, raw, items, page, log, f"file://{tmp_path}/tag", run).first()
+    assert (tagged.total_results, tagged.dropped_by_gate, tagged.review_rows) == (1, 0, 1)
