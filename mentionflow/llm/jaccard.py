@@ -342,9 +342,8 @@ def in_parts(n: Column, words: Column, most: int, most_words: int) -> Column:
 
 
 def sent(texts: DataFrame, places: DataFrame, columns: list[str]) -> DataFrame:
-    """places (node and columns) with the text of each node. Texts move once, whatever the number of a node's places."""
+    """places (node and columns) with the text of each node. A text moves once, whatever the number of its places."""
     wanted = places.groupBy("node").agg(F.collect_list(F.struct(*columns)).alias("at"))
-    # Always a merge join: at some size texts would be shuffled anyway, and the plan should be the same at every size.
     return texts.join(wanted.hint("merge"), "node").select("node", "text", F.inline("at"))
 
 
@@ -407,13 +406,17 @@ def similar_documents(docs: DataFrame, threshold: str = THRESHOLD, tolerance: fl
     nodes = each.join(reps.select(F.col("node").alias("rid")), "rid").select(F.col("rid").alias("node"), "words", "bands")
     near = balls(buckets_of(nodes, scratch), scratch)
     scratch.drop("keyed")
-    found = links_of(each.select(F.col("rid").alias("node"), "text"), near, scratch, threshold, tolerance, ball, block)
+    # All texts move once, in a merge join: at some size they would be shuffled anyway, and the plan should be the same at
+    # every size. What moves after that are the texts of balls only.
+    texts = each.select(F.col("rid").alias("node"), "text").join(near.select("node").distinct().hint("merge"), "node")
+    texts = scratch.keep(texts, "texts")
+    found = links_of(texts, near, scratch, threshold, tolerance, ball, block)
     linked = components(found.select(F.col("root").alias("u"), F.col("node").alias("v")), scratch, "linked")
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     placed = reps.join(linked, "node", "left").join(links, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = placed.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     classes = scratch.keep(placed.join(lowest, "label").select("h1", "h2", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "copy_id", "n_copies"), "classes")
-    for step in ("balls", "large", "found", "deltas", "marked", "rest", "reps", "linked-labels"):
+    for step in ("texts", "balls", "large", "found", "deltas", "marked", "rest", "reps", "linked-labels"):
         scratch.drop(step)
     return each.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "class_id", "n_links", "copy_id", "n_copies", "h1")
 
