@@ -24,6 +24,35 @@ def test_reply_tree_paths_and_ranks(spark):
     assert sorted(tuple(t.text for t in r.turns) for r in best) == [("orphan",), ("q", "high", "", "best")]
 
 
+@pytest.mark.parametrize("keep", [None, 2])
+def test_branches_are_ranked_within_their_tree(spark, keep):
+    """Trees that branch at random, one much wider than the others, against paths walked by hand."""
+    import random
+
+    rng = random.Random(8)
+    rows, parent, score = [], {}, {}
+    for tree, n in ((1, 200), (2, 15), (3, 1), (4, 30)):
+        for i in range(n):
+            node = f"{tree}-{i:03}"
+            parent[node] = f"{tree}-{rng.randrange(max(0, i - 12), i):03}" if i else None
+            score[node] = float(rng.randrange(4))
+            rows.append((tree, node, parent[node], score[node], rng.choice(["user", "assistant"]), f"text {node}"))
+    want = {}
+    for leaf in set(parent) - set(parent.values()):
+        path, at = [], leaf
+        while at:
+            path, at = [at, *path], parent[at]
+        want.setdefault(int(leaf[0]), []).append((-sum(score[x] for x in path) / len(path), path))
+    got = {}
+    for r in chat.read_back(chat.format_paths(spark.createDataFrame(rows, NODES), keep=keep)).collect():
+        got.setdefault(r.tree, {})[r.branch_rank] = (-r.score, [t.text[5:] for t in r.turns])
+    for tree, paths in want.items():
+        n = min(len(paths), keep or len(paths))
+        assert sorted(got[tree]) == list(range(1, n + 1))
+        assert [got[tree][k][0] for k in sorted(got[tree])] == pytest.approx([s for s, _ in sorted(paths)][:n])
+        assert {tuple(p) for _, p in got[tree].values()} <= {tuple(p) for _, p in paths}
+
+
 def test_long_thread_takes_few_rounds(spark):
     rows = [(1, f"{i:04}", f"{i - 1:04}" if i else None, 0.0, "user", str(i)) for i in range(300)]
     r = chat.read_back(chat.format_paths(spark.createDataFrame(rows, NODES))).first()
@@ -80,6 +109,13 @@ def test_many_runs_merge_in_rounds(spark, docs):
     assert sorted(map(tuple, got.collect()), key=str) == exact_by_hand(rows)
 
 
+def test_runs_merge_into_one_sorted_run():
+    a = [(b"a", 1, 5, 9, 1), (b"b", 1, 5, None, 2)]
+    b = [(b"a", 1, 5, 3, 4), (b"a", 1, 6, 1, 1), (b"c", 2, 0, 7, 1)]
+    c = [(b"b", 1, 5, None, 1)]
+    assert dedup.merged([a, b, c]) == [(b"a", 1, 5, 3, 5), (b"a", 1, 6, 1, 1), (b"b", 1, 5, None, 3), (b"c", 2, 0, 7, 1)]
+
+
 def test_one_row_of_each_group_stays(nasty):
     kept = dedup.drop_exact_copies(nasty)
     assert kept.columns == nasty.columns

@@ -162,6 +162,47 @@ def test_classifier_on_odd_tables(spark, nasty, docs):
         assert quality.score(nasty.limit(0), model, ["doc_id"]).count() == 0
 
 
+def features_by_hand(text):
+    """Counts of the features of one text, one at a time."""
+    prime, mask, found = 0x100000001B3, 2**64 - 1, Counter()
+
+    def bucket(h):
+        h = (h ^ (h >> 32)) * 0x9E3779B97F4A7C15 & mask
+        return h >> (64 - quality.BUCKETS.bit_length() + 1)
+
+    plain = "".join(" " if ord(c) <= 32 or ord(c) == 0xA0 else c for c in text) + " "
+    words = [w for w in plain.split(" ") if w]
+    seen, backs = {}, []
+    for k, w in enumerate(words):
+        h = sum(ord(c) * pow(prime, min(j, 255), 2**64) for j, c in enumerate(w)) & mask
+        found[bucket(h + 0x51 & mask)] += 1
+        backs.append(k - seen[h] if h in seen else 0)
+        seen[h] = k
+        token = (100 if k and backs[k] and backs[k] == backs[k - 1] else 0) + int(np.ceil(np.log2(backs[k] + 1)))
+        found[bucket(token + 0x5252)] += 1
+    chars = re.sub(" +", " ", plain)
+    for n in quality.GRAMS:
+        for k in range(len(chars) - n + 1):
+            h = 0
+            for c in chars[k : k + n]:
+                h = h * prime + ord(c) & mask
+            found[bucket(h + (n << 40) & mask)] += 1
+    return found
+
+
+def test_scores_against_plain_features(spark, docs, sf_dir):
+    """Scoring a table is the mean of the model's numbers over features counted by hand, whatever shares a batch with a text."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect() if len(r.text or "") < 4000]
+    rows += [(1000, None), (1001, ""), (1002, " \n "), (1003, "one"), (1004, "a b a b a b  a\tb é日🎉 é日🎉"), (1005, "x" * 3000)]
+    rng = np.random.default_rng(2)
+    model = (rng.normal(size=quality.BUCKETS).astype(np.float32), 0.25)
+    got = {r.doc_id: r.score for r in quality.score(docs(rows), model, ["doc_id"]).collect()}
+    for i, text in rows:
+        n = features_by_hand(text) if text else Counter()
+        mean = sum(float(model[0][b]) * k for b, k in n.items()) / max(1, sum(n.values()))
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(mean + 0.25))), rel=1e-9)
+
+
 def test_features_do_not_cross_documents():
     together, alone = quality.features(["ab cd", "ef"]), [quality.features([t])[1] for t in ("ab cd", "ef")]
     for k in (0, 1):
@@ -197,6 +238,69 @@ def test_pseudonyms_keep_the_format(kind, value):
     assert pii.pseudonymised(text, b"other key")[0] != new
 
 
+def test_a_day_has_one_pseudonym_in_all_forms():
+    import datetime
+
+    new = lambda v: pii.pseudonymised(f"on {v} x", KEY)[0].split()[1]
+    for k in range(400):
+        day = datetime.date(2023, 1, 1) + datetime.timedelta(k)
+        iso = new(day.isoformat())
+        y, m, d = iso.split("-")
+        assert new(day.strftime("%d/%m/%Y")) == f"{d}/{m}/{y}" and new(day.strftime("%Y.%m.%d")) == f"{y}.{m}.{d}"
+        if day.day > 12:
+            assert new(day.strftime("%m/%d/%Y")) == f"{m}/{d}/{y}"
+
+
+def plain_values(text):
+    """Addresses, dates, social security numbers and IPv4 addresses by another way: words are cut out and taken apart."""
+    import datetime
+
+    found = []
+    for m in re.finditer(r"[^\s,;:!?()<>\"']+", text):
+        word = m.group().rstrip(".")
+        digits = [p for p in re.split(r"[-/.]", word)]
+        if word.count("@") == 1 and "." in word.partition("@")[2] and re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", word):
+            found.append(("email", m.start(), m.start() + len(word)))
+        elif all(p.isascii() and p.isdigit() for p in digits):
+            if word.count(".") == 3 and all(int(p) < 256 and str(int(p)) == p for p in digits):
+                found.append(("ipv4", m.start(), m.start() + len(word)))
+            elif word.count("-") == 2 and [len(p) for p in digits] == [3, 2, 4]:
+                a, b, c = map(int, digits)
+                if 0 < a < 900 and a != 666 and b and c:
+                    found.append(("ssn", m.start(), m.start() + len(word)))
+            elif len(digits) == 3 and [len(p) for p in digits] == [4, 2, 2] and len(set(re.findall(r"[-/.]", word))) == 1:
+                try:
+                    if 1900 <= datetime.date(*map(int, digits)).year < 2100:
+                        found.append(("date", m.start(), m.start() + len(word)))
+                except ValueError:
+                    pass
+    return found
+
+
+def test_pseudonyms_query_against_another_finder(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got, n = pii.op7_pii_pseudonyms(spark, sf).collect(), Counter()
+    assert len(got) == len(texts)
+    for r in got:
+        text = texts[r.doc_id]
+        if text is None:
+            assert r.text is None and r.spans == ""
+            continue
+        spans = [(k, int(s), int(e)) for k, s, e in (x.rsplit(":", 2) for x in r.spans.split(",") if x)]
+        for value in plain_values(text):
+            n[value[0]] += 1
+            assert value in spans, (r.doc_id, value, text[value[1] : value[2]])
+        # Everything outside the spans is as it was, lengths but those of months and the like are kept, and it can be undone.
+        parts, last = [], 0
+        for _, s, e in spans:
+            parts.append(re.escape(text[last:s]) + ".{1,60}?")
+            last = e
+        assert re.fullmatch("".join(parts) + re.escape(text[last:]), r.text, re.S)
+        assert pii.pseudonymised(r.text, pii.DEMO_KEY, True)[0] == text
+    assert n["email"] > 5, n
+
+
 def test_what_is_not_valid_stays():
     for text in ("2024-02-30 x", "1.2.3.400 x", "000-12-3456", "in 2024 12 34", 'token = "65f8700754a1d8161928a1d0cca87c"', "DE88 3704", "a@b", "v1.2.3.4.5", "7 ٠١٢٣٤٥٦٧٨٩٠١٢٣٤", "7 ١٢٣-٤٥-٦٧٨٩ ٢٠٢٤-٠١-٠٢", ""):
         assert pii.pseudonymised(text, KEY) == (text, [])
@@ -269,8 +373,10 @@ def likeness_by_hand(a, b):
 
 
 def test_fingerprints_of_a_table(spark, nasty):
-    rows = sorted(((i, t or "") for i, t in NASTY), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
-    got = sorted(iblt.document_fingerprints(nasty).collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.n_chars))
+    hashed = {(r.doc_id, r.text): r.h for r in nasty.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    rows = sorted(((i, t or "") for i, t in NASTY), key=lambda r: (r[0] is None, -(r[0] or 0), hashed[r]))
+    place = {(i, len(t)): k for k, (i, t) in enumerate(rows)}
+    got = sorted(iblt.document_fingerprints(nasty).collect(), key=lambda r: place[r.doc_id, r.n_chars])
     assert len(got) == len(rows)
     prints = {}
     for k, ((i, t), r) in enumerate(zip(rows, got, strict=True)):
@@ -285,6 +391,26 @@ def test_fingerprints_of_a_table(spark, nasty):
     assert alone.near_next == 1.0
 
 
+def test_fingerprint_query_against_sets(spark):
+    """All rows of the registered query, in many ranges, against likeness of plain sets."""
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    order = sorted(texts, reverse=True)
+    following = dict(zip(order, [*order[1:], order[0]], strict=True))
+    for ranges in ("3", "37"):
+        spark.conf.set("spark.sql.shuffle.partitions", ranges)
+        try:
+            got = {r.doc_id: r for r in iblt.op10_iblt_fingerprints(spark, sf).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert set(got) == set(texts)
+        for i, r in got.items():
+            text, other = texts[i], texts[following[i]]
+            edit = text[: len(text) - len(text) // 3] + other[: len(text) // 3]
+            assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edit.encode()).hexdigest())
+            assert r.near_edited == likeness_by_hand(text, edit) and r.near_next == likeness_by_hand(text, other)
+
+
 def test_peeling_recovers_differences():
     rng = np.random.default_rng(4)
     left, right, only = [], [], []

@@ -42,6 +42,51 @@ def test_pages_with_copies(spark):
     assert warc.archived(df.limit(0)).count() == 0
 
 
+def test_archives_that_cannot_be_read(spark):
+    head = warc.arc_head(1, "a.arc", "19990101000000") + b"\n"
+    record = warc.arc_record(1, "http://a/", "19990102030405", warc.http_body(5, b"abc"), 0, "a.arc")
+    read = lambda data: list(warc.arc_records(warc.Stream(data)))
+    assert len(read(head + record + b"\n" + record)) == 2 and read(b"") == [] and read(head) == []
+    packed = zlib.compress(head + record, wbits=31)
+    assert len(read(packed)) == 1 and len(read(packed + packed + b"\0" * 9)) == 2
+    for bad in (head + record[:-1], head + record + b"\nnot a header\n", head + b"http://a/ 0.0.0.0 1999 3\nabc", head + b"http://a/ 0", packed[:-9], packed + b"x"):
+        with pytest.raises(ValueError):
+            read(bad)
+    whole = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    back = lambda data: [block for _, block in warc.warc_records(warc.Stream(data))]
+    assert back(whole * 2) == [b"abc", b"abc"] and back(b"") == []
+    for bad in (whole[:-1], whole[:-6], whole + b"junk", whole.replace(b"3", b"2"), whole.replace(b"Content-Length: 3\r\n", b"")):
+        with pytest.raises(ValueError):
+            back(bad)
+
+
+def test_archives_roll_and_pages_may_have_any_url(spark, tmp_path):
+    rows = [(i, "filedesc://x.arc" if i % 5 == 0 else f"http://a/{i}", f"page {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_arc(df, f"file://{tmp_path}/arc", records=7)
+    assert len(list((tmp_path / "arc").glob("*.gz"))) == 8
+    got = {(r.page_id, r.url, bytes(r.payload).decode()) for r in warc.read_arc(spark, f"file://{tmp_path}/arc").collect()}
+    assert got == set(rows)
+
+
+def test_bins_of_different_groups_meet(spark, docs):
+    """More underfull bins than a group may have: they are dealt out anew until that no longer helps."""
+    texts = [(i, "word " * 39) for i in range(300)]  # 40 tokens: three in a sequence of 128
+    rows = packing.packed(docs(texts), capacity=128, group_rows=10, fan_in=2).collect()
+    assert check(rows, texts, 128)[0] <= 104
+
+
+def test_ranks_and_vocabulary_agree(spark):
+    """Ids come from the ranks file of the vocabulary: the same as the tokenizers library gives, on all documents."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    encode = packing.Tokens(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"))
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").toLocalIterator():
+        assert encode(r.text or "") == whole.encode(r.text or "", add_special_tokens=False).ids
+
+
 def test_cut():
     assert packing.cut(1, 8) == [(0, 1)] and packing.cut(8, 8) == [(0, 8)] and packing.cut(17, 8) == [(0, 1), (1, 8), (9, 8)] and packing.cut(16, 8) == [(0, 8), (8, 8)]
 
