@@ -143,34 +143,44 @@ RECENT = X.with_tables(X.DATES, read_dates("dated"), select="SELECT event_id, ac
 
 CLEAN = """
 clean AS (
-  SELECT *, row_number() OVER (PARTITION BY kol_id ORDER BY k) AS roster_seq, deco = 9 AS was,
-         CASE WHEN deco = 9 THEN affiliation ELSE suffix END AS suffix2, CASE WHEN deco = 9 THEN '' ELSE affiliation END AS affiliation2,
-         CASE WHEN deco = 7 THEN concat('Van ', l) ELSE l END AS last
-  FROM roster
+  SELECT CAST(substr(kol_id, 2) AS BIGINT) AS k, kol_id, trim(kol_name) AS kol_name, trim(specialty) AS specialty, was, CASE WHEN was AND trim(suffix) = '' THEN trim(affiliation) ELSE trim(suffix) END AS suffix2,
+         CASE WHEN was THEN '' ELSE trim(affiliation) END AS affiliation2, row_number() OVER (PARTITION BY kol_id ORDER BY kol_name, suffix, affiliation, specialty) AS roster_seq
+  FROM (SELECT *, regexp_full_match(trim(affiliation), '[A-Z]{2,6}([\\s,;./]+[A-Z]{2,6})*') AS was FROM roster) WHERE kol_id <> '' AND trim(kol_name) <> ''
 )"""
-FORMS = """
-forms AS (
-  SELECT *, CASE deco WHEN 8 THEN '' WHEN 9 THEN concat(f, ' ', last) ELSE concat(f, ' ', m, ' ', last) END AS full_form, concat(f, ' ', last) AS short_form,
-         CASE WHEN deco = 9 THEN concat(f, ' ', last) ELSE concat(f, ' ', substr(m, 1, 1), ' ', last) END AS initial_form,
-         CASE WHEN deco IN (4, 5) THEN concat(nick, ' ', last) WHEN deco = 6 THEN concat(f, ' ', alt) ELSE '' END AS extra_form,
-         CASE WHEN deco = 9 THEN '' ELSE split_part('|Mayo Clinic|University of Northfield Department of Neurology|St. Mary Hospital East||', '|', CAST(k % 6 + 1 AS INT)) END AS anchor
-  FROM clean
+_ANY_CASE = "|".join(fixed.CREDENTIALS_ANY)
+_UPPER = "|".join(c.upper() for c in fixed.CREDENTIALS_UPPER)
+_AFTER_COMMA = f"(?i),\\s*({_ANY_CASE}|{_UPPER})([\\s,]+({_ANY_CASE}|{_UPPER}))*$"
+_PLAIN = """trim(regexp_replace(regexp_replace(regexp_replace(marked, '\\([^)]*\\)', ' ', 'g'), '[()"]', ' ', 'g'), '\\s+', ' ', 'g'))"""
+#: Names read step by step: quoted nicknames as parentheticals, parentheticals off, Dr. off, credentials off, surname.
+FORMS = f"""
+named_1 AS (SELECT *, regexp_replace(kol_name, '"([^"]*)"', '(\\1)', 'g') AS marked FROM clean), named_2 AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '(?i)^dr\\.?\\s+', ''), '{_AFTER_COMMA}', ''), '^(\\S+ \\S+.*?)( ({_UPPER}|(?i:{_ANY_CASE})))+$', '\\1') AS full_form,
+         regexp_extract(marked, '\\(([^)]*)\\)', 1) AS token, regexp_matches(marked, '\\)\\s*$') AS at_end
+  FROM named_1
+), named_3 AS (SELECT *, full_form = '' AS nameless, string_split(full_form, ' ') AS w FROM named_2), named_4 AS (
+  SELECT *, CASE WHEN len(w) >= 3 AND replace(lower(w[-2]), '.', '') IN ({_in_list(fixed.SURNAME_PARTICLES)}) THEN 2 ELSE 1 END AS n_last FROM named_3
+), named_5 AS (SELECT *, array_to_string(w[len(w) - n_last + 1:], ' ') AS last, list_transform(w[2:len(w) - n_last], lambda x: x[1]) AS initials FROM named_4), forms AS (
+  SELECT * EXCLUDE (w, initials), concat(w[1], ' ', last) AS short_form, array_to_string(list_concat([w[1]], initials, [last]), ' ') AS initial_form,
+         CASE WHEN length(token) < 2 OR len(w) < 2 THEN '' WHEN at_end THEN concat(w[1], ' ', token) ELSE concat(token, ' ', last) END AS extra_form,
+         array_to_string(string_split(trim(regexp_replace(regexp_replace(affiliation2, '["()]', '', 'g'), '\\s+', ' ', 'g')), ' ')[1:{fixed.MAX_ANCHOR_WORDS}], ' ') AS anchor
+  FROM named_5
 )"""
-_NAMES = """CASE WHEN deco = 9 THEN concat('"', short_form, '"') WHEN anchor <> '' THEN concat('("', full_form, '" OR "', short_form, '")')
-    ELSE concat('("', full_form, '" OR "', short_form, '" OR "', initial_form, '"', CASE WHEN extra_form <> '' THEN concat(' OR "', extra_form, '"') ELSE '' END, ')') END"""
+_ALL = "list_filter(CASE WHEN anchor <> '' THEN [full_form, short_form] ELSE [full_form, short_form, initial_form, extra_form] END, lambda n: n <> '')"
+_OWN = f"list_filter({_ALL}, lambda n, i: list_position({_ALL}, n) = i)"
+_NAMES = f"""CASE WHEN len({_OWN}) = 1 THEN concat('"', full_form, '"') ELSE concat('("', array_to_string({_OWN}, '" OR "'), '")') END"""
 _CLUSTER_LIST = "[" + ", ".join("'" + (f" {c}" if c else "") + "'" for c in fixed.CLUSTERS) + "]"
 MANIFEST = f"""
 numbers AS (SELECT unnest([1, 2, 3, 4, 5, 6]) AS cluster_no), manifest AS (
   SELECT forms.*, cluster_no, concat({_NAMES}, ' {fixed.HONORIFIC}', ({_CLUSTER_LIST})[cluster_no], CASE WHEN anchor <> '' THEN concat(' "', anchor, '"') ELSE '' END) AS query
-  FROM forms, numbers WHERE deco <> 8
+  FROM forms, numbers WHERE NOT nameless
 )"""
 ROSTER_CLEAN = X.with_tables(
     X.ROSTER, CLEAN, select="SELECT kol_id, CAST(roster_seq AS INT) AS roster_seq, trim(kol_name) AS kol_name, suffix2 AS suffix, affiliation2 AS affiliation, specialty, was AS affiliation_was_suffix FROM clean"
 )
 NAME_FORMS = X.with_tables(
     X.ROSTER, CLEAN, FORMS,
-    select="""SELECT kol_id, CAST(roster_seq AS INT) AS roster_seq, full_form AS clean_name, CASE WHEN deco <> 8 THEN full_form END AS full_form, CASE WHEN deco <> 8 THEN short_form END AS short_form,
-       CASE WHEN deco <> 8 THEN initial_form END AS initial_form, CASE WHEN deco <> 8 THEN extra_form END AS extras FROM forms""",
+    select="""SELECT kol_id, CAST(roster_seq AS INT) AS roster_seq, full_form AS clean_name, CASE WHEN NOT nameless THEN full_form END AS full_form, CASE WHEN NOT nameless THEN short_form END AS short_form,
+       CASE WHEN NOT nameless THEN initial_form END AS initial_form, CASE WHEN NOT nameless THEN extra_form END AS extras FROM forms""",
 )
 QUERY_MANIFEST = X.with_tables(X.ROSTER, CLEAN, FORMS, MANIFEST, select="SELECT kol_id, CAST(roster_seq AS INT) AS roster_seq, CAST(cluster_no AS INT) AS cluster_no, query FROM manifest")
 QUERY_CHUNKS = X.with_tables(
@@ -237,13 +247,36 @@ injected AS (
   FROM {pages}
 )"""
 _TITLE = "trim(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'))"
-META = f"""
-meta AS (
-  SELECT page_id, url AS meta_url, CASE page_id % 12 WHEN 0 THEN 'OG title' WHEN 1 THEN 'Tweet' WHEN 9 THEN '' ELSE {_TITLE} END AS m_title,
-         CASE page_id % 12 WHEN 2 THEN 'Plain' WHEN 3 THEN 'OG & more' ELSE '' END AS m_description, CASE page_id % 12 WHEN 3 THEN 'A. Writer' WHEN 4 THEN 'By B' ELSE '' END AS m_author,
-         CASE page_id % 12 WHEN 0 THEN '2024-01-20T08:00:00Z' WHEN 1 THEN '2024-01-21' WHEN 4 THEN '2024-01-22' WHEN 5 THEN '2024-01-23' WHEN 6 THEN '2024-01-24'
-              WHEN 7 THEN '2024-01-25' WHEN 8 THEN 'Jan 26, 2024' WHEN 10 THEN '2024-01-27' ELSE '' END AS m_date
-  FROM pages
+
+
+def _unescaped(text: str) -> str:
+    for name, sign in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        text = f"replace({text}, '{name}', '{sign}')"
+    return text
+
+
+def _first_meta(selectors) -> str:
+    """The content of the first of these meta elements that has any, as the pages write them."""
+    return "coalesce(" + ", ".join(f"""nullif(regexp_extract(html, '<meta {key}="{name}" content="([^"]*)"', 1), '')""" for key, name in selectors) + ")"
+
+
+_PROPS, _CLASSES = "|".join(fixed.DATE_ITEMPROPS), "|".join(fixed.DATE_CLASSES)
+_DATES = (
+    f"trim({_first_meta(fixed.DATE_META)})",
+    """regexp_extract(html, '<time datetime="([^"]*)"', 1)""",
+    f"""regexp_extract(html, '<script type="application/ld\\+json">[^<]*"(?:{_PROPS})": "([^"]*)"', 1)""",
+    f"""regexp_extract(html, 'itemprop="(?:{_PROPS})" content="([^"]*)"', 1)""",
+    f"""trim(regexp_replace(regexp_extract(html, 'class="[^"]*(?:{_CLASSES})"[^>]*>(.*?)</div>', 1), '<[^>]*>', '', 'g'))""",
+)
+#: Metadata read from the HTML, by the elements that the pages can have.
+META = INJECTED.strip("\n") + f""", found_meta AS (
+  SELECT page_id, url, trim(regexp_replace({_unescaped("coalesce(" + _first_meta(fixed.TITLE_META) + ", regexp_extract(html, '<title>([^<]*)</title>', 1), '')")}, '\\s+', ' ', 'g')) AS t,
+         {_unescaped(_first_meta(fixed.DESCRIPTION_META))} AS d, {_unescaped(_first_meta(fixed.AUTHOR_META))} AS a, coalesce({", ".join(f"nullif({x}, '')" for x in _DATES)}) AS w
+  FROM injected
+), meta AS (
+  SELECT page_id, url AS meta_url, CASE WHEN blocked THEN '' ELSE t END AS m_title, CASE WHEN blocked THEN '' ELSE coalesce(d, '') END AS m_description,
+         CASE WHEN blocked THEN '' ELSE coalesce(a, '') END AS m_author, CASE WHEN blocked THEN '' ELSE coalesce(w, '') END AS m_date
+  FROM (SELECT *, {_has("t", "(?:" + fixed.BLOCK_TITLE + ")")} AS blocked FROM found_meta)
 )"""
 PAGE_METADATA = X.with_tables(META, select="SELECT page_id, m_title AS title, m_description AS description, m_author AS author, m_date AS published_date FROM meta")
 PAGE_OVERLAY = X.with_tables(
@@ -268,7 +301,7 @@ RUN_HEALTH = X.with_tables(
     """failed_experts AS (SELECT kol_id, 1 AS roster_seq FROM clean WHERE k % 41 = 0 AND roster_seq = 1), good AS (SELECT f.* FROM final_rows f ANTI JOIN failed_experts e ON f.kol_id = e.kol_id),
     lost_queries AS (SELECT m.* FROM manifest m ANTI JOIN failed_experts e ON m.kol_id = e.kol_id AND m.roster_seq = e.roster_seq WHERE (k * 7 + cluster_no) % 97 = 0 OR (k * 5 + cluster_no) % 89 = 0)""",
     select="""SELECT (SELECT count(*) FROM clean) AS total_kols, (SELECT count(*) FROM failed_experts) AS kols_failed, (SELECT count(*) FROM lost_queries) AS queries_failed,
-      (SELECT count(*) FROM forms f WHERE deco <> 8 AND NOT (roster_seq = 1 AND k % 41 = 0) AND NOT (roster_seq = 1 AND EXISTS (SELECT 1 FROM good g WHERE g.kol_id = f.kol_id))) AS kols_zero_results,
+      (SELECT count(*) FROM forms f WHERE NOT nameless AND NOT (roster_seq = 1 AND k % 41 = 0) AND NOT (roster_seq = 1 AND EXISTS (SELECT 1 FROM good g WHERE g.kol_id = f.kol_id))) AS kols_zero_results,
       (SELECT count(*) FROM good) AS total_results, CAST((SELECT count(*) FROM failed_experts) AS DOUBLE) / (SELECT count(*) FROM clean) * 100 > 10 AS degraded""",
 )
 PROMOTE_OUTPUT = X.with_tables(
@@ -305,8 +338,8 @@ texts AS (SELECT doc_id, m.kol_id, {_HAY} AS hay, f.* EXCLUDE (kol_id) FROM ment
   SELECT *, list_filter([CASE WHEN s_suffix THEN 'suffix-match' ELSE '' END, CASE WHEN s_aff THEN 'affiliation' ELSE '' END, CASE WHEN s_spec THEN 'specialty' ELSE '' END, CASE WHEN s_titled THEN 'titled-name' ELSE '' END], lambda x: x <> '') AS signals
   FROM judged
 ), verdicts AS (
-  SELECT doc_id, kol_id, CASE WHEN deco <> 8 AND (strong OR weak) AND conflict IS NULL AND len(signals) > 0 THEN 'VALID' ELSE 'REVIEW' END AS validity,
-         CASE WHEN deco = 8 THEN 'unparseable-name' WHEN NOT (strong OR weak) THEN 'name-not-visible' WHEN conflict IS NOT NULL THEN concat('suffix-conflict:', conflict)
+  SELECT doc_id, kol_id, CASE WHEN NOT nameless AND (strong OR weak) AND conflict IS NULL AND len(signals) > 0 THEN 'VALID' ELSE 'REVIEW' END AS validity,
+         CASE WHEN nameless THEN 'unparseable-name' WHEN NOT (strong OR weak) THEN 'name-not-visible' WHEN conflict IS NOT NULL THEN concat('suffix-conflict:', conflict)
               WHEN len(signals) = 0 THEN CASE WHEN strong THEN 'no-medical-context' ELSE 'short-name-only' END
               ELSE concat(CASE WHEN strong THEN 'full-name+' ELSE '' END, array_to_string(signals, '+')) END AS validity_signals
   FROM said
@@ -325,7 +358,7 @@ hays AS (SELECT doc_id, {_HAY} AS hay FROM mentions), counted AS (
 ), said_names AS (
   SELECT DISTINCT kol_id, CAST(roster_seq AS INT) AS roster_seq, kind, lower(form) AS form, concat(' ', trim(regexp_replace(lower(anchor), '[^a-z0-9_-]+', ' ', 'g')), ' ') AS anchor FROM (
     SELECT *, 'full' AS kind, full_form AS form FROM forms UNION ALL SELECT *, 'short', short_form FROM forms UNION ALL SELECT *, 'initial', initial_form FROM forms
-    UNION ALL SELECT *, 'extra', extra_form FROM forms WHERE extra_form <> '') WHERE deco <> 8
+    UNION ALL SELECT *, 'extra', extra_form FROM forms WHERE extra_form <> '') WHERE NOT nameless
 ), matches AS (
   SELECT n.kol_id, n.roster_seq, n.kind, n.form, n.anchor, c.* FROM said_names n JOIN counted c ON contains(c.hay, concat(' ', n.form, ' '))
 )"""
@@ -370,14 +403,11 @@ NAME_BUDGET = X.with_tables(
     select=f"""SELECT kol_id, concat('("', array_to_string(l, '" OR "'), '") {fixed.HONORIFIC}') AS query FROM s3""",
 )
 WEBSITE_ONLY = X.with_tables(X.RESULTS, parsed("results"), select=f"SELECT page_id, norm_url, platform FROM urls WHERE {_usable()} AND platform = 'Website'")
-_UNESCAPED = "x"
-for _name, _sign in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-    _UNESCAPED = f"replace({_UNESCAPED}, '{_name}', '{_sign}')"
 PAGE_BODY = f"""
 WITH bodies AS (
   SELECT url, coalesce({_TITLE}, '') AS title, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<body>(.*?)(?:</body>.*)?$', 1), '(?s)<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g') AS x FROM pages
 )
-SELECT url, title, substr(trim(regexp_replace({_UNESCAPED}, '\\s+', ' ', 'g')), 1, {fixed.BODY_CHARS}) AS body_text FROM bodies
+SELECT url, title, substr(trim(regexp_replace({_unescaped("x")}, '\\s+', ' ', 'g')), 1, {fixed.BODY_CHARS}) AS body_text FROM bodies
 """
 _GATED = (X.ROSTER, CLEAN, FORMS, X.MENTIONS, IDENTITY)
 GATE_MODES = X.with_tables(
@@ -392,7 +422,7 @@ GATED_HEALTH = X.with_tables(
     few AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kol_id, roster_seq ORDER BY cluster_no) AS nth FROM lost_queries) WHERE nth <= 3),
     held AS (SELECT *, coalesce(sum(n) OVER (ORDER BY kol_id, roster_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT kol_id, roster_seq, count(*) AS n FROM few GROUP BY ALL)),
     modes AS (SELECT unnest(['tag', 'drop']) AS mode), finals AS (SELECT mode, kept.* FROM kept, modes WHERE mode = 'tag' OR validity = 'VALID'),
-    searched AS (SELECT kol_id, roster_seq FROM forms WHERE deco <> 8 AND NOT (roster_seq = 1 AND k % 41 = 0))""",
+    searched AS (SELECT kol_id, roster_seq FROM forms WHERE NOT nameless AND NOT (roster_seq = 1 AND k % 41 = 0))""",
     select="""SELECT mode, (SELECT count(*) FROM clean) AS total_kols, (SELECT count(*) FROM failed_experts) AS kols_failed, (SELECT count(*) FROM lost_queries) AS queries_failed,
       (SELECT count(*) FROM searched s WHERE NOT (roster_seq = 1 AND kol_id IN (SELECT kol_id FROM finals f WHERE f.mode = modes.mode))) AS kols_zero_results,
       (SELECT count(*) FROM finals f WHERE f.mode = modes.mode AND validity = 'REVIEW') AS review_rows, (SELECT count(*) FROM finals f WHERE f.mode = modes.mode) AS total_results,
@@ -406,5 +436,5 @@ GUARDED_OUTPUT = X.with_tables(
     X.RESULTS, parsed("results"),
     select=f"SELECT place, url, title FROM urls, (SELECT unnest(['output', 'dataset']) AS place) WHERE {_usable()}",
 )
-_ONE_NAME = "forms AS (SELECT *, 0 AS deco, kol_name AS full_form, kol_name AS short_form, kol_name AS initial_form, '' AS extra_form, affiliation AS anchor FROM single_names)"
+_ONE_NAME = "forms AS (SELECT *, false AS nameless, kol_name AS full_form, concat(kol_name, ' ', kol_name) AS short_form, concat(kol_name, ' ', kol_name) AS initial_form, '' AS extra_form, affiliation AS anchor FROM single_names)"
 CORPUS_SEARCH_SINGLE = X.with_tables(X.SINGLE_NAMES, _ONE_NAME, X.MENTIONS, SEARCH, *CORPUS_ANSWERS, select=CORPUS_RANKED)
