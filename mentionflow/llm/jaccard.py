@@ -9,13 +9,14 @@ a task each, many small ones in one: signatures are compared a few values at a t
 the posterior probability of its similarity reaching the threshold is below the tolerance, and what is left
 is verified on the shingles themselves.
 
-A ball too large for a task is first compared with its home alone, in as many tasks as it needs. From home P a
-text x has lost r and gained a shingles. Texts x and y share |P| - r_x - r_y + s shingles, where s is what both
-lost and both gained, so they are linked if num (a_x + a_y) + den (r_x + r_y) - (den - num) |P| is at most
-(num + den) s, for a threshold of num / den. With w = num a + den r, all pairs whose w add up to (den - num) |P| at
-most are linked whatever s is, and counted from a histogram of w: near copies close to their home are never
-paired. Only nodes that this leaves undecided go on, to pairs of blocks, and there only undecided pairs are looked at.
-Tasks return links per node and a spanning forest, never pairs.
+A ball too large for a task is first compared with a centre, in as many tasks as it needs. The centre P is the
+set of shingles that most of a few of its texts have; any set would do. From P a text x has lost r and gained
+a shingles. Texts x and y share |P| - r_x - r_y + s shingles, where s is what both lost and both gained, so they
+are linked if num (a_x + a_y) + den (r_x + r_y) - (den - num) |P| is at most (num + den) s, for a threshold of
+num / den. With w = num a + den r, all pairs whose w add up to (den - num) |P| at most are linked whatever s is,
+and counted from a histogram of w: near copies close to their centre are never paired. Only nodes that this leaves
+undecided go on, to pairs of blocks, and there only undecided pairs are looked at. Tasks return links per node
+and a spanning forest, never pairs.
 
 With 32 bands of 4 values, a pair at the threshold shares no band with probability 5e-8; the tolerance is 1e-9.
 """
@@ -40,6 +41,8 @@ HASHES = BANDS * BAND_ROWS
 #: Texts and words of a ball that one task compares, and of a block of a larger one; words that one vectorised step
 #: hashes; words remembered.
 BALL_DOCS, BALL_WORDS, BLOCK_DOCS, BLOCK_WORDS, STEP_WORDS, KNOWN_WORDS = 600, 600_000, 2000, 600_000, 100_000, 400_000
+#: Texts of a ball that its centre is made of.
+CENTRE_TEXTS = 15
 
 _rng = np.random.default_rng(20240131)
 ODD = (_rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32) | np.uint32(1)
@@ -258,27 +261,30 @@ def verifier(threshold: str, tolerance: float):
 
 
 def measurer(threshold: str):
-    """What each node of a part of a large ball has lost and gained from its home, whose text every part has."""
+    """What each node of a part of a large ball has lost and gained from the centre, which all parts make of the same texts
+    (extra)."""
     num, den = ratio(threshold)
 
     def measure(t: pa.Table) -> pa.Table:
-        known, home = WordHash(), t["home"][0].as_py()
+        known = WordHash()
         node, core, extra = (t[c].to_numpy() for c in ("node", "core", "extra"))
-        texts = t["text"].to_pylist()
-        at = int(np.flatnonzero(node == home)[0])
-        hashes, _ = shingles([texts[at]], known)
-        whole = np.unique(hashes)
-        w, words = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
-        for a, b in slices(texts):
-            hashes, ends = shingles(texts[a:b], known)
-            kept = whole[np.minimum(np.searchsorted(whole, hashes), len(whole) - 1)] == hashes
+        order = np.r_[np.flatnonzero(extra), np.flatnonzero(~extra)]
+        sample, n = int(extra.sum()), int((~extra).sum())
+        texts = t["text"].take(pa.array(order)).to_pylist()
+        hashes, ends = shingles(texts[:sample], known)
+        each = [np.unique(hashes[s:e]) for s, e in zip(np.r_[0, ends[:-1]], ends, strict=True)]
+        values, times = np.unique(np.concatenate(each), return_counts=True)
+        centre = values[times * 2 > sample]
+        w, words = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for a, b in slices(texts[sample:]):
+            hashes, ends = shingles(texts[sample + a : sample + b], known)
             for k, (s, e) in enumerate(zip(np.r_[0, ends[:-1]], ends, strict=True), a):
-                shared, own = len(np.unique(hashes[s:e][kept[s:e]])), len(np.unique(hashes[s:e]))
-                w[k], words[k] = num * (own - shared) + den * (len(whole) - shared), e - s
-        some = np.flatnonzero(~extra)
-        n = len(some)
+                own = np.unique(hashes[s:e])
+                shared = int((centre[np.minimum(np.searchsorted(centre, own), len(centre) - 1)] == own).sum()) if len(centre) else 0
+                w[k], words[k] = num * (len(own) - shared) + den * (len(centre) - shared), e - s
+        at = order[sample:]
         return pa.table(
-            {"home": pa.array([home] * n, pa.int64()), "node": pa.array(node[some], pa.int64()), "core": pa.array(core[some], pa.bool_()), "words": pa.array(words[some], pa.int64()), "w": pa.array(w[some], pa.int64()), "top": pa.array([(den - num) * len(whole)] * n, pa.int64())}
+            {"home": t["home"].take(pa.array(at)), "node": pa.array(node[at], pa.int64()), "core": pa.array(core[at], pa.bool_()), "words": pa.array(words, pa.int64()), "w": pa.array(w, pa.int64()), "top": pa.array([(den - num) * len(centre)] * n, pa.int64())}
         )
 
     return measure
@@ -364,22 +370,23 @@ def links_of(texts: DataFrame, near: DataFrame, scratch: Scratch, threshold: str
     if large.isEmpty():
         return found
 
-    # Large balls: everything is measured from its home, in parts that all have the home's text.
+    # Large balls: everything is measured from the centre, in parts that all have the texts it is made of.
     inside = near.join(large, "home")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != part)
-    copies = F.when(F.col("node") == F.col("home"), others).otherwise(F.array().cast("array<int>"))
-    places = inside.select("node", "home", "core", F.explode(F.concat(F.array(F.struct(part.alias("part"), F.lit(False).alias("extra"))), F.transform(copies, lambda p: F.struct(p.alias("part"), F.lit(True).alias("extra"))))).alias("p"))
-    places = places.select("node", "home", "core", "p.*")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    nth = F.row_number().over(Window.partitionBy("home").orderBy("node"))  # node numbers are in no order: any few nodes
+    first = inside.withColumn("nth", nth).filter(F.col("nth") <= CENTRE_TEXTS).select("node", "home", F.lit(False).alias("core"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("extra"))
+    places = inside.select("node", "home", "core", part, F.lit(False).alias("extra")).unionByName(first)
     deltas = scratch.keep(sent(texts, places, ["home", "core", "part", "extra"]).groupBy("home", "part").applyInArrow(measurer(threshold), DELTA), "deltas")
     counts = deltas.groupBy("home", "w").agg(F.count("*").alias("n"), F.max("top").alias("top"))
     asked = counts.select("home", (F.col("top") - F.col("w")).alias("at"), F.lit(1).alias("later"), F.lit(0).cast("long").alias("n"), "w")
     marks = counts.select("home", F.col("w").alias("at"), F.lit(0).alias("later"), "n", F.lit(None).cast("long").alias("w")).unionByName(asked)
     upto = marks.withColumn("n", F.sum("n").over(Window.partitionBy("home").orderBy("at", "later").rowsBetween(Window.unboundedPreceding, 0))).filter("later = 1")
-    upto = upto.join(counts.groupBy("home").agg(F.max("w").alias("far")), "home").select("home", "w", F.col("n").alias("close"), "far")
+    ends = deltas.groupBy("home").agg(F.max("w").alias("far"), F.min(F.struct("w", "node")).alias("next"))
+    upto = upto.join(ends, "home").select("home", "w", F.col("n").alias("close"), "far", F.col("next.w").alias("least"), F.col("next.node").alias("nearest"))
     marked = scratch.keep(deltas.join(upto, ["home", "w"]), "marked")
+    # Whatever has such a link is linked to the node nearest to the centre.
     itself = F.when(F.col("w") * 2 <= F.col("top"), 1).otherwise(0)
-    direct = marked.filter(F.col("w") <= F.col("top")).select("node", F.col("home").alias("root"), F.when(F.col("core"), F.col("close") - itself).otherwise(0).cast("long").alias("links"))
+    direct = marked.filter(F.col("w") + F.col("least") <= F.col("top")).select("node", F.col("nearest").alias("root"), F.when(F.col("core"), F.col("close") - itself).otherwise(0).cast("long").alias("links"))
 
     # Only nodes with undecided pairs go on.
     open_ = marked.filter(F.col("w") + F.col("far") > F.col("top"))
