@@ -143,7 +143,10 @@ def format_paths(nodes: DataFrame, keep: int | None = None, train_role: str = "a
     best = F.max(F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), or_empty("role").alias("role"), or_empty("text").alias("text"), "tree", "parent")).alias("b")
     one = scratch.keep(nodes.groupBy("id").agg(best).select("id", "b.*"), "given")
     placed = scratch.keep(runs_of(one.select("tree", "id", "parent", "score"), scratch), "placed")
+    scratch.only("given", "placed")
     paths = best_paths(paths_of(placed, scratch), keep, scratch)
+    if keep is None:
+        scratch.only("given", "placed", "ranged")
     steps = paths.select("tree", F.col("last").alias("path_id"), "branch_rank", F.col("score").alias("path_score"), F.posexplode("path").alias("run_no", "head"))
     where = placed.select("head", "dist", "id").join(steps, "head")
     mark = F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n"))

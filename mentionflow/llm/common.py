@@ -36,9 +36,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self.steps: set[str] = set()
 
     def keep(self, df: DataFrame, step: str) -> DataFrame:
         path = f"{self.root}/{step}"
+        self.steps.add(step)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -47,6 +49,12 @@ class Scratch:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{step}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.steps.discard(step)
+
+    def only(self, *steps: str) -> None:
+        """Removes all tables but these, which the result still reads."""
+        for step in self.steps - set(steps):
+            self.drop(step)
 
 
 def smaller(batches, texts=lambda batch: batch["text"], most: int = 2_000_000):

@@ -101,6 +101,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         runs = scratch.keep(runs.select("part", to, *TEXT, "keep_id", "n").groupBy("part", "to").applyInArrow(merge_runs, RUN), f"runs{level + 1}")
         scratch.drop(f"runs{level}")
         last, level = last >> bits, level + 1
+    scratch.only("digests", f"runs{level}")
     best = runs.select(F.inline(F.arrays_zip(*TEXT, "keep_id", F.col("n").alias("group_size"))))
     return each.join(best, list(TEXT)).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 

@@ -423,9 +423,9 @@ def similar_documents(docs: DataFrame, threshold: str = THRESHOLD, tolerance: fl
     placed = reps.join(linked, "node", "left").join(links, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = placed.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     classes = scratch.keep(placed.join(lowest, "label").select("h1", "h2", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "copy_id", "n_copies"), "classes")
-    for step in ("texts", "balls", "large", "found", "deltas", "marked", "rest", "reps", "linked-labels"):
-        scratch.drop(step)
-    return each.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "class_id", "n_links", "copy_id", "n_copies", "h1")
+    ids = scratch.keep(each.select("doc_id", "h1", "h2"), "ids")
+    scratch.only("ids", "classes")
+    return ids.join(classes, ["h1", "h2"]).select("doc_id", "class_id", "n_links", "copy_id", "n_copies", "h1")
 
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:

@@ -98,6 +98,8 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, epochs: int = EPOCHS
     here = [F.struct(time(F.lit(e)).alias("v"), F.col("source_rank"), F.col("key"), F.col("size"), F.lit(e).alias("epoch")) for e in range(epochs)]
     end = F.struct(*[F.lit(last[c]).alias(c) for c in ORDER]) if last else F.lit(None)
     taken = F.when(F.col("size") > 0, F.filter(F.array(*here), lambda t: F.coalesce(t <= end, F.lit(False)) if last else F.lit(False))).otherwise(F.array())
+    for step in ("sizes", "buckets", "turns"):
+        scratch.drop(step)
     taken = queued.withColumn("turns", taken).withColumn("times", F.size("turns"))
     return taken.select("doc_id", "source", "key", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "times", "turns")
 

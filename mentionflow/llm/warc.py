@@ -300,6 +300,8 @@ def archived(pages: DataFrame) -> DataFrame:
     write_arc(pages, f"{scratch.root}/arc")
     convert(read_arc(spark, f"{scratch.root}/arc"), f"{scratch.root}/warc", scratch)
     back = scratch.keep(read_warc(spark, f"{scratch.root}/warc"), "back")
+    for step in ("arc", "warc", "digests", "firsts"):
+        scratch.drop(step)
     responses = back.filter("record_type <> 'revisit'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")).groupBy("refers_to_id").agg(F.min("refers_to").alias("refers_to"))
     revisits = back.filter("refers_to_id is not null").join(responses, "refers_to_id", "left")
     others = back.filter("refers_to_id is null").withColumn("refers_to", F.lit(None).cast("long"))
