@@ -1,6 +1,7 @@
 """URL expressions. A URL is a scheme, '://', a host and the rest; anything else is invalid and gives ''.
 
-Not reproduced: punycode, dot segments and percent-encoding of other characters than blanks.
+As a browser's parser does, tabs and line ends go, dot segments are resolved, and characters that can't stand in a path,
+query or fragment are percent-encoded. Not reproduced: punycode.
 """
 
 from __future__ import annotations
@@ -14,19 +15,27 @@ from .text import WS, col, first_of, let, trimmed
 _URL = r"(?is)^([a-z][a-z0-9+.-]*)://([^/?#]*@)?([^/?#:@\x00-\x20<>\\^|%\[\]]+)(?::(\d*))?(/[^?#]*)?(\?[^#]*)?(#.*)?\z"
 
 
+#: What is percent-encoded in paths and in fragments, besides all that isn't printable ASCII.
+_IN_PATH, _IN_FRAGMENT = r'[^\x21-\x7E]|["<>`{}]', r'[^\x21-\x7E]|["<>`]'
+_DOTS, _TWO_DOTS = r"(?i)(?:\.|%2e)", r"(?i)(?:\.|%2e){2}"
+
+
+def _plain(url: Column | str) -> Column:
+    return F.regexp_replace(trimmed(F.coalesce(col(url), F.lit(""))), r"[\t\n\r\x01]", "")
+
+
 def host(url: Column | str) -> Column:
     """The host in lower case, '' if the URL is invalid."""
-    return F.lower(F.regexp_extract(trimmed(F.coalesce(col(url), F.lit(""))), _URL, 3))
+    return F.lower(F.regexp_extract(_plain(url), _URL, 3))
 
 
 def path(url: Column | str) -> Column:
-    return F.regexp_extract(trimmed(F.coalesce(col(url), F.lit(""))), _URL, 5)
+    return F.regexp_extract(_plain(url), _URL, 5)
 
 
 def parts(url: Column | str) -> Column:
     """scheme, user, host, port, path, query and fragment, by one match; one element if the URL is invalid."""
-    plain = F.replace(trimmed(F.coalesce(col(url), F.lit(""))), F.lit("\x01"), F.lit(""))
-    return F.split(F.regexp_replace(plain, _URL, "\x01".join(f"${k}" for k in range(1, 8))), "\x01")
+    return F.split(F.regexp_replace(_plain(url), _URL, "\x01".join(f"${k}" for k in range(1, 8))), "\x01")
 
 
 def bare(host_: Column) -> Column:
@@ -41,20 +50,48 @@ def host_in(host_: Column, domains) -> Column:
     return h.rlike(rf"(?:^|\.)(?:{either})\z")
 
 
+def _encoded(text: Column, unsafe: str) -> Column:
+    one = lambda c: F.when(c == " ", "%20").when(c.rlike(unsafe), F.url_encode(c)).otherwise(c)
+    return F.when(text.rlike(unsafe), F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), one), "")).otherwise(text)
+
+
+def _without_dots(path_: Column) -> Column:
+    """The path with dot segments resolved; what they leave at its end is stripped later anyway."""
+
+    def step(done: Column, segment: Column) -> Column:
+        up = F.regexp_replace(done, r"/[^/]*\z", "")
+        return F.when(segment.rlike(rf"^{_TWO_DOTS}\z"), up).when(segment.rlike(rf"^{_DOTS}\z"), done).otherwise(F.concat(done, F.lit("/"), segment))
+
+    segments = F.split(path_, "/")
+    resolved = F.aggregate(F.slice(segments, F.lit(2), F.size(segments)), F.lit(""), step)
+    return F.when(path_.rlike(rf"/{_DOTS}{{1,2}}(?:/|\z)"), resolved).otherwise(path_)
+
+
+def _form(text: Column) -> Column:
+    """A name or value of a query, as a form would write it."""
+    return F.url_encode(F.coalesce(F.try_url_decode(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")), text))
+
+
+def _pair(q: Column) -> Column:
+    name, at = F.substring_index(q, "=", 1), F.instr(q, F.lit("="))
+    value = F.when(at > 0, _form(F.substring(q, at + 1, F.length(q)))).otherwise("")
+    return F.when(q.rlike(r"^[A-Za-z0-9*._-]*=[A-Za-z0-9*._-]*\z"), q).otherwise(F.concat(_form(name), F.lit("="), value))
+
+
 def normalized(url: Column | str) -> Column:
     """Scheme and host in lower case, no default port, no trailing slashes but the root's, no tracking parameters."""
 
     def joined(p: Column) -> Column:
         scheme, user, host_, port, path_, query, fragment = (p[k] for k in range(7))
         default = (port == "") | ((F.lower(scheme) == "http") & (port == "80")) | ((F.lower(scheme) == "https") & (port == "443"))
-        stripped = F.replace(F.regexp_replace(path_, r"/+\z", ""), F.lit(" "), F.lit("%20"))
-        pairs = F.filter(F.split(F.substring(query, F.lit(2), F.length(query)), "&"), lambda q: (q != "") & ~F.substring_index(q, "=", 1).isin(*fixed.TRACKING))
-        pairs = F.transform(pairs, lambda q: F.replace(F.when(F.contains(q, F.lit("=")), q).otherwise(F.concat(q, F.lit("="))), F.lit("%20"), F.lit("+")))
+        stripped = F.regexp_replace(_encoded(_without_dots(path_), _IN_PATH), r"/+\z", "")
+        pairs = F.filter(F.split(F.substring(query, F.lit(2), F.length(query)), "&"), lambda q: q != "")
+        pairs = F.filter(F.transform(pairs, _pair), lambda q: ~F.substring_index(q, "=", 1).isin(*fixed.TRACKING))
         return F.concat(
             F.lower(scheme), F.lit("://"), user, F.lower(host_), F.when(default, "").otherwise(F.concat(F.lit(":"), port)),
             let(stripped, lambda s: F.when(s == "", "/").otherwise(s)),
             let(F.array_join(pairs, "&"), lambda kept: F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept))),
-            F.when(fragment == "#", "").otherwise(fragment),
+            F.when(fragment == "#", "").otherwise(_encoded(fragment, _IN_FRAGMENT)),
         )
 
     return let(parts(url), lambda p: F.when(F.size(p) == 7, joined(p)).otherwise(""))

@@ -61,7 +61,7 @@ shown AS (
               WHEN 10 THEN 'http://www.webmd.com/doctor' WHEN 11 THEN 'https://notx.com' WHEN 12 THEN 'HTTP://News.Example.ORG:80' WHEN 13 THEN 'bad url'
               ELSE regexp_extract(page_url, '^(https?://[^/]+)', 1) END,
               CASE page_id % 7 WHEN 0 THEN '/news' WHEN 1 THEN '/doi' WHEN 2 THEN '/events' WHEN 3 THEN '/abstracts' ELSE '' END,
-              CASE WHEN page_id % 29 = 0 THEN '/file.PDF' WHEN page_id % 31 = 0 THEN concat(rest, CASE WHEN rest LIKE '%#%' THEN '' WHEN rest LIKE '%?%' THEN '&a&gclid=7' ELSE '/?gclid=7&b=1%202' END) ELSE rest END) AS url,
+              CASE WHEN page_id % 29 = 0 THEN '/file.PDF' WHEN page_id % 31 = 0 THEN concat(rest, CASE WHEN rest LIKE '%#%' THEN '' WHEN rest LIKE '%?%' THEN '&a&gclid=7&q=ü/b~c*%zz+d' ELSE '/./x/%2E./é b"/?gclid=7&b=1%202&%72ef=z&=1' END) ELSE rest END) AS url,
          concat(CASE page_id % 9 WHEN 0 THEN 'Jane van Roe | ' WHEN 1 THEN 'AACP on Instagram: ' WHEN 2 THEN 'FDA approves ' WHEN 3 THEN 'P4.2-066 '
               WHEN 4 THEN 'NCT01234567 ' WHEN 5 THEN 'Facebook Watch | ' WHEN 6 THEN 'Grand rounds ' ELSE '' END, page_title) AS title,
          CASE page_id % 5 WHEN 0 THEN 'They said so in a report' WHEN 1 THEN 'Register now' ELSE '' END AS description

@@ -31,19 +31,24 @@ def _has(text: str, pattern: str) -> str:
 def parsed(source: str, name: str = "urls") -> str:
     """A CTE with the parts of source.url, its platform and its normalised form."""
     get = lambda k: f"regexp_extract(trim(url), '{_URL}', {k})"
-    pairs = f"list_filter(string_split(substr(query, 2), '&'), lambda p: p <> '' AND split_part(p, '=', 1) NOT IN ({_in_list(fixed.TRACKING)}))"
+    form = lambda x: f"replace(replace(replace(url_encode(url_decode(replace({x}, '+', ' '))), '%20', '+'), '~', '%7E'), '%2A', '*')"
+    pairs = f"list_transform(list_filter(string_split(substr(query, 2), '&'), lambda p: p <> ''), lambda p: concat({form("split_part(p, '=', 1)")}, '=', {form("CASE WHEN contains(p, '=') THEN substr(p, instr(p, '=') + 1) ELSE '' END")}))"
+    pairs = f"list_filter({pairs}, lambda p: split_part(p, '=', 1) NOT IN ({_in_list(fixed.TRACKING)}))"
+    dot = lambda s: f"replace(lower({s}), '%2e', '.')"
+    plain_path = f"list_reduce(list_concat([''], string_split(path, '/')[2:]), lambda a, s: CASE {dot('s')} WHEN '.' THEN a WHEN '..' THEN regexp_replace(a, '/[^/]*$', '') ELSE concat(a, '/', s) END)"
+    safe = lambda text, unsafe: f"array_to_string(list_transform(string_split({text}, ''), lambda c: CASE WHEN regexp_matches(c, '[^\\x21-\\x7E]|[{unsafe}]') THEN url_encode(c) ELSE c END), '')"
     return f"""
 {name}0 AS (
   SELECT *, lower({get(1)}) AS scheme, {get(2)} AS usr, lower({get(3)}) AS host, {get(4)} AS port, {get(5)} AS path, {get(6)} AS query, {get(7)} AS frag
   FROM {source}
 ), {name}1 AS (
-  SELECT *, {_platform("host")} AS platform, replace(regexp_replace(path, '/+$', ''), ' ', '%20') AS short_path,
-         array_to_string(list_transform({pairs}, lambda p: replace(CASE WHEN contains(p, '=') THEN p ELSE concat(p, '=') END, '%20', '+')), '&') AS kept
+  SELECT *, {_platform("host")} AS platform, regexp_replace({safe(plain_path, '"<>`{}')}, '/+$', '') AS short_path,
+         array_to_string({pairs}, '&') AS kept, {safe("frag", '"<>`')} AS safe_frag
   FROM {name}0
 ), {name} AS (
   SELECT *, CASE WHEN host = '' THEN '' ELSE concat(scheme, '://', usr, host,
               CASE WHEN port = '' OR (scheme = 'http' AND port = '80') OR (scheme = 'https' AND port = '443') THEN '' ELSE concat(':', port) END,
-              CASE WHEN short_path = '' THEN '/' ELSE short_path END, CASE WHEN kept = '' THEN '' ELSE concat('?', kept) END, CASE WHEN frag = '#' THEN '' ELSE frag END) END AS norm_url
+              CASE WHEN short_path = '' THEN '/' ELSE short_path END, CASE WHEN kept = '' THEN '' ELSE concat('?', kept) END, CASE WHEN frag = '#' THEN '' ELSE safe_frag END) END AS norm_url
   FROM {name}1
 )"""
 

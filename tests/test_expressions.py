@@ -59,6 +59,8 @@ def test_normalized_url(spark):
     cases = {
         "https://ex.com/a/?utm_source=x&id=1": "https://ex.com/a?id=1", " HTTPS://Ex.COM:443/A//#top ": "https://ex.com/A#top", "http://ex.com:80": "http://ex.com/", "http://ex.com:8080/?": "http://ex.com:8080/",
         "https://ex.com/?a&b=1%202&ref=z&Ref=z": "https://ex.com/?a=&b=1+2&Ref=z", "nope": "", "": "", None: "",
+        "https://ex.com/a/./b/%2e%2E/c d/é🎉/..": "https://ex.com/a/c%20d", "https://ex.com/../x/..": "https://ex.com/", "https://ex.com/<a>#é `": "https://ex.com/%3Ca%3E#%C3%A9%20%60", "https://ex.com/a\nb\tc": "https://ex.com/abc",
+        "https://ex.com/?q=a/b~*&é=ü+x%zz&%72ef=1&=2": "https://ex.com/?q=a%2Fb%7E*&%C3%A9=%C3%BC+x%25zz&=2", "https://ex.com/...?x=%2B": "https://ex.com/...?x=%2B",
     }
     got = column(spark, list(cases), U.normalized("v"))
     assert got == list(cases.values())

@@ -9,7 +9,7 @@ import pytest
 from mentionflow.plans.registry import QUERIES, SQL, flagship
 
 #: These take the same steps as monitor_output and are compared on larger tables by the driver.
-LONG = {"stage_counts", "run_health"}
+LONG = {"stage_counts", "run_health", "gated_health"}
 
 
 @pytest.fixture(scope="module")
