@@ -17,7 +17,7 @@ EXPERT = ["kol_id", "roster_seq"]
 
 def haystack(*parts: Column) -> Column:
     text = F.lower(F.concat_ws(" ", *[F.coalesce(p, F.lit("")) for p in parts]))
-    plain = F.regexp_replace(text, rf"(?:[^A-Za-z0-9_\-]|{WS})+", " ")
+    plain = F.regexp_replace(text, r"[^A-Za-z0-9_\-]+", " ")
     return F.concat(F.lit(" "), F.trim(plain), F.lit(" "))
 
 
