@@ -25,7 +25,7 @@ from .common import or_empty, partitions, table
 #: Cells of the fingerprint that is kept; digests of two versions that are compared at once.
 CELLS, BATCH_DOCS, BATCH_DIGESTS = 24, 512, 200_000
 #: Rows of a range of documents on average at most; rows sampled for each range.
-RANGE_ROWS, SAMPLE = 200_000, 20
+RANGE_ROWS, SAMPLE = 200_000, 50
 PASSAGE = re.compile(r"[^\n.,;:!?]{1,64}[\n.,;:!?]*|[\n.,;:!?]+")
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -186,20 +186,21 @@ def order_keys(no_id: np.ndarray, doc_id: np.ndarray, digest: np.ndarray) -> np.
     return np.ascontiguousarray(np.hstack(parts)).view("S17").ravel()
 
 
-def cuts_of(rows: DataFrame) -> list[tuple]:
-    """(no id, id, digest) of the rows that begin the ranges, the first row of all first. The other cuts come from a sample
-    of SAMPLE rows a range, so what the driver holds is below a thousandth of a thousandth of the texts."""
+def cuts_of(rows: DataFrame) -> np.ndarray:
+    """Keys of the rows that begin the ranges, the first row of all first. The other cuts come from a sample of SAMPLE rows a
+    range: for each range of RANGE_ROWS texts the driver holds less than a kilobyte."""
     n = rows.count()
     if not n:
-        return []
+        return np.zeros(0, "S17")
     ranges = max(partitions(rows.sparkSession), -(-n // RANGE_ROWS))
     top = rows.agg(F.max("doc_id")).first()[0]
     first = rows.filter(F.col("doc_id").eqNullSafe(F.lit(top).cast("long"))).agg(F.min("digest")).first()[0]
-    sample = rows.sample(min(1.0, SAMPLE * ranges / n), seed=5).select(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "digest").collect()
-    sample = sorted(set(map(tuple, sample)), key=lambda r: (r[0], -r[1], r[2]))
-    head = (top is None, top or 0, first)
-    every = max(1, len(sample) // ranges)
-    return [head, *(r for r in sample[every // 2 :: every] if r != head)]
+    head = order_keys(np.array([top is None]), np.array([top or 0]), np.array([first]))
+    sample = rows.sample(min(1.0, SAMPLE * ranges / n), seed=5).select(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "digest").toArrow()
+    keys = np.unique(order_keys(*(c.to_numpy() for c in sample.columns)))
+    every = max(1, len(keys) // ranges)
+    cuts = keys[every // 2 :: every]
+    return np.concatenate([head, cuts[cuts != head[0]]])
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -215,7 +216,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("text")).withColumn("digest", F.xxhash64("text"))
     cuts = cuts_of(rows)
     n = max(1, len(cuts))
-    starts = spark.sparkContext.broadcast(order_keys(*(np.array([c[k] for c in cuts], t) for k, t in enumerate((bool, np.int64, np.int64)))).tobytes())
+    starts = spark.sparkContext.broadcast(cuts.tobytes())  # 17 bytes a range
 
     @F.pandas_udf("part int, feeds int")
     def placed(no_id: pd.Series, doc_id: pd.Series, digest: pd.Series) -> pd.DataFrame:
