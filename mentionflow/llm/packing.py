@@ -10,6 +10,7 @@ dealt out anew instead, so that those of different groups meet, until a round lo
 from __future__ import annotations
 
 import math
+import re
 import zlib
 
 import numpy as np
@@ -29,10 +30,11 @@ BIN = "grp long, full boolean, sequence_id long, fill int, items array<struct<do
 
 
 class Tokens:
-    """Ids of the byte-level BPE vocabulary. Texts that hold the special token's string go to the tokenizers library,
-    others to the same vocabulary as ranks, which gives the same ids several times faster."""
+    """Ids of the byte-level BPE vocabulary. Texts that hold the special token's string or so many blanks in a row that
+    the pattern of the ranks library would overflow its stack go to the tokenizers library, others to the same vocabulary
+    as ranks, which gives the same ids several times faster."""
 
-    special = "<|endoftext|>"
+    special, blanks = "<|endoftext|>", 50_000
 
     def __init__(self, json_path: str, ranks_path: str):
         import base64
@@ -46,7 +48,7 @@ class Tokens:
         self.ranked = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> list[int]:
-        if self.special not in text:
+        if self.special not in text and not (len(text) > self.blanks and any(len(m[0]) > self.blanks for m in re.finditer(r"\s+", text))):
             return self.ranked.encode_ordinary(text)
         if self.whole is None:
             from tokenizers import Tokenizer
@@ -146,7 +148,7 @@ def pack_group(t: pa.Table, level: int, capacity: int, nearly: float) -> pa.Tabl
 def packed(docs: DataFrame, capacity: int = CAPACITY, nearly: float = NEARLY, group_rows: int = GROUP_ROWS, fan_in: int = FAN_IN) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece.
 
-    Null and empty texts are one token (the closing id 0). Rows repeated with one id are packed as often as they
+    Null and empty texts are one token (the closing id 0); texts may have any length and any runs of blanks. Rows repeated with one id are packed as often as they
     stand; an empty table gives no rows; other columns are ignored, whatever their names; null ids are packed like others.
     """
     scratch = Scratch(docs.sparkSession, "packing")

@@ -238,6 +238,16 @@ def test_pseudonyms_keep_the_format(kind, value):
     assert pii.pseudonymised(text, b"other key")[0] != new
 
 
+@pytest.mark.parametrize("n", [255, 256, 257, 3_200, 20_000, 1_000_000])
+def test_pseudonyms_of_long_addresses(n):
+    for value in ("aZ9." * (n // 4) + "q@example.com", "bob@" + "bC-3" * (n // 4) + ".com"):
+        text = f"see {value} now"
+        new, found = pii.pseudonymised(text, b"k")
+        shape = lambda t: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", t)))
+        assert len(found) == 1 and new != text and shape(new) == shape(text) and pii.pseudonymised(new, b"k", undo=True)[0] == text
+        assert pii.pseudonymised(text, b"other")[0] != new == pii.pseudonymised(text, b"k")[0]
+
+
 def test_a_day_has_one_pseudonym_in_all_forms():
     import datetime
 

@@ -1,5 +1,6 @@
 """Archives and packing."""
 
+import gzip
 import zlib
 
 import numpy as np
@@ -20,7 +21,7 @@ def test_arc_versions_and_lengths(spark, tmp_path):
     assert (a.page_id, bytes(a.payload), a.date, a.kind) == (5, b"new\n\nhttp://fake 0 0 0 9\n", "1999-01-02T03:04:05Z", "response")
     assert (d.page_id, bytes(d.payload), d.kind, d.date) == (None, b"abc", "resource", "1999-01-02T00:00:00Z")
     assert bytes(b.payload) == b"\xff\x00" and b.date == "1999-01-02T03:04:00Z" and len({x.record_id for x in got.values()}) == 3
-    warc.convert(warc.read_arc(spark, f"file://{tmp_path}"), f"file://{tmp_path}/warc", Scratch(spark, "test"))
+    warc.convert(spark, f"file://{tmp_path}", f"file://{tmp_path}/warc", Scratch(spark, "test"))
     back = {r.url: (r.record_type, r.payload_bytes, r.payload_digest) for r in warc.read_warc(spark, f"file://{tmp_path}/warc").collect()}
     assert back == {u: (r.kind, r.payload_bytes, r.payload_digest) for u, r in got.items()}
 
@@ -63,12 +64,39 @@ def test_archives_that_cannot_be_read(spark):
 def test_archives_roll_and_pages_may_have_any_url(spark, tmp_path):
     rows = [(i, "filedesc://x.arc" if i % 5 == 0 else f"http://a/{i}", f"page {i}") for i in range(50)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
-    warc.write_arc(df, f"file://{tmp_path}/arc", records=7)
-    assert len(list((tmp_path / "arc").glob("*.gz"))) == 8
+    warc.write_arc(df, f"file://{tmp_path}/arc", limit=2000)
+    files = list((tmp_path / "arc").rglob("*.gz"))
+    assert len(files) > 5 and all(len(gzip.decompress(f.read_bytes())) <= 2000 for f in files)
     got = {(r.page_id, r.url, bytes(r.payload).decode()) for r in warc.read_arc(spark, f"file://{tmp_path}/arc").collect()}
     assert got == set(rows)
 
 
+def test_files_keep_to_their_bytes(spark, tmp_path):
+    """Large pages among small ones, many of them the same: a file holds what fits, a larger page is alone in its file."""
+    large = "x" * 20_000_000
+    rows = [(i, f"http://a/{i}", large if i % 4 == 0 else "y" * (i * 1000) if i % 4 == 1 else "z" * 200) for i in range(24)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_arc(df, f"file://{tmp_path}/arc", limit=30_000)
+    warc.convert(spark, f"file://{tmp_path}/arc", f"file://{tmp_path}/warc", Scratch(spark, "test"), limit=30_000)
+    for folder, marks in (("arc", b"Archive-length"), ("warc", b"WARC/1.1")):
+        for f in (tmp_path / folder).rglob("*.gz"):
+            data = gzip.decompress(f.read_bytes())
+            assert len(data) <= 30_000 or data.count(marks) == 1 and data.count(b"X-Page-Id") == 1
+    back = {r.page_id: (r.record_type, r.payload_bytes) for r in warc.read_warc(spark, f"file://{tmp_path}/warc").collect()}
+    firsts = {html: min(i for i, _, h in rows if h == html) for _, _, html in rows}
+    assert back == {i: ("response" if firsts[h] == i or len(h) < 100 else "revisit", len(h)) for i, _, h in rows}
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\t", "\u3000"])
+def test_long_runs_of_blanks(run):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    encode = packing.Tokens(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"))
+    text = "a" + run * 1_000_000 + "b"
+    assert encode(text) == Tokenizer.from_file(P.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+
+
 def test_bins_of_different_groups_meet(spark, docs):
     """More underfull bins than a group may have: they are dealt out anew until that no longer helps."""
     texts = [(i, "word " * 39) for i in range(300)]  # 40 tokens: three in a sequence of 128
