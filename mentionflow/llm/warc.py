@@ -6,8 +6,9 @@ Every record becomes a WARC record: its identifier is derived from what identifi
 timestamp from the 14 digits of the header line, its type from the scheme and the payload, and digests are
 computed. Records whose payload another record already has become revisits of that record.
 
-Archives are written by the text sink (one record a row, the separator of records as line separator), so
-they go to any file system that Spark writes to; they are read as binary files. Bytes are never decoded.
+Archives are written by the text sink (one record a row, the separator of records as line separator, files by
+the bytes of their records), so they go to any file system that Spark writes to; they are read as binary files.
+Bytes are never decoded.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, table
@@ -31,9 +32,49 @@ ARC_FIELDS = {
 }
 FILEDESC = re.compile(rb"[0-9]+ [0-9]+ [^\n]*\nURL IP-address Archive-date")
 #: Payloads of fewer bytes are never revisits; bytes of records that a batch holds; compressed bytes inflated at once;
-#: records of a file.
-LEAST_BYTES, BATCH_BYTES, PIECE_BYTES, RECORDS = 100, 8_000_000, 262_144, 4096
+#: bytes of a file before it is compressed (a record that is larger alone has a file of its own).
+LEAST_BYTES, BATCH_BYTES, PIECE_BYTES, FILE_BYTES = 100, 8_000_000, 262_144, 64_000_000
 PAGE_HEADER = b"X-Page-Id"
+ROLLED = "file string, number long, value binary"
+
+
+class Rolled:
+    """Records of a task dealt out to files by their bytes, in batches for the sink."""
+
+    def __init__(self, limit: int):
+        self.limit, self.task, self.files, self.used, self.rows, self.size, self.number = limit, TaskContext.get().partitionId(), 0, 0, [], 0, 0
+
+    def begins(self, size: int) -> bool:
+        """Whether a record of so many bytes is the first of a new file."""
+        if self.files and self.used + size <= self.limit:
+            return False
+        self.files, self.used = self.files + 1, 0
+        return True
+
+    @property
+    def file(self) -> str:
+        return f"{self.task:06d}-{self.files:06d}"
+
+    def add(self, record: bytes) -> None:
+        self.rows.append((self.file, self.number, record))
+        self.number += 1
+        self.used += len(record) + 4
+        self.size += len(record)
+
+    def full(self):
+        if self.size > BATCH_BYTES:
+            yield from self.rest()
+
+    def rest(self):
+        if self.rows:
+            yield as_batch(self.rows, ROLLED)
+        self.rows, self.size = [], 0
+
+
+def write_rolled(rows: DataFrame, path: str, separator: str) -> None:
+    """Rows of ROLLED as gzipped files, one for each name in "file", records in order of their number."""
+    rows = rows.select("file", "number", F.col("value").cast("string").alias("value")).sortWithinPartitions("file", "number")
+    rows.select("file", "value").write.partitionBy("file").option("lineSep", separator).option("compression", "gzip").text(path)
 
 
 # -- ARC -------------------------------------------------------------------------------------------
@@ -59,54 +100,51 @@ def http_body(page_id: int | None, payload: bytes) -> bytes:
     return b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + own + b"Content-Length: %d\r\n\r\n" % len(payload) + payload
 
 
-def write_arc(pages: DataFrame, path: str, date: str = "20240131000000", records: int = RECORDS) -> None:
-    """pages (page_id, url, html) as gzipped ARC files of so many records at most, of version 1 and 2 by turns. A null url is
-    written as '-'; other columns are ignored."""
+def write_arc(pages: DataFrame, path: str, date: str = "20240131000000", limit: int = FILE_BYTES) -> None:
+    """pages (page_id, url, html) as gzipped ARC files of so many bytes at most (before they are compressed; a larger page
+    has a file of its own), of version 1 and 2 by turns. A null url is written as '-'; other columns are ignored."""
 
     def written(batches):
-        number, files, left = TaskContext.get().partitionId(), 0, 0
-        rows, size = [], 0
+        out = Rolled(limit)
         for batch in batches:
             for page_id, url, html in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist(), batch["html"], strict=True):
-                if not left:  # the sink begins a file after as many rows as this
-                    version, name = (number + files) % 2 + 1, f"part-{number:06d}-{files:03d}.arc"
-                    rows.append(arc_head(version, name, date))
-                    files, left, offset = files + 1, records, len(rows[-1]) + 1
                 body = http_body(page_id, html.as_buffer().to_pybytes() if html.is_valid else b"")
-                rows.append(arc_record(version, quote(url or "-", safe=":/?#[]@!$&'()*+,;=%~"), date, body, offset, name))
-                left, size, offset = left - 1, size + len(rows[-1]), offset + len(rows[-1]) + 1
-                if size > BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
-                    rows, size = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["value"])
+                url = quote(url or "-", safe=":/?#[]@!$&'()*+,;=%~")
+                if out.begins(len(body) + len(url) + 200):
+                    version, name = (out.task + out.files) % 2 + 1, f"part-{out.file}.arc"
+                    out.add(arc_head(version, name, date))
+                    offset = len(out.rows[-1][2]) + 1
+                out.add(arc_record(version, url, date, body, offset, name))
+                offset += len(out.rows[-1][2]) + 1
+                yield from out.full()
+        yield from out.rest()
 
-    rows = pages.select(F.col("page_id").cast("long"), "url", F.col("html").cast("binary").alias("html")).mapInArrow(written, "value binary")
-    rows.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", records + 1).text(path)
+    write_rolled(pages.select(F.col("page_id").cast("long"), "url", F.col("html").cast("binary").alias("html")).mapInArrow(written, ROLLED), path, "\n")
 
 
 class Stream:
     """The content of a file, plain or of any number of gzip members, inflated piece by piece as it is read."""
 
-    def __init__(self, data: bytes):
-        self.pieces, self.have, self.at = self.inflated(data), b"", 0
+    def __init__(self, data: bytes | memoryview):
+        self.pieces, self.have, self.at = self.inflated(memoryview(data).cast("B")), b"", 0
 
     @staticmethod
-    def inflated(data: bytes):
+    def inflated(data: memoryview):
+        at = 0
         if data[:2] != b"\x1f\x8b":
-            yield data
+            for at in range(0, len(data), PIECE_BYTES):
+                yield bytes(data[at : at + PIECE_BYTES])
             return
-        at, view = 0, memoryview(data)
         while data[at : at + 2] == b"\x1f\x8b":
             member = zlib.decompressobj(31)
             while not member.eof:
                 if at >= len(data):
                     raise ValueError("a gzip member is cut short")
-                piece = view[at : at + PIECE_BYTES]
+                piece = data[at : at + PIECE_BYTES]
                 at += len(piece)
                 yield member.decompress(piece)
             at -= len(member.unused_data)
-        if data[at:].strip(b"\0"):
+        if any(bytes(data[k : k + PIECE_BYTES]).strip(b"\0") for k in range(at, len(data), PIECE_BYTES)):
             raise ValueError(f"byte {at} of the file begins no gzip member")
 
     def more(self) -> bool:
@@ -175,31 +213,48 @@ def timestamp(date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-PARSED = "page_id long, url string, date string, mime string, record_id string, kind string, head binary, payload binary, payload_bytes long, payload_digest string"
+#: The parts that are moved when records are compared, and what else a record has.
+NARROW = "file string, place long, page_id long, record_id string, payload_bytes long, payload_digest string"
+PARSED = NARROW + ", url string, date string, mime string, kind string, head binary, payload binary"
+
 
+def parsed_records(file: Stream):
+    """(page_id, record_id, url, date, mime, kind, head, payload) of each record of an ARC file."""
+    for fields, body in arc_records(file):
+        cut = body.find(b"\r\n\r\n") + 4 if body.startswith(b"HTTP/") else 0
+        head, payload = body[: max(cut, 0)], body[max(cut, 0) :]
+        page = header(head, PAGE_HEADER)
+        own = hashlib.md5("|".join((fields["URL"], fields["Archive-date"])).encode() + hashlib.sha256(body).digest()).hexdigest()
+        kind = "response" if cut else "resource"
+        yield int(page) if page else None, f"<urn:uuid:{own[:8]}-{own[8:12]}-{own[12:16]}-{own[16:20]}-{own[20:]}>", fields["URL"], timestamp(fields["Archive-date"]), fields["Content-type"], kind, head, payload
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of ARC files: what WARC needs of each. A record's identifier is a hash of its header and body."""
+
+def files_of(spark: SparkSession, path: str) -> DataFrame:
+    """path and content of the files of a folder and its folders, a row each."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
+
+
+def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """The records of ARC files: what WARC needs of each, its file and place there; without payloads only what is narrow.
+    A record's identifier is a hash of its header and body. A task holds one file as it lies on disk, and one batch of
+    records; files are inflated piece by piece."""
 
     def parsed(batches):
         for batch in batches:
-            for content in batch["content"]:
+            for name, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
                 rows, size = [], 0
-                for fields, body in arc_records(Stream(content.as_buffer().to_pybytes())):
-                    cut = body.find(b"\r\n\r\n") + 4 if body.startswith(b"HTTP/") else 0
-                    head, payload = body[: max(cut, 0)], body[max(cut, 0) :]
-                    page = header(head, PAGE_HEADER)
-                    own = hashlib.md5("|".join((fields["URL"], fields["Archive-date"])).encode() + hashlib.sha256(body).digest()).hexdigest()
-                    kind = "response" if cut else "resource"
-                    rows.append((int(page) if page else None, fields["URL"], timestamp(fields["Archive-date"]), fields["Content-type"], f"<urn:uuid:{own[:8]}-{own[8:12]}-{own[12:16]}-{own[16:20]}-{own[20:]}>", kind, head, payload, len(payload), hashlib.sha256(payload).hexdigest()))
-                    size += len(body)
+                for place, (page, own, url, date, mime, kind, head, payload) in enumerate(parsed_records(Stream(content.as_buffer()))):
+                    row = (name, place, page, own, len(payload), hashlib.sha256(payload).hexdigest())
+                    rows.append((*row, url, date, mime, kind, head, payload) if payloads else row)
+                    size += len(payload) if payloads else 500
                     if size > BATCH_BYTES:
-                        yield as_batch(rows, PARSED)
+                        yield as_batch(rows, schema)
                         rows, size = [], 0
                 if rows:
-                    yield as_batch(rows, PARSED)
+                    yield as_batch(rows, schema)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parsed, PARSED)
+    schema = PARSED if payloads else NARROW
+    return files_of(spark, path).mapInArrow(parsed, schema)
 
 
 ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
@@ -214,37 +269,52 @@ def as_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 # -- WARC ------------------------------------------------------------------------------------------
 
 
-def bytes_of(*parts: Column | str) -> Column:
-    return F.concat(*[(F.lit(p) if isinstance(p, str) else p).cast("binary") for p in parts])
-
-
-def warc_record() -> Column:
-    """The bytes of a record but for the two line ends after it. A revisit keeps the HTTP head, not the payload."""
-    revisit = F.col("first_id").isNotNull()
-    block = F.when(revisit, F.col("head")).otherwise(bytes_of(F.col("head"), F.col("payload")))
-    kind = F.when(revisit, "revisit").otherwise(F.col("kind"))
-    mime = F.when(F.col("kind") == "response", "application/http; msgtype=response").otherwise(F.col("mime"))
-    refers = F.when(
-        revisit, F.concat(F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: "), F.col("first_id"), F.lit("\r\n"))
-    ).otherwise("")
-    lines = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "), kind, F.lit("\r\nWARC-Record-ID: "), F.col("record_id"), F.lit("\r\nWARC-Date: "), F.col("date"), F.lit("\r\nWARC-Target-URI: "), F.col("url"),
-        F.lit("\r\nWARC-Payload-Digest: sha256:"), F.col("payload_digest"), F.lit("\r\nWARC-Block-Digest: sha256:"), F.sha2(block, 256), F.lit("\r\n"), refers,
-        F.lit("Content-Type: "), mime, F.lit("\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"),
-    )
-    return bytes_of(lines, block)
+def warc_record(record: tuple, first_id: str | None) -> bytes:
+    """The bytes of a record (of parsed_records) but for the two line ends after it. A revisit of first_id keeps the HTTP
+    head, not the payload."""
+    _, own, url, date, mime, kind, head, payload = record
+    block = head + payload if first_id is None else head
+    refers = "" if first_id is None else f"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: {first_id}\r\n"
+    lines = (
+        f"WARC/1.1\r\nWARC-Type: {kind if first_id is None else 'revisit'}\r\nWARC-Record-ID: {own}\r\nWARC-Date: {date}\r\nWARC-Target-URI: {url}\r\n"
+        f"WARC-Payload-Digest: sha256:{hashlib.sha256(payload).hexdigest()}\r\nWARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}\r\n{refers}"
+        f"Content-Type: {'application/http; msgtype=response' if kind == 'response' else mime}\r\nContent-Length: {len(block)}\r\n\r\n"
+    )
+    return lines.encode() + block
 
 
-def convert(records: DataFrame, path: str, scratch: Scratch, least_bytes: int = LEAST_BYTES) -> None:
-    """Writes ARC records as gzipped WARC files. Of records with equal payloads of least_bytes or more, those with the
-    smallest page id (and the smallest identifier of these) stay responses, the others become revisits."""
-    narrow = scratch.keep(records.select("page_id", "record_id", "payload_bytes", "payload_digest"), "digests")
+def revisits(narrow: DataFrame, scratch: Scratch, least_bytes: int = LEAST_BYTES) -> DataFrame:
+    """file, places, first_ids of the records that repeat an earlier one's payload of least_bytes or more: those of the
+    smallest page id (and of these the smallest identifier) are what the others refer to. Payloads are not moved."""
     key = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "record_id")
     firsts = narrow.filter(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.min(key).alias("first"), F.count("*").alias("n")).filter("n > 1")
     # Kept as a table, so that its size is known: Spark sends it to all tasks if it is small and shuffles if not.
     firsts = scratch.keep(firsts.select("payload_digest", F.col("first.page_id").alias("first_page"), F.col("first.record_id").alias("first_id")), "firsts")
-    marked = records.join(firsts, "payload_digest", "left").withColumn("first_id", F.when(~F.col("page_id").eqNullSafe(F.col("first_page")), F.col("first_id")))
-    marked.select(warc_record().cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
+    again = narrow.join(firsts, "payload_digest").filter(~F.col("page_id").eqNullSafe(F.col("first_page")))
+    of_file = again.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("place", "first_id"))).alias("r"))  # as many as a file has records
+    return of_file.select("file", F.col("r.place").alias("places"), F.col("r.first_id").alias("first_ids"))
+
+
+def convert(spark: SparkSession, arc: str, path: str, scratch: Scratch, least_bytes: int = LEAST_BYTES, limit: int = FILE_BYTES) -> None:
+    """Writes the records of the ARC files in a folder as gzipped WARC files of so many bytes at most before they are
+    compressed. Each archive meets the list of its own revisits, so that what is moved, if anything, are archives as they
+    lie on disk, by their names: pages that many records share make no task larger."""
+    again = revisits(scratch.keep(read_arc(spark, arc, payloads=False), "digests"), scratch, least_bytes)
+
+    def written(batches):
+        out = Rolled(limit)
+        for batch in batches:
+            for content, places, first_ids in zip(batch["content"], batch["places"].to_pylist(), batch["first_ids"].to_pylist(), strict=True):
+                first = dict(zip(places or (), first_ids or (), strict=True))
+                for place, record in enumerate(parsed_records(Stream(content.as_buffer()))):
+                    data = warc_record(record, first.get(place))
+                    out.begins(len(data) + 4)
+                    out.add(data)
+                    yield from out.full()
+        yield from out.rest()
+
+    archives = files_of(spark, arc).withColumnRenamed("path", "file").join(again, "file", "left").select("content", "places", "first_ids")
+    write_rolled(archives.mapInArrow(written, ROLLED), path, "\r\n\r\n")
 
 
 def warc_records(file: Stream):
@@ -270,7 +340,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 rows = []
-                for lines, block in warc_records(Stream(content.as_buffer().to_pybytes())):
+                for lines, block in warc_records(Stream(content.as_buffer())):
                     get = lambda name, lines=lines: (header(lines, name) or b"").decode() or None
                     cut = block.find(b"\r\n\r\n") + 4 if block.startswith(b"HTTP/") else 0
                     head, payload = block[:cut], block[cut:]
@@ -286,7 +356,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield as_batch(rows, READ)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parsed, READ)
+    return files_of(spark, path).select("content").mapInArrow(parsed, READ)
 
 
 def archived(pages: DataFrame) -> DataFrame:
@@ -298,14 +368,14 @@ def archived(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
     write_arc(pages, f"{scratch.root}/arc")
-    convert(read_arc(spark, f"{scratch.root}/arc"), f"{scratch.root}/warc", scratch)
+    convert(spark, f"{scratch.root}/arc", f"{scratch.root}/warc", scratch)
     back = scratch.keep(read_warc(spark, f"{scratch.root}/warc"), "back")
     for step in ("arc", "warc", "digests", "firsts"):
         scratch.drop(step)
     responses = back.filter("record_type <> 'revisit'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")).groupBy("refers_to_id").agg(F.min("refers_to").alias("refers_to"))
-    revisits = back.filter("refers_to_id is not null").join(responses, "refers_to_id", "left")
+    again = back.filter("refers_to_id is not null").join(responses, "refers_to_id", "left")
     others = back.filter("refers_to_id is null").withColumn("refers_to", F.lit(None).cast("long"))
-    return revisits.unionByName(others).select("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return again.unionByName(others).select("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_warc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
