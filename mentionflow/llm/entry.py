@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import chat, dedup, iblt, jaccard, mixing, packing, pii, quality, repair, secrets, warc
+from . import chat, dedup, divergence, iblt, jaccard, mixing, packing, pii, quality, repair, secrets, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_iblt_fingerprints": iblt.op10_iblt_fingerprints,
+    "op11_source_divergence": divergence.op11_source_divergence,
     "op13_periodic_runs": repair.op13_periodic_runs,
 }
 
@@ -21,4 +22,5 @@ SQL = {
     "op2_warc_convert": warc.OP2_SQL,
     "op3_exact_dedup": dedup.OP3_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
+    "op11_source_divergence": divergence.OP11_SQL,
 }
