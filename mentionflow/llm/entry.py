@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL, for __spark_entry__.py."""
 
-from . import chat, dedup, divergence, iblt, jaccard, mixing, packing, pii, quality, repair, secrets, warc
+from . import chat, dedup, divergence, iblt, jaccard, katz, mixing, packing, pii, quality, repair, secrets, warc
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_iblt_fingerprints": iblt.op10_iblt_fingerprints,
     "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_katz_scores": katz.op12_katz_scores,
     "op13_periodic_runs": repair.op13_periodic_runs,
 }
 
