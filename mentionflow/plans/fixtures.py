@@ -129,7 +129,7 @@ SINGLE_NAMES = f"""
 single_names AS (
   SELECT c_custkey AS k, concat('S', CAST(c_custkey AS VARCHAR(20))) AS kol_id, 1 AS roster_seq, CASE WHEN c_custkey % 3 = 0 THEN 'Mayo Clinic' ELSE '' END AS affiliation,
          CASE WHEN c_custkey % 2 = 0 THEN {pick(FIRST, 13, 'c_custkey')} ELSE {pick(LAST, 17, 'c_custkey')} END AS kol_name
-  FROM {{customer}} WHERE c_custkey <= 60
+  FROM {{customer}}
 )"""
 
 

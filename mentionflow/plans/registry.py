@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import url as U
 from ..functions.classify import activity
-from ..operators import corpus, health, identity, names, pages, queries, serp, urlfilter
+from ..operators import corpus, health, identity, index, names, pages, queries, serp, urlfilter
 from ..sources import sinks, tables
 from ..sources.shared import settled, shared_folder
 from . import fixtures as X
@@ -221,6 +221,14 @@ def corpus_search(spark, sf_dir):
     return corpus.corpus_search(mentions(spark, sf_dir), roster(spark, sf_dir)).withColumn("n_terms", F.col("n_terms").cast("long"))
 
 
+def corpus_index_search(spark, sf_dir):
+    """Documents are added to an index in two batches, as in two weeks; the search then reads no text."""
+    root, docs = shared_folder(spark, "index"), mentions(spark, sf_dir)
+    for week in (0, 1):
+        index.add_documents(docs.filter(F.col("doc_id") % 2 == week), root, f"week-{week}")
+    return index.search(spark, root, roster(spark, sf_dir)).withColumn("n_terms", F.col("n_terms").cast("long"))
+
+
 def term_reach(spark, sf_dir):
     return corpus.term_reach(mentions(spark, sf_dir))
 
@@ -319,7 +327,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         url_normalize, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, roster_clean, name_forms, query_manifest,
         query_chunks, serp_attribution, serp_flatten_dedupe, failed_queries, crawl_frontier, page_metadata, page_overlay, identity_verdict, identity_counts, monitor_output, stage_counts, run_health,
-        promote_output, corpus_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
+        promote_output, corpus_search, corpus_index_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
     )
 }
 
@@ -330,7 +338,7 @@ SQL: dict[str, str] = {
         "relative_days": O.RELATIVE_DAYS, "absolute_date": O.ABSOLUTE_DATE, "candidate_filter": O.CANDIDATES, "recent_filter": O.RECENT, "roster_clean": O.ROSTER_CLEAN, "name_forms": O.NAME_FORMS,
         "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
         "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
-        "monitor_output": O.MONITOR_OUTPUT, "stage_counts": O.STAGE_COUNTS, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
+        "monitor_output": O.MONITOR_OUTPUT, "stage_counts": O.STAGE_COUNTS, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "corpus_index_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
         "form_reach": O.FORM_REACH, "manifest_subset": O.MANIFEST_SUBSET, "name_budget": O.NAME_BUDGET, "website_only": O.WEBSITE_ONLY, "read_dumps": O.SERP_ATTRIBUTION, "page_body": O.PAGE_BODY,
         "gate_modes": O.GATE_MODES, "gated_health": O.GATED_HEALTH, "guarded_output": O.GUARDED_OUTPUT, "corpus_search_single": O.CORPUS_SEARCH_SINGLE,
     }.items()

@@ -1,8 +1,11 @@
 """Corpus search against a walk over all experts and texts."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from mentionflow.operators import corpus, names
+from mentionflow.operators import corpus, index, names
 
 TEXTS = [
     (1, "Dr. Madonna said: Cher spoke. Madonna again."), (2, "Ann Bea Lee MD of Mayo Clinic, presented. Ann Lee"), (3, "Ann Lee and Ann Lee, PhD at the mayo  clinic"), (4, "Anna Lee MD"), (5, "MD Madonna"),
@@ -25,3 +28,33 @@ def test_corpus_search(spark):
     assert got == want and {k for k, *_ in got} == {"A", "B", "C"} and {i for k, _, i, _ in got if k == "C"} == {1, 5}
     assert {r.cluster_no for r in corpus.corpus_search(docs, roster, [1, 3]).collect()} == {1, 3}
     assert corpus.corpus_search(docs.limit(0), roster).count() == 0 and corpus.corpus_search(docs, roster.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("block_docs", "shard_docs"), [(128, 1000), (1, 1000), (2, 3)])
+def test_index_search(spark, tmp_path, block_docs, shard_docs):
+    """The index gives what a search over the texts gives, for one batch and two, with and without blocks left out."""
+    rng = random.Random(block_docs)
+    words = "Dr MD PhD said told study trial award Ann Lee Bea Mayo Clinic Cher Madonna x y z".split()
+    texts = [*TEXTS, *((i, " ".join(rng.choice(words) for _ in range(rng.randrange(40)))) for i in range(100, 220))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    roster = names.name_forms(spark.createDataFrame([(k, 1, n, a) for k, n, a in PEOPLE], "kol_id string, roster_seq int, kol_name string, affiliation string"))
+    root = f"file://{tmp_path}"
+    for batch in ("w1", "w2", "w2"):  # the last one again: it is replaced
+        index.add_documents(docs.filter(F.col("doc_id") % 2 == int(batch == "w1")), root, batch, block_docs, shard_docs)
+    for n, clusters in ((3, None), (10, [1, 3])):
+        got = index.search(spark, root, roster, clusters, n).collect()
+        want = corpus.corpus_search(docs, roster, clusters, n).collect()
+        assert {tuple(r) for r in got} == {tuple(r) for r in want} and len(got) == len(want) > 10
+    assert index.search(spark, root, roster.limit(0)).count() == 0
+
+
+def test_index_search_leaves_blocks_out(spark, tmp_path):
+    """Of a name that many documents have, only the first block is read for the best results."""
+    docs = spark.createDataFrame([(i, "Ann Lee MD said" if i % 10 == 0 else "Ann Lee MD") for i in range(300)], "doc_id long, text string")
+    roster = names.name_forms(spark.createDataFrame([("A", 1, "Ann Lee", "")], "kol_id string, roster_seq int, kol_name string, affiliation string"))
+    root = f"file://{tmp_path}"
+    index.add_documents(docs, root, "w", block_docs=20)
+    (tmp_path / "postings").rename(tmp_path / "all")
+    spark.read.parquet(f"{root}/all").filter("block < 2").write.partitionBy("batch", "part").parquet(f"{root}/postings")
+    got = {(r.cluster_no, r.doc_id) for r in index.search(spark, root, roster, [2], 10).collect()}
+    assert got == {(2, 10 * i) for i in range(10)}
