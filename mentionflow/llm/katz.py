@@ -30,7 +30,7 @@ from .common import Scratch, or_empty, table
 #: Counts up to CUT are discounted.
 ORDER, CUT = 2, 5
 #: Tokens of a block; n-grams of a bucket on average; occurrences of a context for each bucket it is split over.
-BLOCK_TOKENS, BUCKET_GRAMS, SPLIT = 2_500_000, 1_000_000, 1_000_000
+BLOCK_TOKENS, BUCKET_GRAMS, SPLIT = 1_250_000, 600_000, 1_000_000
 START = 1 << 62
 BLOCK = "block long, doc_ids array<long>, trains array<boolean>, sizes binary, tokens binary, words binary, counts binary"
 WORDS = "bucket int, block long, words binary, counts binary"
