@@ -10,11 +10,11 @@ from .text import col, has, let
 from .url import host, host_in
 
 
-def activity(url: Column | str, title: Column | str, description: Column | str, platform: Column) -> Column:
-    """SMA, Trials, Pubs, Conference, Press or Other, in this order of precedence."""
+def activity(url: Column | str, title: Column | str, description: Column | str, platform: Column, host_: Column | None = None) -> Column:
+    """SMA, Trials, Pubs, Conference, Press or Other, in this order of precedence. host_: the URL's, where it is known."""
     none = F.lit("")
     u, t = F.coalesce(col(url), none), F.coalesce(col(title), none)
-    given = F.struct(u.alias("url"), t.alias("title"), F.concat_ws(" ", t, F.coalesce(col(description), none)).alias("text"), host(u).alias("host"))
+    given = F.struct(u.alias("url"), t.alias("title"), F.concat_ws(" ", t, F.coalesce(col(description), none)).alias("text"), (host(u) if host_ is None else host_).alias("host"))
 
     def of_page(g: Column) -> Column:
         h, u, text = g["host"], g["url"], g["text"]

@@ -1,7 +1,8 @@
-"""URL expressions. A URL is a scheme, '://', a host and the rest; anything else is invalid and gives ''.
+"""URL expressions. A URL is a scheme, a host and the rest; anything else is invalid and gives ''.
 
-As a browser's parser does, tabs and line ends go, dot segments are resolved, and characters that can't stand in a path,
-query or fragment are percent-encoded. Not reproduced: punycode.
+As a browser's parser does, tabs and line ends go, hosts are written in one way (hosts.py), ports are numbers, dot segments
+are resolved, and characters that can't stand in a path, query or fragment are percent-encoded. Web schemes may have any
+number of slashes, of either kind, before the host.
 """
 
 from __future__ import annotations
@@ -10,10 +11,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
+from .hosts import canonical
 from .text import WS, col, first_of, let, trimmed
 
-_URL = r"(?is)^([a-z][a-z0-9+.-]*)://([^/?#]*@)?([^/?#:@\x00-\x20<>\\^|%\[\]]+)(?::(\d*))?(/[^?#]*)?(\?[^#]*)?(#.*)?\z"
-
+_URL = r"(?is)^(?:(https?|ftp|wss?):[/\\]*|([a-z][a-z0-9+.-]*)://)([^/\\?#]*@)?(\[[^\]/\\?#@]*\]|[^/\\?#:@\[\]]+)(?::(?:0+(?=\d))?(\d{0,5}))?([/\\][^?#]*)?(\?[^#]*)?(#.*)?\z"
+_DEFAULT_PORTS = {"http": 80, "https": 443, "ftp": 21, "ws": 80, "wss": 443}
 
 #: What is percent-encoded in paths and in fragments, besides all that isn't printable ASCII.
 _IN_PATH, _IN_FRAGMENT = r'[^\x21-\x7E]|["<>`{}]', r'[^\x21-\x7E]|["<>`]'
@@ -24,18 +26,26 @@ def _plain(url: Column | str) -> Column:
     return F.regexp_replace(trimmed(F.coalesce(col(url), F.lit(""))), r"[\t\n\r\x01]", "")
 
 
-def host(url: Column | str) -> Column:
-    """The host in lower case, '' if the URL is invalid."""
-    return F.lower(F.regexp_extract(_plain(url), _URL, 3))
+def parsed(url: Column | str) -> Column:
+    """struct<scheme, user, host, port, path, query, fragment>, null if the URL is invalid; the port is '' for the scheme's own."""
+    fields = F.split(F.regexp_replace(_plain(url), _URL, "\x01".join(f"${k}" for k in range(1, 9))), "\x01")
 
+    def with_host(p: Column) -> Column:
+        special = p[0] != ""
+        scheme = F.lower(F.when(special, p[0]).otherwise(p[1]))
+        known = F.array(*[F.lit(f"{s} {n}") for s, n in _DEFAULT_PORTS.items()])
+        port = F.when(F.array_contains(known, F.concat_ws(" ", scheme, p[4])), "").otherwise(p[4])
+        path_ = F.when(special, F.translate(p[5], "\\", "/")).otherwise(p[5])
+        whole = lambda h: F.struct(scheme.alias("scheme"), p[2].alias("user"), h.alias("host"), port.alias("port"), path_.alias("path"), p[6].alias("query"), p[7].alias("fragment"))
+        good = (p[4] == "") | (p[4].cast("int") < 65536)
+        return let(canonical(F.lower(p[3])), lambda h: F.when((h != "") & good, whole(h)))
 
-def path(url: Column | str) -> Column:
-    return F.regexp_extract(_plain(url), _URL, 5)
+    return let(fields, lambda p: F.when(F.size(p) == 8, with_host(p)))
 
 
-def parts(url: Column | str) -> Column:
-    """scheme, user, host, port, path, query and fragment, by one match; one element if the URL is invalid."""
-    return F.split(F.regexp_replace(_plain(url), _URL, "\x01".join(f"${k}" for k in range(1, 8))), "\x01")
+def host(url: Column | str) -> Column:
+    """The host as a browser writes it, '' if the URL is invalid."""
+    return F.coalesce(parsed(url)["host"], F.lit(""))
 
 
 def bare(host_: Column) -> Column:
@@ -78,41 +88,45 @@ def _pair(q: Column) -> Column:
     return F.when(q.rlike(r"^[A-Za-z0-9*._-]*=[A-Za-z0-9*._-]*\z"), q).otherwise(F.concat(_form(name), F.lit("="), value))
 
 
-def normalized(url: Column | str) -> Column:
-    """Scheme and host in lower case, no default port, no trailing slashes but the root's, no tracking parameters."""
+#: Paths and queries that stay as they are.
+_ODD_PATH, _ODD_QUERY = r'[^\x21-\x7E]|["<>`{}]|/\.|/%2[eE]', r"[^A-Za-z0-9*._=&?-]|&&|[?&][^=&]*(?:&|\z)|=[^&]*=|&\z"
+
 
-    def joined(p: Column) -> Column:
-        scheme, user, host_, port, path_, query, fragment = (p[k] for k in range(7))
-        default = (port == "") | ((F.lower(scheme) == "http") & (port == "80")) | ((F.lower(scheme) == "https") & (port == "443"))
-        stripped = F.regexp_replace(_encoded(_without_dots(path_), _IN_PATH), r"/+\z", "")
-        pairs = F.filter(F.split(F.substring(query, F.lit(2), F.length(query)), "&"), lambda q: q != "")
-        pairs = F.filter(F.transform(pairs, _pair), lambda q: ~F.substring_index(q, "=", 1).isin(*fixed.TRACKING))
-        return F.concat(
-            F.lower(scheme), F.lit("://"), user, F.lower(host_), F.when(default, "").otherwise(F.concat(F.lit(":"), port)),
-            let(stripped, lambda s: F.when(s == "", "/").otherwise(s)),
-            let(F.array_join(pairs, "&"), lambda kept: F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept))),
-            F.when(fragment == "#", "").otherwise(_encoded(fragment, _IN_FRAGMENT)),
-        )
+def rebuilt(p: Column) -> Column:
+    """The URL of parsed() parts: no trailing slashes but the root's, no tracking parameters; '' for null."""
+    path_, query, fragment = p["path"], p["query"], p["fragment"]
+    clean = F.when(path_.rlike(_ODD_PATH), let(_without_dots(path_), lambda x: _encoded(x, _IN_PATH))).otherwise(path_)
+    pairs = F.filter(F.split(F.substring(query, F.lit(2), F.length(query)), "&"), lambda q: q != "")
+    pairs = F.filter(F.when(query.rlike(_ODD_QUERY), F.transform(pairs, _pair)).otherwise(pairs), lambda q: ~F.substring_index(q, "=", 1).isin(*fixed.TRACKING))
+    return F.when(p.isNull(), "").otherwise(F.concat(
+        p["scheme"], F.lit("://"), p["user"], p["host"], F.when(p["port"] == "", "").otherwise(F.concat(F.lit(":"), p["port"])),
+        let(F.regexp_replace(clean, r"/+\z", ""), lambda s: F.when(s == "", "/").otherwise(s)),
+        F.when(query == "", "").otherwise(let(F.array_join(pairs, "&"), lambda kept: F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept)))),
+        F.when(fragment.isin("", "#"), "").otherwise(_encoded(fragment, _IN_FRAGMENT)),
+    ))
 
-    return let(parts(url), lambda p: F.when(F.size(p) == 7, joined(p)).otherwise(""))
+
+def normalized(url: Column | str) -> Column:
+    """The host in one form, no default port, no trailing slashes but the root's, no tracking parameters."""
+    return let(parsed(url), rebuilt)
 
 
 def source(url: Column | str) -> Column:
     return host(url)
 
 
-def platform(url: Column | str) -> Column:
+def platform_of(host_: Column) -> Column:
     names: dict[str, list[str]] = {}
     for domain, name in fixed.PLATFORMS:
         names.setdefault(name, []).append(domain)
+    chain = F
+    for name, domains in names.items():
+        chain = chain.when(host_in(host_, domains), name)
+    return chain.otherwise("Website")
 
-    def named(h: Column) -> Column:
-        chain = F
-        for name, domains in names.items():
-            chain = chain.when(host_in(h, domains), name)
-        return chain.otherwise("Website")
 
-    return let(host(url), named)
+def platform(url: Column | str) -> Column:
+    return let(host(url), platform_of)
 
 
 def junk(normal: Column) -> Column:
@@ -121,14 +135,12 @@ def junk(normal: Column) -> Column:
     return F.contains(normal, F.lit("webcache")) | is_pdf | F.contains(normal, F.lit("google.com/search"))
 
 
-def blocked(normal: Column) -> Column:
-    def rules(h: Column) -> Column:
-        found = host_in(h, fixed.BLOCKED_HOSTS)
-        for domain, start in fixed.BLOCKED_PATHS:
-            found = found | (host_in(h, [domain]) & F.lower(path(normal)).startswith(start))
-        return found
-
-    return let(host(normal), rules)
+def blocked(p: Column) -> Column:
+    """Whether parsed() parts are of a page of the block-list."""
+    found = host_in(p["host"], fixed.BLOCKED_HOSTS)
+    for domain, start in fixed.BLOCKED_PATHS:
+        found = found | (host_in(p["host"], [domain]) & F.lower(_without_dots(p["path"])).startswith(start))
+    return found
 
 
 def social_author(url: Column | str, title: Column | str, platform_: Column) -> Column:

@@ -68,6 +68,38 @@ shown AS (
   FROM shown
 )"""
 
+#: Four rows per page: a URL whose host is written in one of many ways. v: an IPv4 address as a number, b1 to b4 its bytes;
+#: zeros: how many pieces of an IPv6 address from the piece gap on are 0.
+_HOST_WORDS = "münchen,bücher,例え,пример,ñandú,faß"
+HOSTS = f"""
+numbers AS (
+  SELECT page_id, n, page_id * 4 + n AS k, (page_id * 4 + n) * 2654435761 % 4294967296 AS v FROM {{pages}}
+  CROSS JOIN (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) AS four
+), bytes AS (
+  SELECT *, CAST(floor(v / 16777216) AS BIGINT) AS b1, CAST(floor(v / 65536) AS BIGINT) % 256 AS b2, CAST(floor(v / 256) AS BIGINT) % 256 AS b3, v % 256 AS b4,
+         k % 7 AS gap, k % 9 AS zeros
+  FROM numbers
+), spelled AS (
+  SELECT page_id, n, k, v, b1, b2, b3, b4, gap, zeros,
+         CASE k % 12
+           WHEN 0 THEN concat(CAST(b1 AS VARCHAR(20)), '.', CAST(b2 AS VARCHAR(20)), '.', CAST(b3 AS VARCHAR(20)), '.', CAST(b4 AS VARCHAR(20)))
+           WHEN 1 THEN CAST(v AS VARCHAR(20))
+           WHEN 2 THEN concat('0x', hex(v))
+           WHEN 3 THEN concat('0', CAST(CAST(floor(b1 / 64) AS BIGINT) AS VARCHAR(20)), CAST(CAST(floor(b1 / 8) AS BIGINT) % 8 AS VARCHAR(20)), CAST(b1 % 8 AS VARCHAR(20)), '.', CAST(v % 16777216 AS VARCHAR(20)))
+           WHEN 4 THEN concat('0X', hex(b1), '.', CAST(b2 AS VARCHAR(20)), '.0x', hex(v % 65536), '.')
+           WHEN 5 THEN concat(CAST(b1 AS VARCHAR(20)), '.', CAST(b2 + 200 AS VARCHAR(20)), '.', CAST(b3 AS VARCHAR(20)), '.', CAST(b4 AS VARCHAR(20)))
+           WHEN 6 THEN concat('[', {", ':', ".join(f"CASE WHEN {i} >= gap AND {i} < gap + zeros THEN '0000' ELSE lpad(hex((k * 7 + {i} * 31) % 65535 + 1), 4, '0') END" for i in range(8))}, ']')
+           WHEN 7 THEN concat('www.', {pick(_HOST_WORDS, 6)}, '.Example')
+           WHEN 8 THEN concat('%', hex(97 + k % 26), 'b%43.example')
+           WHEN 9 THEN concat('ex', CAST(k AS VARCHAR(20)), split_part('%00,<,^, ,|,%', ',', CAST(k % 6 + 1 AS INT)), '.com')
+           ELSE concat('Host', CAST(k % 50 AS VARCHAR(20)), '.COM') END AS host_text
+  FROM bytes
+), hosts AS (
+  SELECT *, concat(split_part('http://,https:/,HTTP:////,ftp:', ',', CAST(k % 4 + 1 AS INT)), host_text,
+                   split_part(',:,:80,:0443,:08080,:65535,:65536,:99999', ',', CAST(k % 8 + 1 AS INT)), '/p', CAST(k % 3 AS VARCHAR(20))) AS url
+  FROM spelled
+)"""
+
 #: One row per event: its day in one of fourteen forms, and a kind of activity.
 DATES = """
 dated AS (

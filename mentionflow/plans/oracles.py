@@ -443,3 +443,26 @@ GUARDED_OUTPUT = X.with_tables(
 )
 _ONE_NAME = "forms AS (SELECT *, false AS nameless, kol_name AS full_form, concat(kol_name, ' ', kol_name) AS short_form, concat(kol_name, ' ', kol_name) AS initial_form, '' AS extra_form, affiliation AS anchor FROM single_names)"
 CORPUS_SEARCH_SINGLE = X.with_tables(X.SINGLE_NAMES, _ONE_NAME, X.MENTIONS, SEARCH, *CORPUS_ANSWERS, select=CORPUS_RANKED)
+_PIECES = "list_transform(range(8), lambda i: CASE WHEN i >= gap AND i < gap + zeros THEN '0' ELSE lower(hex((k * 7 + i * 31) % 65535 + 1)) END)"
+_LEAST = "least(gap + zeros, 8)"
+#: Addresses from the number that the spelling was made of, not from the spelling; ports as numbers.
+URL_HOSTS = X.with_tables(
+    X.HOSTS,
+    f"""shapes AS (
+      SELECT *, {_PIECES} AS pieces, CAST(regexp_extract(url, ':0*(\\d+)/p\\d$', 1) AS VARCHAR) AS port, split_part('http,https,http,ftp', ',', CAST(k % 4 + 1 AS INT)) AS scheme FROM hosts
+    ), written AS (
+      SELECT *, CASE
+          WHEN k % 12 < 5 THEN concat_ws('.', (v >> 24)::VARCHAR, (v >> 16 & 255)::VARCHAR, (v >> 8 & 255)::VARCHAR, (v & 255)::VARCHAR)
+          WHEN k % 12 = 5 THEN CASE WHEN b2 + 200 < 256 THEN concat_ws('.', b1, b2 + 200, b3, b4) ELSE '' END
+          WHEN k % 12 = 6 THEN CASE WHEN {_LEAST} - gap >= 2 THEN concat('[', array_to_string(pieces[1:gap], ':'), '::', array_to_string(pieces[{_LEAST} + 1:8], ':'), ']') ELSE concat('[', array_to_string(pieces, ':'), ']') END
+          WHEN k % 12 = 7 THEN concat('www.', split_part('xn--mnchen-3ya,xn--bcher-kva,xn--r8jz45g,xn--e1afmkfd,xn--and-6ma2c,xn--fa-hia', ',', CAST(k % 6 + 1 AS INT)), '.example')
+          WHEN k % 12 = 8 THEN concat(chr(CAST(97 + k % 26 AS INT)), 'bc.example')
+          WHEN k % 12 = 9 THEN ''
+          ELSE lower(host_text) END AS host
+      FROM shapes
+    )""",
+    select="""SELECT page_id, CAST(n AS INT) AS n, host_text, CASE WHEN port NOT IN ('', '0') AND CAST(port AS BIGINT) > 65535 THEN '' ELSE host END AS host,
+       CASE WHEN host = '' OR (port <> '' AND CAST(port AS BIGINT) > 65535) THEN ''
+            ELSE concat(scheme, '://', host, CASE WHEN port = '' OR (scheme = 'http' AND port = '80') OR (scheme = 'https' AND port = '443') THEN '' ELSE concat(':', port) END, '/p', k % 3) END AS norm_url
+       FROM written""",
+)

@@ -97,6 +97,12 @@ def url_normalize(spark, sf_dir):
     return results_table(spark, sf_dir).select("page_id", "url", U.normalized("url").alias("norm_url"))
 
 
+def url_hosts(spark, sf_dir):
+    """Hosts in all the forms that a browser reads: numbers, brackets, percent signs, letters beyond ASCII."""
+    rows = X.run(spark, sf_dir, X.with_tables(X.HOSTS, select="SELECT page_id, n, host_text, url FROM hosts")).withColumn("_u", U.parsed("url"))
+    return rows.select("page_id", "n", "host_text", F.coalesce("_u.host", F.lit("")).alias("host"), U.rebuilt(F.col("_u")).alias("norm_url"))
+
+
 def url_dedupe_filter(spark, sf_dir):
     rows = results_table(spark, sf_dir).select((F.col("page_id") % 97).alias("expert"), "page_id", "url")
     return urlfilter.first_by_normal_url(urlfilter.usable(rows), ["expert"], ["page_id"]).select("expert", "norm_url", "page_id")
@@ -325,7 +331,7 @@ def corpus_search_single(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        url_normalize, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, roster_clean, name_forms, query_manifest,
+        url_normalize, url_hosts, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, roster_clean, name_forms, query_manifest,
         query_chunks, serp_attribution, serp_flatten_dedupe, failed_queries, crawl_frontier, page_metadata, page_overlay, identity_verdict, identity_counts, monitor_output, stage_counts, run_health,
         promote_output, corpus_search, corpus_index_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
     )
@@ -334,7 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     name: X.plain(sql)
     for name, sql in {
-        "url_normalize": O.URL_NORMALIZE, "url_dedupe_filter": O.URL_DEDUPE, "platform_source": O.PLATFORM_SOURCE, "activity_class": O.ACTIVITY, "social_author": O.SOCIAL_AUTHOR,
+        "url_normalize": O.URL_NORMALIZE, "url_hosts": O.URL_HOSTS, "url_dedupe_filter": O.URL_DEDUPE, "platform_source": O.PLATFORM_SOURCE, "activity_class": O.ACTIVITY, "social_author": O.SOCIAL_AUTHOR,
         "relative_days": O.RELATIVE_DAYS, "absolute_date": O.ABSOLUTE_DATE, "candidate_filter": O.CANDIDATES, "recent_filter": O.RECENT, "roster_clean": O.ROSTER_CLEAN, "name_forms": O.NAME_FORMS,
         "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
         "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
