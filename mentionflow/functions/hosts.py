@@ -158,7 +158,7 @@ def canonical(raw: Column) -> Column:
 
     def other(host: Column) -> Column:
         decoded = F.when(F.contains(host, F.lit("%")), F.try_url_decode(F.regexp_replace(F.replace(host, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25"))).otherwise(host)
-        narrow = F.regexp_replace(F.translate(F.lower(decoded), _WIDE, _NARROW), _SOFT, "")
-        return let(_ascii(F.lower(narrow)), mapped)
+        narrow = F.lower(F.regexp_replace(F.translate(F.lower(decoded), _WIDE, _NARROW), _SOFT, ""))
+        return let(let(narrow, _ascii), mapped)
 
     return F.when(raw.rlike(PLAIN), raw).when(raw == "", "").when(raw.startswith("["), ipv6(F.lower(raw))).otherwise(other(raw))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Every character that counts as white space, as a class for Java patterns (\s there is ASCII only).
@@ -20,6 +20,13 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column of a long expression: it stands in the plan once, whatever filters and projections come later
+    (they are not pushed below the array of one that it is taken from)."""
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode(F.array(value)).alias(name))
+
+
 def trimmed(c: Column | str) -> Column:
     return F.regexp_replace(col(c), rf"^{WS}+|{WS}+\z", "")
 

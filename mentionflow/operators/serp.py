@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import activity
-from ..functions.text import first_of, trimmed
+from ..functions.text import first_of, once, trimmed
 from ..functions.url import host, platform_of, social_author
 
 EXPERT = ["kol_id", "roster_seq"]
@@ -49,16 +49,16 @@ def first_by_url(results: DataFrame) -> DataFrame:
 def processed(results: DataFrame, roster: DataFrame) -> DataFrame:
     """The twelve text columns of a result, '' where nothing is known, and its place."""
     names = roster.select(*EXPERT, "kol_name")
-    r = results.join(names, EXPERT).withColumn("source", host("url")).withColumn("platform", platform_of(F.col("source")))
+    r = once(results.join(names, EXPERT), "source", host("url")).withColumn("platform", platform_of(F.col("source")))
     title, description = first_of("r.title"), first_of("r.description", "r.snippet")
-    return r.select(
+    rows = r.select(
         *EXPERT, "kol_name", "search_query", title.alias("title"), description.alias("description"), "url",
         first_of("r.publishedDate", "r.date", "r.published_date", "r.publishDate", "r.publishedAt").alias("published_date"),
         first_of("r.author", social_author("url", title, F.col("platform"))).alias("author"),
         F.when(first_of("r.position") == "0", "").otherwise(first_of("r.position")).alias("position"),
-        "source", "platform", activity("url", title, description, F.col("platform"), F.col("source")).alias("activity_type"),
-        "cluster_no", "item_pos", "result_pos",
+        "source", "platform", "cluster_no", "item_pos", "result_pos",
     )
+    return once(rows, "activity_type", activity("url", "title", "description", F.col("platform"), F.col("source")))
 
 
 def failed_queries(queries: DataFrame, fetch_log: DataFrame) -> DataFrame:

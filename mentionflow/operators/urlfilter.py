@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import url as U
+from ..functions.text import once
 
 ORDER = ["cluster_no", "item_pos", "result_pos", "url"]
 
@@ -13,9 +14,8 @@ ORDER = ["cluster_no", "item_pos", "result_pos", "url"]
 def usable(results: DataFrame) -> DataFrame:
     """Adds norm_url and keeps rows with a valid URL that is neither junk nor on the block-list. All rows of one normalised
     URL share the outcome, so this comes before the deduplication and leaves it less to shuffle."""
-    # A column for each step, so that no expression is worked out, or written into the plan, twice.
-    parts = results.withColumn("_parts", U.parsed("url")).filter("_parts is not null")
-    return parts.filter(~U.blocked(F.col("_parts"))).withColumn("norm_url", U.rebuilt(F.col("_parts"))).drop("_parts").filter(~U.junk(F.col("norm_url")))
+    parts = once(results, "_parts", U.parsed("url")).filter("_parts is not null")
+    return once(parts.filter(~U.blocked(F.col("_parts"))), "norm_url", U.rebuilt(F.col("_parts"))).drop("_parts").filter(~U.junk(F.col("norm_url")))
 
 
 def first_by_normal_url(results: DataFrame, by: list[str], order: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_decision, is_candidate
+from ..functions.text import once
 from ..operators import health as H
 from ..operators import identity, names, pages, queries, serp, urlfilter
 from ..sources import sinks
@@ -72,7 +73,7 @@ def results(roster: DataFrame, manifest: DataFrame, items: DataFrame, page_table
     # Pages are cut down to the ones asked for before they are parsed; only metadata is joined back.
     wanted = page_table.join(pages.frontier(candidates, run.crawl_social_platforms), "url", "left_semi")
     enriched = pages.overlay(candidates, pages.page_metadata(wanted), run.crawl_social_platforms)
-    dated = enriched.withColumn("_d", date_decision("published_date", "activity_type", run.as_of, run.days_back))
+    dated = once(enriched, "_d", date_decision("published_date", "activity_type", run.as_of, run.days_back))
     dated = dated.withColumn("reason", F.concat_ws(" ", F.when(F.col("_d.keep"), "KEEP").otherwise("REMOVE"), F.col("_d.reason")))
     recent = dated.filter("_d.keep").drop("_d", "reason")
     final = urlfilter.first_by_normal_url(urlfilter.usable(recent), EXPERT)

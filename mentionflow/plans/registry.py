@@ -13,6 +13,7 @@ from ..functions.classify import activity
 from ..operators import corpus, health, identity, index, names, pages, queries, serp, urlfilter
 from ..sources import sinks, tables
 from ..sources.shared import settled, shared_folder
+from ..streaming import first as stream_rules
 from . import fixtures as X
 from . import monitor as M
 from . import oracles as O
@@ -167,6 +168,27 @@ def serp_flatten_dedupe(spark, sf_dir):
     return stages(spark, sf_dir).unique.select("kol_id", "cluster_no", "item_pos", "result_pos", "url")
 
 
+def stream_first_results(spark, sf_dir):
+    """The items of serp_flatten_dedupe as a stream, in micro-batches by hash, ended by an item of nobody a month later."""
+    asked = settled(queries.manifest(roster(spark, sf_dir)), "manifest")
+    attributed = serp.attributed(serp_items(spark, sf_dir, asked), queries.batches(asked, 4)).withColumn("batch", F.pmod(F.xxhash64("item_pos", "cluster_no"), F.lit(3)))
+    began, root = F.lit("2024-01-31 00:00:00").cast("timestamp"), shared_folder(spark, "stream")
+    stamped = attributed.withColumn("arrived", began + F.make_dt_interval(hours=F.col("batch").cast("int")))
+    for batch in range(3):
+        stamped.filter(F.col("batch") == batch).drop("batch").write.mode("append").parquet(f"{root}/in/batch={batch}")
+    last = spark.range(1).select(*[F.lit("nobody" if c == "kol_id" else None).cast(t).alias(c) for c, t in stamped.drop("batch", "arrived").dtypes], (began + F.make_dt_interval(days=F.lit(31))).alias("arrived"))
+    last.withColumns({"roster_seq": F.lit(0), "cluster_no": F.lit(0), "item_pos": F.lit(0).cast("long"), "merged": F.lit(False)}).write.parquet(f"{root}/in/batch=3")
+    before = spark.conf.get(stream_rules.STORE[0], None)
+    spark.conf.set(*stream_rules.STORE)
+    try:
+        items = spark.readStream.schema(stamped.drop("batch").schema).option("maxFilesPerTrigger", 16).parquet(f"{root}/in/*")
+        out = stream_rules.first_results(items, "2 days")
+        out.writeStream.format("parquet").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    finally:
+        spark.conf.set(stream_rules.STORE[0], before) if before else spark.conf.unset(stream_rules.STORE[0])
+    return spark.read.schema(out.schema).parquet(f"{root}/out").filter("kol_id <> 'nobody'").select("kol_id", "cluster_no", F.col("item_pos").cast("long").alias("item_pos"), "result_pos", "url")
+
+
 def failed_queries(spark, sf_dir):
     asked = settled(queries.manifest(roster(spark, sf_dir)), "manifest")
     return serp.failed_queries(asked, fetch_log(spark, sf_dir, asked)).select("kol_id", "roster_seq", "cluster_no", "query")
@@ -332,7 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         url_normalize, url_hosts, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, roster_clean, name_forms, query_manifest,
-        query_chunks, serp_attribution, serp_flatten_dedupe, failed_queries, crawl_frontier, page_metadata, page_overlay, identity_verdict, identity_counts, monitor_output, stage_counts, run_health,
+        query_chunks, serp_attribution, serp_flatten_dedupe, stream_first_results, failed_queries, crawl_frontier, page_metadata, page_overlay, identity_verdict, identity_counts, monitor_output, stage_counts, run_health,
         promote_output, corpus_search, corpus_index_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
     )
 }
@@ -342,7 +364,7 @@ SQL: dict[str, str] = {
     for name, sql in {
         "url_normalize": O.URL_NORMALIZE, "url_hosts": O.URL_HOSTS, "url_dedupe_filter": O.URL_DEDUPE, "platform_source": O.PLATFORM_SOURCE, "activity_class": O.ACTIVITY, "social_author": O.SOCIAL_AUTHOR,
         "relative_days": O.RELATIVE_DAYS, "absolute_date": O.ABSOLUTE_DATE, "candidate_filter": O.CANDIDATES, "recent_filter": O.RECENT, "roster_clean": O.ROSTER_CLEAN, "name_forms": O.NAME_FORMS,
-        "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
+        "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "stream_first_results": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
         "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
         "monitor_output": O.MONITOR_OUTPUT, "stage_counts": O.STAGE_COUNTS, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "corpus_index_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
         "form_reach": O.FORM_REACH, "manifest_subset": O.MANIFEST_SUBSET, "name_budget": O.NAME_BUDGET, "website_only": O.WEBSITE_ONLY, "read_dumps": O.SERP_ATTRIBUTION, "page_body": O.PAGE_BODY,
