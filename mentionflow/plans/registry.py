@@ -242,7 +242,7 @@ def promote_output(spark, sf_dir):
     rows = rows.withColumns({"source": U.source("url"), "author": U.social_author("url", "title", F.col("platform"))})
     sinks.stage(rows, root, "registered-query")
     sinks.promote(spark, root, "registered-query")
-    return spark.read.parquet(f"{root}/output")
+    return sinks.current(spark, root)
 
 
 def corpus_search(spark, sf_dir):
@@ -339,7 +339,7 @@ def guarded_output(spark, sf_dir):
         staged = sinks.stage(run, root, tag)
         sinks.append_results(staged, f"{root}/dataset")
         sinks.promote(spark, root, tag)
-    out, copy = spark.read.parquet(f"{root}/output"), spark.read.json(f"{root}/dataset")
+    out, copy = sinks.current(spark, root), spark.read.json(f"{root}/dataset")
     pick = lambda df, place: df.select(F.lit(place).alias("place"), F.col("URL").alias("url"), F.col("Title").alias("title"))
     return pick(out, "output").unionByName(pick(copy, "dataset"))
 

@@ -2,8 +2,10 @@
 
 import dataclasses
 import datetime
+import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from mentionflow.operators import health, identity, names, pages, serp
 from mentionflow.plans import monitor as M
@@ -138,12 +140,12 @@ def test_staging(spark, tmp_path):
     assert sinks.promote(spark, root, "run2") == 2
     sinks.stage(rows.limit(0), root, "run3")
     assert sinks.promote(spark, root, "run3") is None
-    out = spark.read.parquet(f"{root}/output")
+    out = sinks.current(spark, root)
     assert out.count() == 2 and out.columns[:3] == ["KOL_ID", "KOL_Name", "Search_Query"] and len(out.columns) == 14
     assert out.filter("URL is null or Title is null").count() == 0
     assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["output"]
     sinks.stage(rows.limit(0), root, "run4")
-    assert sinks.promote(spark, root, "run4", promote_empty=True) == 0 and spark.read.parquet(f"{root}/output").count() == 0
+    assert sinks.promote(spark, root, "run4", promote_empty=True) == 0 and sinks.current(spark, root).count() == 0
 
 
 def test_monitor_end_to_end(spark, tmp_path):
@@ -155,10 +157,48 @@ def test_monitor_end_to_end(spark, tmp_path):
     run = M.Run(as_of=datetime.date(2024, 1, 31), run_tag="r1")
     done = M.monitor(spark, raw, items, page, log, f"file://{tmp_path}", run).first()
     assert (done.total_results, done.kols_zero_results, done.degraded) == (1, 1, False)
-    r = spark.read.parquet(f"{tmp_path}/output").first()
+    r = sinks.current(spark, f"file://{tmp_path}").first()
     assert (r.KOL_ID, r.Title, r.Activity_Type, r.Validity, r.Validity_Signals) == ("K1", "Dr. Ann Lee said", "Press", "VALID", "titled-name")
     page = spark.createDataFrame([("https://a.org/news/1", "<title>Nobody said</title>")], tables.PAGES)
     done = M.monitor(spark, raw, items, page, log, f"file://{tmp_path}/drop", dataclasses.replace(run, identity_gate="drop", promote_empty_run=True)).first()
     assert (done.total_results, done.dropped_by_gate, done.review_rows, done.kols_zero_results) == (0, 1, 0, 2)
     tagged = M.monitor(spark, raw, items, page, log, f"file://{tmp_path}/tag", run).first()
     assert (tagged.total_results, tagged.dropped_by_gate, tagged.review_rows) == (1, 0, 1)
+
+
+def test_readers_see_whole_versions(spark, tmp_path):
+    """A reader in a loop sees each version whole while others are promoted, and never none."""
+    root, seen, stop, failed = f"file://{tmp_path}", set(), threading.Event(), []
+    rows = lambda tag, n: spark.createDataFrame([(tag, f"u{i}") for i in range(n)], "title string, url string")
+
+    def read():
+        try:
+            while not stop.is_set():
+                seen.add(tuple(sorted((r.Title, r.n) for r in sinks.current(spark, root).groupBy("Title").agg(F.count("*").alias("n")).collect())))
+        except Exception as e:  # told below
+            failed.append(e)
+
+    sinks.stage(rows("v0", 5), root, "v0")
+    assert sinks.version(spark, root) == 0 and sinks.promote(spark, root, "v0") == 5
+    reader = threading.Thread(target=read)
+    reader.start()
+    for k in range(1, 7):
+        sinks.stage(rows(f"v{k}", 5 + k), root, f"v{k}")
+        sinks.promote(spark, root, f"v{k}", keep=4)
+    stop.set()
+    reader.join()
+    assert not failed and seen <= {((f"v{k}", 5 + k),) for k in range(7)} and len(seen) > 1
+    assert sinks.version(spark, root) == 7 and len(list((tmp_path / "output").glob("0*"))) == 4
+
+
+def test_of_two_promotions_one_fails(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    rows = spark.createDataFrame([("t", "u")], "title string, url string")
+    for tag in ("a", "b"):
+        sinks.stage(rows, root, tag)
+    assert sinks.promote(spark, root, "a", based_on=0) == 1
+    with pytest.raises(sinks.Conflict):
+        sinks.promote(spark, root, "b", based_on=0)
+    with pytest.raises(sinks.Conflict):  # both had seen the same log
+        sinks._commit(spark, root, 1, "other")
+    assert sinks.version(spark, root) == 1 and sinks.promote(spark, root, "b") == 1 and sinks.version(spark, root) == 2
