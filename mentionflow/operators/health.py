@@ -61,6 +61,19 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def stage_rollup(stages: dict[str, DataFrame]) -> DataFrame:
+    """kol_id, stage, reason, level, n: rows of each stage by expert and reason, of each stage and reason, of each stage,
+    and of each expert over all stages, in one pass over the tagged rows. level: grouping_id of (kol_id, stage, reason);
+    what a level sums over is null."""
+    tagged = None
+    for name, df in stages.items():
+        part = df.select("kol_id", F.lit(name).alias("stage"), (F.col("reason") if "reason" in df.columns else F.lit("")).alias("reason"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    keys = [F.col(c) for c in ("kol_id", "stage", "reason")]
+    kol, stage, reason = keys
+    return tagged.groupingSets([keys, [stage, reason], [stage], [kol]], *keys).agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("n"))
+
+
 class DegradedRun(RuntimeError):
     """More experts failed than the run allows. Results were promoted before it is raised."""
 

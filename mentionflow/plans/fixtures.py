@@ -11,6 +11,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = datetime.date(2024, 1, 31)
+TABLES = ("customer", "pages", "events", "documents", "nation")
 
 FIRST = "Alice,Bruno,Carla,Dieter,Elena,Farid,Greta,Hugo,Ines,Jonas,Karin,Luis,Mona"
 MIDDLE = "Ann,Basil,Cleo,Dale,Erin,Fay,Gil"
@@ -147,6 +148,23 @@ hits AS (
 )"""
 
 
+#: Fifty runs: two for each nation key, a week apart from the last, with a short and a long look-back.
+RUNS = """
+runs AS (
+  SELECT n_nationkey * 2 + n AS run_id, CAST(DATE '2024-02-01' - CAST(n_nationkey * 7 AS INT) AS DATE) AS as_of, CAST(CASE n WHEN 0 THEN 9 ELSE 45 END AS INT) AS days_back
+  FROM {nation} CROSS JOIN (SELECT 0 AS n UNION ALL SELECT 1) AS two
+)"""
+
+#: Each page fetched three times, with other titles, and five results of its URL between.
+SNAPSHOTS = """
+times AS (SELECT 0 AS n UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4),
+snapshots AS (
+  SELECT url, page_id * 86400 + n * 260000 AS second, concat('v', CAST(n AS VARCHAR(9)), ' ', CAST(page_id AS VARCHAR(20))) AS title, CASE WHEN (page_id + n) % 3 = 0 THEN '' ELSE 'seen' END AS description
+  FROM {pages} CROSS JOIN times WHERE n < 3
+), asked AS (
+  SELECT page_id, n, url, page_id * 86400 + n * 130000 - 100000 AS second, concat('own ', CAST(page_id AS VARCHAR(20))) AS title, 'own' AS description FROM {pages} CROSS JOIN times
+)"""
+
 #: Experts with many given names, a nickname and another surname: their forms don't fit into one query.
 LONG_NAMES = f"""
 long_names AS (
@@ -171,12 +189,12 @@ def with_tables(*parts: str, select: str) -> str:
 
 def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The SQL over the driver's tables, whose names stand in braces."""
-    names = [n for n in ("customer", "pages", "events", "documents") if "{" + n + "}" in sql]
+    names = [n for n in TABLES if "{" + n + "}" in sql]
     return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
 
 
 def plain(sql: str) -> str:
     """The same SQL with bare table names, for DuckDB."""
-    for n in ("customer", "pages", "events", "documents"):
+    for n in TABLES:
         sql = sql.replace("{" + n + "}", n)
     return sql

@@ -466,3 +466,16 @@ URL_HOSTS = X.with_tables(
             ELSE concat(scheme, '://', host, CASE WHEN port = '' OR (scheme = 'http' AND port = '80') OR (scheme = 'https' AND port = '443') THEN '' ELSE concat(':', port) END, '/p', k % 3) END AS norm_url
        FROM written""",
 )
+#: Every result against every window, by comparison.
+BACKFILL = X.with_tables(
+    X.DATES, read_dates("dated"), X.RUNS,
+    select="""SELECT run_id, activity_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM read, runs
+       WHERE CASE WHEN trim(date_text) <> '' AND rel IS NOT NULL THEN rel <= days_back WHEN trim(date_text) = '' OR abs_day IS NULL THEN activity_type IN ('Conference', 'Pubs', 'Trials')
+             ELSE abs_day BETWEEN as_of - days_back AND as_of + CASE WHEN activity_type = 'Conference' THEN 365 ELSE 0 END END GROUP BY ALL""",
+)
+PAGE_ASOF = X.with_tables(
+    X.SNAPSHOTS,
+    select="""SELECT page_id, CAST(n AS INT) AS n, coalesce(s.title, a.title) AS title, coalesce(nullif(s.description, ''), a.description) AS description
+       FROM asked a ASOF LEFT JOIN snapshots s ON a.url = s.url AND a.second >= s.second""",
+)
+STAGE_ROLLUP = f"WITH counted AS ({STAGE_COUNTS}) SELECT kol_id, stage, reason, CAST(grouping(kol_id, stage, reason) AS INT) AS level, CAST(sum(n) AS BIGINT) AS n FROM counted GROUP BY GROUPING SETS ((kol_id, stage, reason), (stage, reason), (stage), (kol_id))"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import url as U
 from ..functions.classify import activity
-from ..operators import corpus, health, identity, index, names, pages, queries, serp, urlfilter
+from ..operators import corpus, health, identity, index, names, pages, queries, serp, urlfilter, windows
 from ..sources import sinks, tables
 from ..sources.shared import settled, shared_folder
 from ..streaming import first as stream_rules
@@ -141,6 +141,13 @@ def recent_filter(spark, sf_dir):
     return dates_table(spark, sf_dir).select("event_id", "activity_type", F.inline(F.array(D.date_decision("date_text", "activity_type", AS_OF, DAYS_BACK))))
 
 
+def backfill_windows(spark, sf_dir):
+    """What fifty runs keep of all results, in one join: by run and kind of activity, how many and the sum of their ids."""
+    runs = X.run(spark, sf_dir, X.with_tables(X.RUNS, select="SELECT run_id, as_of, days_back FROM runs"))
+    kept = windows.kept_by_runs(dates_table(spark, sf_dir), runs)
+    return kept.groupBy("run_id", "activity_type").agg(F.count("*").alias("n"), F.sum("event_id").cast("long").alias("ids"))
+
+
 def roster_clean(spark, sf_dir):
     return names.clean_roster(raw_roster(spark, sf_dir))
 
@@ -208,6 +215,15 @@ def page_overlay(spark, sf_dir):
     return pages.overlay(rows, pages.page_metadata(injected_pages(spark, sf_dir))).select("page_id", "title", "description", "author", "published_date")
 
 
+def page_overlay_asof(spark, sf_dir):
+    """Results overlaid with the newest snapshot of their page that isn't after them."""
+    get = lambda name, columns: X.run(spark, sf_dir, X.with_tables(X.SNAPSHOTS, select=f"SELECT {columns} FROM {name}"))
+    empty = F.lit("")
+    snaps = get("snapshots", "url, second, title, description").select("url", F.timestamp_seconds("second").alias("fetched_at"), "title", "description", empty.alias("author"), empty.alias("published_date"), empty.alias("body_text"))
+    rows = get("asked", "page_id, n, url, second, title, description").withColumn("at", F.timestamp_seconds("second"))
+    return pages.overlay_as_of(rows, snaps).select("page_id", F.col("n").cast("int").alias("n"), "title", "description")
+
+
 def identity_verdict(spark, sf_dir):
     rows = mentions(spark, sf_dir).select("doc_id", "kol_id", F.lit(1).alias("roster_seq"), F.lit("").alias("title"), F.col("text").alias("description"), F.lit("").alias("body_text"))
     known = roster(spark, sf_dir)
@@ -227,6 +243,12 @@ def stage_counts(spark, sf_dir):
     return health.stage_counts({"raw": s.raw, "unique": s.unique, "candidates": s.candidates, "dated": s.dated, "final": s.final})
 
 
+def stage_rollup(spark, sf_dir):
+    """Counts of stages with their subtotals."""
+    s = stages(spark, sf_dir).settled()
+    return health.stage_rollup({"raw": s.raw, "unique": s.unique, "candidates": s.candidates, "dated": s.dated, "final": s.final})
+
+
 def run_health(spark, sf_dir):
     log = settled(fetch_log(spark, sf_dir), "fetch-log")
     s, failed = stages(spark, sf_dir, log), health.failed_experts(log)
@@ -353,8 +375,8 @@ def corpus_search_single(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        url_normalize, url_hosts, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, roster_clean, name_forms, query_manifest,
-        query_chunks, serp_attribution, serp_flatten_dedupe, stream_first_results, failed_queries, crawl_frontier, page_metadata, page_overlay, identity_verdict, identity_counts, monitor_output, stage_counts, run_health,
+        url_normalize, url_hosts, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, backfill_windows, roster_clean, name_forms, query_manifest,
+        query_chunks, serp_attribution, serp_flatten_dedupe, stream_first_results, failed_queries, crawl_frontier, page_metadata, page_overlay, page_overlay_asof, identity_verdict, identity_counts, monitor_output, stage_counts, stage_rollup, run_health,
         promote_output, corpus_search, corpus_index_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
     )
 }
@@ -363,10 +385,10 @@ SQL: dict[str, str] = {
     name: X.plain(sql)
     for name, sql in {
         "url_normalize": O.URL_NORMALIZE, "url_hosts": O.URL_HOSTS, "url_dedupe_filter": O.URL_DEDUPE, "platform_source": O.PLATFORM_SOURCE, "activity_class": O.ACTIVITY, "social_author": O.SOCIAL_AUTHOR,
-        "relative_days": O.RELATIVE_DAYS, "absolute_date": O.ABSOLUTE_DATE, "candidate_filter": O.CANDIDATES, "recent_filter": O.RECENT, "roster_clean": O.ROSTER_CLEAN, "name_forms": O.NAME_FORMS,
+        "relative_days": O.RELATIVE_DAYS, "absolute_date": O.ABSOLUTE_DATE, "candidate_filter": O.CANDIDATES, "recent_filter": O.RECENT, "backfill_windows": O.BACKFILL, "roster_clean": O.ROSTER_CLEAN, "name_forms": O.NAME_FORMS,
         "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "stream_first_results": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
-        "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
-        "monitor_output": O.MONITOR_OUTPUT, "stage_counts": O.STAGE_COUNTS, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "corpus_index_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
+        "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "page_overlay_asof": O.PAGE_ASOF, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
+        "monitor_output": O.MONITOR_OUTPUT, "stage_counts": O.STAGE_COUNTS, "stage_rollup": O.STAGE_ROLLUP, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "corpus_index_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
         "form_reach": O.FORM_REACH, "manifest_subset": O.MANIFEST_SUBSET, "name_budget": O.NAME_BUDGET, "website_only": O.WEBSITE_ONLY, "read_dumps": O.SERP_ATTRIBUTION, "page_body": O.PAGE_BODY,
         "gate_modes": O.GATE_MODES, "gated_health": O.GATED_HEALTH, "guarded_output": O.GUARDED_OUTPUT, "corpus_search_single": O.CORPUS_SEARCH_SINGLE,
     }.items()
