@@ -479,3 +479,9 @@ PAGE_ASOF = X.with_tables(
        FROM asked a ASOF LEFT JOIN snapshots s ON a.url = s.url AND a.second >= s.second""",
 )
 STAGE_ROLLUP = f"WITH counted AS ({STAGE_COUNTS}) SELECT kol_id, stage, reason, CAST(grouping(kol_id, stage, reason) AS INT) AS level, CAST(sum(n) AS BIGINT) AS n FROM counted GROUP BY GROUPING SETS ((kol_id, stage, reason), (stage, reason), (stage), (kol_id))"
+#: Items that stand with a line cut short, and queries of the log that its words stand for.
+QUARANTINE = X.with_tables(
+    X.RESULTS, X.SERP, X.ROSTER, CLEAN, FORMS, MANIFEST,
+    select="""SELECT 'items' AS source, count(*) AS n FROM hits h JOIN manifest m ON m.kol_id = concat('K', h.k) AND m.roster_seq = 1 AND m.cluster_no = h.cluster_no WHERE page_id % 50 = 3
+       UNION ALL SELECT 'log', count(*) FROM manifest WHERE cluster_no = 6 AND (k * 5 + cluster_no) % 89 <> 0""",
+)

@@ -303,16 +303,38 @@ def website_only(spark, sf_dir):
     return urlfilter.without_social(rows, False).select("page_id", "norm_url", "platform")
 
 
+def dumps(spark, sf_dir, root):
+    """Roster (CSV, its columns in another order), items (JSON lines) and fetch log (CSV); some records of each are broken."""
+    known = raw_roster(spark, sf_dir)
+    known.select("specialty", "kol_name", "kol_id", "affiliation", "suffix").write.option("header", True).option("escape", '"').csv(f"{root}/roster.csv")
+    asked = settled(queries.manifest(roster(spark, sf_dir)), "manifest")
+    items = serp_items(spark, sf_dir, asked)
+    items.write.json(f"{root}/items.json")
+    # Lines that were cut short, and a log whose numbers are words.
+    cut = items.filter("page_number = '1' and item_pos % 50 = 3").select(F.concat(F.lit('{"kol_id": "'), "kol_id", F.lit('", "item_pos": '), F.col("item_pos").cast("string"), F.lit(', "results": [{')).alias("value"))
+    cut.write.mode("append").text(f"{root}/items.json")
+    log = fetch_log(spark, sf_dir, asked).select("status", "kol_id", "query", "cluster_no", "roster_seq", "error")
+    odd = F.when(F.col("cluster_no") == 6, F.concat(F.lit("no. "), F.col("cluster_no").cast("string"))).otherwise(F.col("cluster_no").cast("string"))
+    log.withColumn("cluster_no", odd).write.option("header", True).option("escape", '"').csv(f"{root}/log.csv")
+
+
 def read_dumps(spark, sf_dir):
-    """Attribution of items that were read from JSON lines, to queries of a roster that was read from CSV."""
+    """Attribution of items that were read from JSON lines, to queries of a roster that was read from CSV; lines that can't be
+    read are left out."""
     root = shared_folder(spark, "dumps")
-    raw_roster(spark, sf_dir).write.option("header", True).option("escape", '"').csv(f"{root}/roster.csv")
-    serp_items(spark, sf_dir).write.json(f"{root}/items.json")
+    dumps(spark, sf_dir, root)
     asked = settled(queries.manifest(names.name_forms(names.clean_roster(tables.read_roster(spark, f"{root}/roster.csv")))), "manifest")
     items = tables.read_serp_items(spark, f"{root}/items.json")
     return serp.attributed(items, queries.batches(asked, 4)).select("kol_id", "item_pos", "cluster_no", "unattributed")
 
 
+def quarantine_counts(spark, sf_dir):
+    """How many records of each dump could not be read; they are kept beside it."""
+    root = shared_folder(spark, "dumps")
+    dumps(spark, sf_dir, root)
+    return tables.keep_quarantined(spark, {"items": (f"{root}/items.json", tables.SERP_ITEMS), "log": (f"{root}/log.csv", tables.FETCH_LOG)}, f"{root}/quarantine")
+
+
 def page_body(spark, sf_dir):
     """Title and body text of the pages as they are."""
     meta = pages.page_metadata(tables.read_pages(spark, f"{sf_dir}/pages.parquet"))
@@ -377,7 +399,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         url_normalize, url_hosts, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, backfill_windows, roster_clean, name_forms, query_manifest,
         query_chunks, serp_attribution, serp_flatten_dedupe, stream_first_results, failed_queries, crawl_frontier, page_metadata, page_overlay, page_overlay_asof, identity_verdict, identity_counts, monitor_output, stage_counts, stage_rollup, run_health,
-        promote_output, corpus_search, corpus_index_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
+        promote_output, corpus_search, corpus_index_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, quarantine_counts, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
     )
 }
 
@@ -389,7 +411,7 @@ SQL: dict[str, str] = {
         "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "stream_first_results": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
         "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "page_overlay_asof": O.PAGE_ASOF, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
         "monitor_output": O.MONITOR_OUTPUT, "stage_counts": O.STAGE_COUNTS, "stage_rollup": O.STAGE_ROLLUP, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "corpus_index_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
-        "form_reach": O.FORM_REACH, "manifest_subset": O.MANIFEST_SUBSET, "name_budget": O.NAME_BUDGET, "website_only": O.WEBSITE_ONLY, "read_dumps": O.SERP_ATTRIBUTION, "page_body": O.PAGE_BODY,
+        "form_reach": O.FORM_REACH, "manifest_subset": O.MANIFEST_SUBSET, "name_budget": O.NAME_BUDGET, "website_only": O.WEBSITE_ONLY, "read_dumps": O.SERP_ATTRIBUTION, "quarantine_counts": O.QUARANTINE, "page_body": O.PAGE_BODY,
         "gate_modes": O.GATE_MODES, "gated_health": O.GATED_HEALTH, "guarded_output": O.GUARDED_OUTPUT, "corpus_search_single": O.CORPUS_SEARCH_SINGLE,
     }.items()
 }
