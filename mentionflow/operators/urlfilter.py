@@ -18,6 +18,19 @@ def usable(results: DataFrame) -> DataFrame:
     return once(parts.filter(~U.blocked(F.col("_parts"))), "norm_url", U.rebuilt(F.col("_parts"))).drop("_parts").filter(~U.junk(F.col("norm_url")))
 
 
+def without_listed(results: DataFrame, listed: DataFrame, host: str = "host") -> DataFrame:
+    """results whose host is neither on the list (a column domain) nor below a domain on it; for lists of any length.
+
+    Each distinct host becomes its suffixes at dots, which are joined with the list on equal values; results meet only the
+    hosts that were found. Null and empty hosts stay.
+    """
+    hosts = results.select(F.col(host).alias("_host")).filter("_host <> ''").distinct()
+    labels = F.split(U.bare(F.col("_host")), r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    found = hosts.select("_host", F.explode(suffixes).alias("domain")).join(listed.select("domain"), "domain", "left_semi").select("_host").distinct()
+    return results.join(found, F.col(host) == F.col("_host"), "left_anti")
+
+
 def first_by_normal_url(results: DataFrame, by: list[str], order: list[str] | None = None) -> DataFrame:
     """Of the rows of one expert (by) and normalised URL, the first in order."""
     rest = [c for c in results.columns if c not in [*by, "norm_url"]]

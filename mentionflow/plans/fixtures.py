@@ -69,6 +69,11 @@ shown AS (
   FROM shown
 )"""
 
+#: A list of domains: some fixed ones, and of the pages' own hosts those of a length that three divides.
+LISTED = """
+own_hosts AS (SELECT DISTINCT regexp_replace(regexp_extract(page_url, '^https?://([^/:?#]+)', 1), '^(www|m)[.]', '') AS domain FROM results),
+listed AS (SELECT domain FROM own_hosts WHERE domain <> '' AND length(domain) % 3 = 0 UNION SELECT 'doximity.com' UNION SELECT 'com.example' UNION SELECT 'otx.com')"""
+
 #: Four rows per page: a URL whose host is written in one of many ways. v: an IPv4 address as a number, b1 to b4 its bytes;
 #: zeros: how many pieces of an IPv6 address from the piece gap on are 0.
 _HOST_WORDS = "münchen,bücher,例え,пример,ñandú,faß"

@@ -485,3 +485,8 @@ QUARANTINE = X.with_tables(
     select="""SELECT 'items' AS source, count(*) AS n FROM hits h JOIN manifest m ON m.kol_id = concat('K', h.k) AND m.roster_seq = 1 AND m.cluster_no = h.cluster_no WHERE page_id % 50 = 3
        UNION ALL SELECT 'log', count(*) FROM manifest WHERE cluster_no = 6 AND (k * 5 + cluster_no) % 89 <> 0""",
 )
+HOST_LIST = X.with_tables(
+    X.RESULTS, X.LISTED, parsed("results"),
+    select="""SELECT page_id, host FROM urls u WHERE host <> '' AND NOT EXISTS (
+       SELECT 1 FROM listed l WHERE regexp_replace(u.host, '^www\\.', '') = l.domain OR ends_with(regexp_replace(u.host, '^www\\.', ''), concat('.', l.domain)))""",
+)

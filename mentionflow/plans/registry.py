@@ -109,6 +109,13 @@ def url_dedupe_filter(spark, sf_dir):
     return urlfilter.first_by_normal_url(urlfilter.usable(rows), ["expert"], ["page_id"]).select("expert", "norm_url", "page_id")
 
 
+def host_list_filter(spark, sf_dir):
+    """Results off a block-list that is a table: the fixed hosts and every third of the pages' own."""
+    rows = results_table(spark, sf_dir).withColumn("host", U.host("url")).filter("host <> ''")
+    own = X.run(spark, sf_dir, X.with_tables(X.RESULTS, X.LISTED, select="SELECT domain FROM listed"))
+    return urlfilter.without_listed(rows, own).select("page_id", "host")
+
+
 def platform_source(spark, sf_dir):
     return results_table(spark, sf_dir).select("page_id", U.source("url").alias("source"), U.platform("url").alias("platform"))
 
@@ -397,7 +404,7 @@ def corpus_search_single(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        url_normalize, url_hosts, url_dedupe_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, backfill_windows, roster_clean, name_forms, query_manifest,
+        url_normalize, url_hosts, url_dedupe_filter, host_list_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, backfill_windows, roster_clean, name_forms, query_manifest,
         query_chunks, serp_attribution, serp_flatten_dedupe, stream_first_results, failed_queries, crawl_frontier, page_metadata, page_overlay, page_overlay_asof, identity_verdict, identity_counts, monitor_output, stage_counts, stage_rollup, run_health,
         promote_output, corpus_search, corpus_index_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, quarantine_counts, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
     )
@@ -406,7 +413,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     name: X.plain(sql)
     for name, sql in {
-        "url_normalize": O.URL_NORMALIZE, "url_hosts": O.URL_HOSTS, "url_dedupe_filter": O.URL_DEDUPE, "platform_source": O.PLATFORM_SOURCE, "activity_class": O.ACTIVITY, "social_author": O.SOCIAL_AUTHOR,
+        "url_normalize": O.URL_NORMALIZE, "url_hosts": O.URL_HOSTS, "host_list_filter": O.HOST_LIST, "url_dedupe_filter": O.URL_DEDUPE, "platform_source": O.PLATFORM_SOURCE, "activity_class": O.ACTIVITY, "social_author": O.SOCIAL_AUTHOR,
         "relative_days": O.RELATIVE_DAYS, "absolute_date": O.ABSOLUTE_DATE, "candidate_filter": O.CANDIDATES, "recent_filter": O.RECENT, "backfill_windows": O.BACKFILL, "roster_clean": O.ROSTER_CLEAN, "name_forms": O.NAME_FORMS,
         "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "stream_first_results": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
         "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "page_overlay_asof": O.PAGE_ASOF, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
