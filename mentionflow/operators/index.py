@@ -21,7 +21,7 @@ from ..sources.shared import settled
 from . import corpus
 
 #: Documents of a block; documents of a shard on average; folders that words are dealt out to.
-BLOCK_DOCS, SHARD_DOCS, PARTS = 128, 5_000_000, 64
+BLOCK_DOCS, SHARD_DOCS, PARTS = 128, 5_000_000, 16
 SCORES = ["honorific", *corpus.TOPICS]
 CLUSTERS = range(1, len(corpus.TOPICS) + 2)
 
