@@ -94,6 +94,31 @@ def test_rows_of_a_node_do_not_grow_with_its_group(spark, docs):
     assert near_.count() < 3 * distinct
 
 
+def test_near_query_by_hand(spark, sf_dir):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted((tuple(r)[:5] for r in jaccard.op5_jaccard_join(spark, sf_dir).collect()), key=str)
+    assert got == near_by_hand(rows) and any(r[2] for r in got)
+
+
+def test_links_near_the_threshold_are_found(spark, docs):
+    """Pairs of texts with a similarity of 0.80 to 0.85: every one that brute force finds."""
+    rng = random.Random(8)
+    texts = []
+    for k in range(300):
+        base = [f"w{rng.randrange(50_000)}" for _ in range(rng.choice([60, 120, 240]))]
+        other = list(base)
+        for at in rng.sample(range(len(base) // 7), max(1, len(base) // 60)):  # each apart from the others: five shingles differ
+            other[at * 7 + 3] = f"z{k}-{at}"
+        texts += [" ".join(base), " ".join(other)]
+    rows = list(enumerate(texts, 1))
+    want = near_by_hand(rows)
+    close = 0
+    for a, b in zip(texts[::2], texts[1::2], strict=True):
+        x, y = ({w[i : i + 5] for i in range(len(w) - 4)} for w in (words(a), words(b)))
+        close += 0.8 <= len(x & y) / len(x | y) < 0.88
+    assert close > 50 and near(docs(rows)) == want
+
+
 def test_no_rows_and_no_links(spark, docs):
     assert near(docs([])) == []
     assert near(docs([(1, "a b c d e f"), (2, None)])) == [(1, 1, 0, 1, 1), (2, 2, 0, 2, 1)]
