@@ -30,7 +30,7 @@ def test_corpus_search(spark):
     assert corpus.corpus_search(docs.limit(0), roster).count() == 0 and corpus.corpus_search(docs, roster.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("block_docs", "shard_docs"), [(128, 1000), (1, 1000), (2, 3)])
+@pytest.mark.parametrize(("block_docs", "shard_docs"), [(128, 1000), (2, 3)])
 def test_index_search(spark, tmp_path, block_docs, shard_docs):
     """The index gives what a search over the texts gives, for one batch and two, with and without blocks left out."""
     rng = random.Random(block_docs)
