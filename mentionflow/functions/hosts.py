@@ -18,7 +18,7 @@ PLAIN = r"^(?:[a-z0-9_-]+\.)*[a-z][a-z0-9_-]*\z"
 FORBIDDEN = r'[\x00-\x20#%/:<>?@\[\\\]^|\x7F]'
 _WIDE = "".join(map(chr, range(0xFF01, 0xFF5F))) + "。｡"
 _NARROW = "".join(map(chr, range(0x21, 0x7F))) + ".."
-_SOFT = "[­​⁠﻿]"
+_SOFT = "[\u00ad\u200b\u2060\ufeff]"
 
 
 def div(a: Column, b: Column | int) -> Column:
