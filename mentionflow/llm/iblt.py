@@ -24,8 +24,8 @@ from .common import or_empty, partitions, table
 
 #: Cells of the fingerprint that is kept; digests of two versions that are compared at once.
 CELLS, BATCH_DOCS, BATCH_DIGESTS = 24, 512, 200_000
-#: Rows of a range of documents on average at most; rows sampled for each range.
-RANGE_ROWS, SAMPLE = 200_000, 50
+#: Bytes of texts in a range of documents at most, and what a row counts beside its text.
+RANGE_BYTES, ROW_BYTES = 64_000_000, 100
 PASSAGE = re.compile(r"[^\n.,;:!?]{1,64}[\n.,;:!?]*|[\n.,;:!?]+")
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -186,21 +186,37 @@ def order_keys(no_id: np.ndarray, doc_id: np.ndarray, digest: np.ndarray) -> np.
     return np.ascontiguousarray(np.hstack(parts)).view("S17").ravel()
 
 
+def cuts_in(most: int):
+    """Keys of the rows that begin the ranges of a sorted partition: the first, and each with which a range would pass so many bytes."""
+
+    def cuts(batches):
+        held = None
+        for batch in batches:
+            keys = order_keys(*(batch[c].to_numpy(zero_copy_only=False) for c in ("no_id", "doc_id", "digest")))
+            found, last = [], None
+            for key, size in zip(keys.tolist(), batch["size"].to_pylist(), strict=True):
+                if held is None or held + size > most and key != last:
+                    found.append(key)
+                    held = 0
+                held, last = held + size, key
+            if found:
+                yield pa.RecordBatch.from_pydict({"key": pa.array([k.ljust(17, b"\0") for k in found], pa.binary())})
+
+    return cuts
+
+
 def cuts_of(rows: DataFrame) -> np.ndarray:
-    """Keys of the rows that begin the ranges, the first row of all first. The other cuts come from a sample of SAMPLE rows a
-    range: for each range of RANGE_ROWS texts the driver holds less than a kilobyte."""
-    n = rows.count()
-    if not n:
+    """Keys of the rows that begin the ranges, in order. Spark sorts narrow rows (id, hash, length), and each task tells where its
+    ranges begin, so no range has more than RANGE_BYTES of texts, but for one longer text alone and rows repeated with one id and
+    hash. The driver holds 17 bytes for each range."""
+    n_tasks = partitions(rows.sparkSession)
+    narrow = rows.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "digest", (F.octet_length("text") + ROW_BYTES).cast("long").alias("size"))
+    whole = narrow.agg(F.sum("size")).first()[0]
+    if not whole:
         return np.zeros(0, "S17")
-    ranges = max(partitions(rows.sparkSession), -(-n // RANGE_ROWS))
-    top = rows.agg(F.max("doc_id")).first()[0]
-    first = rows.filter(F.col("doc_id").eqNullSafe(F.lit(top).cast("long"))).agg(F.min("digest")).first()[0]
-    head = order_keys(np.array([top is None]), np.array([top or 0]), np.array([first]))
-    sample = rows.sample(min(1.0, SAMPLE * ranges / n), seed=5).select(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "digest").toArrow()
-    keys = np.unique(order_keys(*(c.to_numpy() for c in sample.columns)))
-    every = max(1, len(keys) // ranges)
-    cuts = keys[every // 2 :: every]
-    return np.concatenate([head, cuts[cuts != head[0]]])
+    order = [F.col("no_id"), F.col("doc_id").desc(), F.col("digest")]
+    begun = narrow.repartitionByRange(n_tasks, *order).sortWithinPartitions(*order).mapInArrow(cuts_in(min(RANGE_BYTES, -(-whole // n_tasks))), "key binary")
+    return np.unique(np.array([bytes(k) for k in begun.toArrow()["key"].to_pylist()], "S17"))
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -210,7 +226,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     after the last row comes the first. Null texts count as empty; an only row is its own next; an empty table gives no
     rows; other columns are ignored, whatever their names. Texts are shuffled once, into ranges of (id, hash) that begin
     at rows known beforehand: the first row of a range is sent to the range before as well, so that no range
-    waits for another.
+    waits for another. A very long text may be a range of its own.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("text")).withColumn("digest", F.xxhash64("text"))

@@ -458,3 +458,20 @@ def test_peeling_recovers_differences():
             only.append((n, len(keys) - shared - n))
     a, b = iblt.differences(left, right)
     assert list(zip(a.tolist(), b.tolist(), strict=True)) == only
+
+
+def test_ranges_are_bounded(spark, docs, monkeypatch):
+    """Ranges hold a bounded number of bytes, whatever the sizes of texts: cuts come from a sort of all rows, not from a sample."""
+    rng = np.random.default_rng(8)
+    sizes = [*rng.integers(0, 400, 3_000).tolist(), 30_000, 30_000, 9_000]
+    rows = docs([(i if i % 3 else None, "y" * n) for i, n in enumerate(sizes)]).withColumn("digest", F.xxhash64("text"))
+    monkeypatch.setattr(iblt, "RANGE_BYTES", 10_000)
+    cuts = iblt.cuts_of(rows)
+    keyed = rows.selectExpr("doc_id", "digest", "octet_length(text) + 100 AS n").toPandas()
+    keys = iblt.order_keys(keyed.doc_id.isna().to_numpy(), keyed.doc_id.fillna(0).to_numpy(), keyed.digest.to_numpy())
+    at = np.searchsorted(cuts, keys, side="right") - 1
+    assert at.min() == 0 and len(np.unique(at)) == len(cuts)
+    # Rows repeated with one id and hash stay together; of the others none is above the bound unless it is one row.
+    _, one = np.unique(keys, return_index=True)
+    held, rows_of = np.bincount(at[one], weights=keyed.n.to_numpy()[one]), np.bincount(at[one])
+    assert all(n <= 10_000 or k == 1 for n, k in zip(held, rows_of, strict=True)) and len(cuts) > 60
