@@ -10,14 +10,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import as_row, or_empty, quoted, smaller, table
+from .common import Scratch, as_row, or_empty, quoted, smaller, table
 
 #: Feature buckets (power of two), vector size, character n-grams, labelled rows of each class at most.
 BUCKETS, DIM, GRAMS, TRAIN_ROWS = 1 << 17, 16, (2, 3, 4), 2000
+#: Distinct features of all rows learnt from, at most: eight bytes each on the driver.
+TRAIN_FEATURES = 40_000_000
 EPOCHS, RATE, SEED, THRESHOLD = 5, 0.5, 7, 0.7
 #: Code points that one vectorised step hashes.
 STEP_CHARS = 200_000
@@ -90,10 +92,10 @@ def steps(texts: list[str]):
 
 def feature_counts(batches):
     for batch in smaller(batches):
-        for label, text in zip(batch["label"].to_pylist(), batch["text"].to_pylist(), strict=True):
+        for doc_id, label, text in zip(batch["doc_id"].to_pylist(), batch["label"].to_pylist(), batch["text"].to_pylist(), strict=True):
             _, found = features([text])
             ids, n = np.unique(found, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"label": pa.array([label], pa.int32()), "ids": pa.array([ids.astype(np.int32)], pa.list_(pa.int32())), "n": pa.array([n.astype(np.int32)], pa.list_(pa.int32()))})
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array([doc_id], pa.int64()), "label": pa.array([label], pa.int32()), "ids": pa.array([ids.astype(np.int32)], pa.list_(pa.int32())), "n": pa.array([n.astype(np.int32)], pa.list_(pa.int32()))})
 
 
 def unpacked(t: pa.Table) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -134,8 +136,9 @@ def fit(labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], dim: int
     return (vectors @ (out[1] - out[0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """Fits on at most train_rows labelled documents of each class, those with the smallest hash of the id. Rows whose
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_features: int = TRAIN_FEATURES) -> tuple[np.ndarray, float]:
+    """Fits on at most train_rows labelled documents of each class, those with the smallest hash of the id, or as many of them
+    as have half of train_features distinct features together (very long texts have many, BUCKETS at most). Rows whose
     crc32(doc_id as text) mod 4 is 2 are never used. A document with several labels has the lowest; of rows repeated with
     one id the smallest text counts; null ids and labels that are neither 0 nor 1 are passed over, null texts are empty.
     Without labels every text scores 0.5. Other columns of both tables are ignored, whatever their names."""
@@ -145,8 +148,13 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
     some = marked.filter("label = 1").orderBy(*order).limit(train_rows).unionByName(marked.filter("label = 0").orderBy(*order).limit(train_rows))
     # At most twice train_rows ids: small enough to send to every task.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), or_empty("text").alias("text")).join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
-    counted = texts.select("label", "text").mapInArrow(feature_counts, "label int, ids array<int>, n array<int>")
-    return fit(*unpacked(counted.toArrow()))
+    scratch = Scratch(docs.sparkSession, "quality")
+    counted = scratch.keep(texts.select("doc_id", "label", "text").mapInArrow(feature_counts, "doc_id long, label int, ids array<int>, n array<int>"), "features")
+    so_far = F.sum("size").over(Window.partitionBy("label").orderBy(*order))  # at most train_rows numbers a class
+    fits = counted.select("doc_id", "label", F.size("ids").cast("long").alias("size")).withColumn("so_far", so_far).filter(F.col("so_far") <= train_features // 2).select("doc_id")
+    learnt = counted.join(F.broadcast(fits), "doc_id").select("doc_id", "label", "ids", "n").toArrow().sort_by("doc_id")
+    scratch.drop("features")
+    return fit(*unpacked(learnt))
 
 
 def held_out(doc_id) -> F.Column:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -475,3 +476,24 @@ def test_ranges_are_bounded(spark, docs, monkeypatch):
     _, one = np.unique(keys, return_index=True)
     held, rows_of = np.bincount(at[one], weights=keyed.n.to_numpy()[one]), np.bincount(at[one])
     assert all(n <= 10_000 or k == 1 for n, k in zip(held, rows_of, strict=True)) and len(cuts) > 60
+
+
+def test_training_features_are_bounded(spark, docs):
+    """Texts with many features take the place of later ones: what the driver holds is bounded, and reruns agree."""
+    rows = docs([(i, (f"good words number {i} " if i % 2 else "b@d ") * (400 if i % 5 == 0 else 3)) for i in range(1, 80)])
+    marks = spark.createDataFrame([(i, i % 2) for i in range(1, 80)], "doc_id long, quality int")
+    seen = []
+
+    def spy(labels, rows):
+        seen.append((len(labels), sum(len(ids) for ids, _ in rows)))
+        return fit(labels, rows)
+
+    fit, quality.fit = quality.fit, spy
+    try:
+        quality.train(rows, marks, train_features=600)
+        whole = quality.train(rows, marks)
+    finally:
+        quality.fit = fit
+    again = quality.train(rows, marks)
+    assert 0 < seen[0][1] <= 600 < seen[1][1] and 0 < seen[0][0] < seen[1][0] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(1, 80))
+    assert (whole[0] == again[0]).all() and whole[1] == again[1]
