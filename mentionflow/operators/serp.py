@@ -28,6 +28,18 @@ def attributed(items: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
+def of_one_query(items: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Items of runs that asked one query each (cluster_no tells which), as attributed() gives them: what they echo doesn't count."""
+    asked = manifest.select(*EXPERT, "cluster_no", F.col("query").alias("search_query"))
+    merged = (first_of("page_number") == "all") | (first_of("page") == "all")
+    return items.join(asked, [*EXPERT, "cluster_no"]).select(*EXPERT, "chunk_no", "item_pos", "cluster_no", "search_query", F.lit(False).alias("unattributed"), merged.alias("merged"), "results")
+
+
+def united(batched: DataFrame, single: DataFrame) -> DataFrame:
+    """Flattened results of runs of several queries (pass_no 0) and of one (1): first_by_url prefers the former."""
+    return batched.withColumn("pass_no", F.lit(0)).unionByName(single.withColumn("pass_no", F.lit(1)), allowMissingColumns=True)
+
+
 def flattened(items: DataFrame) -> DataFrame:
     """A row per result that has a URL. Where a query has a merged item with results, only its first counts."""
     of_query = Window.partitionBy(*EXPERT, "cluster_no")
@@ -38,8 +50,9 @@ def flattened(items: DataFrame) -> DataFrame:
 
 
 def first_by_url(results: DataFrame) -> DataFrame:
-    """Per expert the first result of each URL (blanks at its ends don't count); of two in one place, the smaller URL."""
-    order = ["cluster_no", "item_pos", "result_pos", "url"]
+    """Per expert the first result of each URL (blanks at its ends don't count); of two in one place, the smaller URL. Where
+    results of two kinds of runs are united, those of runs of several queries come first."""
+    order = [c for c in ("pass_no", "cluster_no", "item_pos", "result_pos", "url") if c in results.columns]
     rest = [c for c in results.columns if c not in EXPERT]
     # min_by combines within each task before anything is shuffled.
     one = F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")

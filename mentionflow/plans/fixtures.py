@@ -152,6 +152,29 @@ hits AS (
   SELECT page_id, page_id % 100 AS k, (page_id + 1) % 6 + 1 AS cluster_no, concat(url, ' ') AS url, title, description FROM results WHERE page_id % 3 = 0
 )"""
 
+def json_text(value: str) -> str:
+    return f"concat('\"', replace(replace({value}, chr(92), concat(chr(92), chr(92))), '\"', concat(chr(92), '\"')), '\"')"
+
+
+#: A JSON line per hit, as two kinds of runs dump them: of several queries (they echo one, or lost it), or of one (second half of the
+#: queries of every third expert). Fields vary in name and kind; some results are no array, some lines are cut short.
+LINES = f"""
+asked_hits AS (
+  SELECT h.*, m.query, h.k % 3 = 1 AND h.cluster_no > 4 AS alone FROM (SELECT *, concat('K', CAST(k AS VARCHAR(20))) AS kol_id FROM hits) h
+  JOIN {{{{manifest}}}} m ON m.kol_id = h.kol_id AND m.cluster_no = h.cluster_no AND m.roster_seq = 1
+), dumped AS (
+  SELECT kol_id, alone, page_id,
+    concat('{{{{"kol_id": "', kol_id, '", "roster_seq": 1, "item_pos": ', CAST(page_id AS VARCHAR(20)), ', ',
+      CASE WHEN alone THEN concat('"cluster_no": ', CAST(cluster_no AS VARCHAR(20))) ELSE concat('"chunk_no": ', CASE WHEN cluster_no <= 4 THEN '1' ELSE '2' END) END,
+      CASE page_id % 5 WHEN 0 THEN ', "keyword": 0, "query": ' WHEN 1 THEN ', "keyword": false, "searchQuery": ' ELSE ', "keyword": ' END, CASE WHEN page_id % 11 = 0 THEN '"lost"' ELSE {json_text("upper(query)")} END,
+      ', "page_number": ', CASE WHEN page_id % 23 = 0 THEN '"all"' ELSE '1' END, ', "results": ',
+      CASE WHEN page_id % 19 = 0 THEN concat('{{{{"url": ', {json_text("url")}, '}}}}') ELSE concat(
+        '[{{{{', CASE page_id % 4 WHEN 0 THEN '"url": ' WHEN 1 THEN '"url": "", "link": ' WHEN 2 THEN '"url": 0, "link": ' ELSE '"link": ' END, {json_text("url")},
+        ', "position": ', CASE page_id % 3 WHEN 0 THEN '0' WHEN 1 THEN CAST(page_id % 10 + 1 AS VARCHAR(20)) ELSE concat('"', CAST(page_id % 10 AS VARCHAR(20)), '"') END,
+        ', "title": ', {json_text("title")}, ', "rank": {{{{"group": ', CAST(page_id % 7 AS VARCHAR(20)), '}}}}}}}}, {{{{"url": "https://more.example/', CAST(page_id % 40 AS VARCHAR(20)), '", "rank": null}}}}, {{{{"title": "no address"}}}}]') END,
+      CASE WHEN page_id % 31 = 5 THEN '' ELSE '}}}}' END) AS line
+  FROM asked_hits
+)""".replace("{{", "{").replace("}}", "}")
 
 #: Fifty runs: two for each nation key, a week apart from the last, with a short and a long look-back.
 RUNS = """
@@ -192,14 +215,17 @@ def with_tables(*parts: str, select: str) -> str:
     return "WITH " + ",".join(parts) + "\n" + select
 
 
-def run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The SQL over the driver's tables, whose names stand in braces."""
+def run(spark: SparkSession, sf_dir: str, sql: str, **others: DataFrame) -> DataFrame:
+    """The SQL over the driver's tables (and others), whose names stand in braces; other braces are text."""
     names = [n for n in TABLES if "{" + n + "}" in sql]
-    return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
+    sql = sql.replace("{", "{{").replace("}", "}}")
+    for n in [*names, *others]:
+        sql = sql.replace("{{" + n + "}}", "{" + n + "}")
+    return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}, **others)
 
 
 def plain(sql: str) -> str:
     """The same SQL with bare table names, for DuckDB."""
-    for n in TABLES:
+    for n in (*TABLES, "manifest"):
         sql = sql.replace("{" + n + "}", n)
     return sql

@@ -107,6 +107,12 @@ def _relative(t: str = _T) -> str:
       ELSE coalesce({unit("day")}, {unit("week")} * 7, {unit("month")} * 30, {unit("year")} * 365) END"""
 
 
+def _offset(t: str) -> str:
+    """Minutes that the zone at the end of a time is before UTC."""
+    part = lambda length: f"coalesce(TRY_CAST(substr({t}, length({t}) - {length}, 2) AS BIGINT), 0)"
+    return f"CASE WHEN {t} LIKE '%Z' THEN 0 ELSE CASE substr({t}, length({t}) - 5, 1) WHEN '-' THEN -1 ELSE 1 END * ({part(4)} * 60 + {part(1)}) END"
+
+
 def _absolute(t: str = "trim(date_text)") -> str:
     # Formats that the fixtures use; anything else is null here and in the operator.
     tests = (
@@ -114,7 +120,7 @@ def _absolute(t: str = "trim(date_text)") -> str:
         (r"^[A-Za-z]+ \d{1,2}, \d{4}$", f"coalesce(TRY_STRPTIME({t}, '%b %d, %Y'), TRY_STRPTIME({t}, '%B %d, %Y'))"),
         (r"^\d{1,2} [A-Za-z]+ \d{4}$", f"coalesce(TRY_STRPTIME({t}, '%d %b %Y'), TRY_STRPTIME({t}, '%d %B %Y'))"),
         (r"^\d{1,2}[-/]\d{1,2}[-/]\d{4}$", f"TRY_STRPTIME(replace({t}, '/', '-'), '%m-%d-%Y')"),
-        (r"^\d{4}-\d\d-\d\dT23:30:00\.000-02:00$", f"TRY_STRPTIME(substr({t}, 1, 10), '%Y-%m-%d') + INTERVAL 1 DAY"),
+        (r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[-+]\d\d:\d\d)$", f"TRY_CAST(replace(substr({t}, 1, 19), 'T', ' ') AS TIMESTAMP) - to_minutes({_offset(t)})"),
         (r"^[A-Z][a-z]{2}, \d\d [A-Z][a-z]{2} \d{4} \d\d:\d\d:\d\d GMT$", f"TRY_STRPTIME(substr({t}, 6, 11), '%d %b %Y')"),
     )
     return "CAST(CASE " + " ".join(f"WHEN regexp_matches({t}, '{p}') THEN {e}" for p, e in tests) + " END AS DATE)"
@@ -227,6 +233,36 @@ SERP_ATTRIBUTION = X.with_tables(
 SERP_DEDUPE = X.with_tables(
     X.RESULTS, X.SERP, ITEMS, select="SELECT kol_id, CAST(cluster_no AS INT) AS cluster_no, item_pos, CAST(result_pos AS INT) AS result_pos, url FROM first_hits"
 )
+
+
+def _truthy(value: str, field: str) -> str:
+    """The text of a JSON field, null where it counts as nothing."""
+    at = f"json_extract({value}, '$.{field}')"
+    return f"CASE json_type({at}) WHEN 'VARCHAR' THEN nullif({value}->>'$.{field}', '') WHEN 'BOOLEAN' THEN nullif({value}->>'$.{field}', 'false') WHEN 'NULL' THEN NULL ELSE nullif({value}->>'$.{field}', '0') END"
+
+
+#: The dumped lines, parsed and read item by item and result by result.
+VARIANT_DUMPS = X.with_tables(
+    X.ROSTER, CLEAN, FORMS, MANIFEST, X.RESULTS, X.SERP, X.LINES,
+    f"""lines AS (SELECT CAST(line AS JSON) AS j FROM dumped WHERE json_valid(line)), items AS (
+  SELECT j, j->>'$.kol_id' AS kol_id, CAST(j->>'$.item_pos' AS BIGINT) AS item_pos, CAST(j->>'$.chunk_no' AS INT) AS chunk_no, CAST(j->>'$.cluster_no' AS INT) AS own,
+         lower(trim(coalesce({_truthy("j", "keyword")}, {_truthy("j", "query")}, {_truthy("j", "searchQuery")}, ''))) AS echo,
+         coalesce(j->>'$.page_number' = 'all', false) AS merged, coalesce(json_type(j, '$.results') = 'ARRAY', false) AS usable
+  FROM lines
+), placed AS (
+  SELECT i.*, CASE WHEN own IS NULL THEN 0 ELSE 1 END AS pass_no, coalesce(own, m.cluster_no, CASE chunk_no WHEN 1 THEN 1 ELSE 5 END) AS cluster_no
+  FROM items i LEFT JOIN manifest m ON own IS NULL AND m.kol_id = i.kol_id AND m.roster_seq = 1 AND (m.cluster_no <= 4) = (chunk_no = 1) AND lower(m.query) = echo
+), seen AS (
+  SELECT *, min(CASE WHEN merged THEN item_pos END) OVER q AS first_pos, arg_min(usable, CASE WHEN merged THEN item_pos END) OVER q AS first_usable
+  FROM placed WINDOW q AS (PARTITION BY pass_no, kol_id, cluster_no)
+), places AS (
+  SELECT *, unnest(range(CAST(json_array_length(j, '$.results') AS BIGINT))) AS result_pos FROM seen WHERE usable AND (first_pos IS NULL OR NOT first_usable OR item_pos = first_pos)
+), found AS (SELECT * EXCLUDE (j), json_extract(j, concat('$.results[', result_pos, ']')) AS r FROM places),
+addressed AS (SELECT *, coalesce({_truthy("r", "url")}, {_truthy("r", "link")}, '') AS url FROM found)""",
+    select=f"""SELECT kol_id, CAST(pass_no AS INT) AS pass_no, CAST(cluster_no AS INT) AS cluster_no, item_pos, CAST(result_pos AS INT) AS result_pos, url,
+       coalesce({_truthy("r", "position")}, '') AS position, CAST(r->>'$.rank.group' AS INT) AS rank_group
+       FROM addressed WHERE trim(url) <> '' QUALIFY row_number() OVER (PARTITION BY kol_id, trim(url) ORDER BY pass_no, cluster_no, item_pos, result_pos, url) = 1""",
+)
 PROCESSED = parsed("first_hits", "p_urls") + f", rows_ AS (SELECT *, {_activity('title', 'description')} AS activity_type, {_author()} AS author FROM p_urls)"
 CANDIDATE_ROWS = f"{read_dates('rows_', 'dated_rows')}, candidates AS (SELECT * FROM dated_rows WHERE {_candidate(9)})"
 FRONTIER = X.with_tables(X.RESULTS, X.SERP, ITEMS, PROCESSED, CANDIDATE_ROWS, select="SELECT DISTINCT url FROM candidates WHERE platform = 'Website'")
@@ -296,6 +332,18 @@ RUN = (
     "decided AS (SELECT *, {} AS keep, {} AS reason FROM enriched)".format(*_decision(9)),
     f"""final_rows AS (SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY kol_id, norm_url ORDER BY cluster_no, item_pos, result_pos, url) AS n FROM decided WHERE keep AND {_usable()}) WHERE n = 1)""",
 )
+#: The same with the pages' own metadata: what was read from results is read again from what pages say.
+ENRICHED_RUN = (
+    *RUN[:5], META,
+    f"""overlaid AS (
+  SELECT c.* EXCLUDE (title, description, author, date_text, rel, abs_day), coalesce(nullif(m_title, ''), title) AS title, coalesce(nullif(m_description, ''), description) AS description,
+         coalesce(nullif(m_author, ''), author) AS author, coalesce(nullif(m_date, ''), date_text) AS date_text
+  FROM candidates c LEFT JOIN meta ON meta_url = c.url AND platform = 'Website'
+), {read_dates("overlaid", "enriched")}""",
+    *RUN[6:],
+)
+_OUTPUT = "SELECT kol_id, url, norm_url, title, description, author, date_text AS published_date, host AS source, platform, activity_type, CAST(cluster_no AS INT) AS cluster_no FROM final_rows"
+MONITOR_ENRICHED = X.with_tables(*ENRICHED_RUN, select=_OUTPUT)
 MONITOR_OUTPUT = X.with_tables(
     *RUN, select="SELECT kol_id, url, norm_url, title, description, author, date_text AS published_date, host AS source, platform, activity_type, CAST(cluster_no AS INT) AS cluster_no FROM final_rows"
 )

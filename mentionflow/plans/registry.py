@@ -11,6 +11,7 @@ from ..functions import dates as D
 from ..functions import url as U
 from ..functions.classify import activity
 from ..operators import corpus, health, identity, index, names, pages, queries, serp, urlfilter, windows
+from ..sources import dumps as dump_files
 from ..sources import sinks, tables
 from ..sources.shared import settled, shared_folder
 from ..streaming import first as stream_rules
@@ -46,9 +47,7 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def injected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The braces of JSON in this text are no table names.
-    sql = O.INJECTED.replace("{", "{{").replace("}", "}}").replace("{{pages}}", "{pages}")
-    return spark.sql(X.with_tables(sql, select="SELECT page_id, url, html FROM injected"), pages=spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return X.run(spark, sf_dir, X.with_tables(O.INJECTED, select="SELECT page_id, url, html FROM injected"))
 
 
 def serp_items(spark: SparkSession, sf_dir: str, asked: DataFrame | None = None) -> DataFrame:
@@ -85,8 +84,8 @@ def fetch_log(spark: SparkSession, sf_dir: str, asked: DataFrame | None = None)
     return rows.unionByName(lost).withColumn("error", F.lit(""))
 
 
-def stages(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) -> M.Stages:
-    page_table = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url", "html")
+def stages(spark: SparkSession, sf_dir: str, log: DataFrame | None = None, page_table: DataFrame | None = None) -> M.Stages:
+    page_table = spark.read.parquet(f"{sf_dir}/pages.parquet").select("url", "html") if page_table is None else page_table
     known = M.prepared(raw_roster(spark, sf_dir), RUN)
     return M.results(*known, serp_items(spark, sf_dir, known[1]), page_table, RUN, log)
 
@@ -203,6 +202,20 @@ def stream_first_results(spark, sf_dir):
     return spark.read.schema(out.schema).parquet(f"{root}/out").filter("kol_id <> 'nobody'").select("kol_id", "cluster_no", F.col("item_pos").cast("long").alias("item_pos"), "result_pos", "url")
 
 
+def serp_variant_dumps(spark, sf_dir):
+    """First results of two dumps, of runs of several queries and of one, read from JSON lines as VARIANT: fields of several names
+    and kinds, results that are no array, lines cut short, and a field that no reader names."""
+    asked, root = settled(queries.manifest(roster(spark, sf_dir)), "manifest"), shared_folder(spark, "dumps")
+    lines = X.run(spark, sf_dir, X.with_tables(X.RESULTS, X.SERP, X.LINES, select="SELECT alone, line FROM dumped"), manifest=asked)
+    for name, alone in (("several", False), ("one", True)):
+        lines.filter(F.col("alone") == alone).select(F.col("line").alias("value")).write.text(f"{root}/{name}.json")
+    several = serp.flattened(serp.attributed(dump_files.read_items(spark, f"{root}/several.json"), queries.batches(asked, 4)))
+    one = serp.flattened(serp.of_one_query(dump_files.read_items(spark, f"{root}/one.json"), asked))
+    unique = serp.first_by_url(serp.united(several, one))
+    group = F.try_variant_get("r.raw", "$.rank.group", "int")
+    return unique.select("kol_id", "pass_no", "cluster_no", "item_pos", "result_pos", "url", F.coalesce("r.position", F.lit("")).alias("position"), group.alias("rank_group"))
+
+
 def failed_queries(spark, sf_dir):
     asked = settled(queries.manifest(roster(spark, sf_dir)), "manifest")
     return serp.failed_queries(asked, fetch_log(spark, sf_dir, asked)).select("kol_id", "roster_seq", "cluster_no", "query")
@@ -245,6 +258,12 @@ def monitor_output(spark, sf_dir):
     return stages(spark, sf_dir).final.select("kol_id", "url", "norm_url", "title", "description", "author", "published_date", "source", "platform", "activity_type", "cluster_no")
 
 
+def monitor_enriched(spark, sf_dir):
+    """The run over pages that have metadata: titles, descriptions, authors and dates of pages win, and their dates are filtered."""
+    s = stages(spark, sf_dir, page_table=injected_pages(spark, sf_dir).select("url", "html"))
+    return s.final.select("kol_id", "url", "norm_url", "title", "description", "author", "published_date", "source", "platform", "activity_type", "cluster_no")
+
+
 def stage_counts(spark, sf_dir):
     s = stages(spark, sf_dir).settled()
     return health.stage_counts({"raw": s.raw, "unique": s.unique, "candidates": s.candidates, "dated": s.dated, "final": s.final})
@@ -405,7 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         url_normalize, url_hosts, url_dedupe_filter, host_list_filter, platform_source, activity_class, social_author, relative_days, absolute_date, candidate_filter, recent_filter, backfill_windows, roster_clean, name_forms, query_manifest,
-        query_chunks, serp_attribution, serp_flatten_dedupe, stream_first_results, failed_queries, crawl_frontier, page_metadata, page_overlay, page_overlay_asof, identity_verdict, identity_counts, monitor_output, stage_counts, stage_rollup, run_health,
+        query_chunks, serp_attribution, serp_flatten_dedupe, stream_first_results, serp_variant_dumps, failed_queries, crawl_frontier, page_metadata, page_overlay, page_overlay_asof, identity_verdict, identity_counts, monitor_output, monitor_enriched, stage_counts, stage_rollup, run_health,
         promote_output, corpus_search, corpus_index_search, term_reach, form_reach, manifest_subset, name_budget, website_only, read_dumps, quarantine_counts, page_body, gate_modes, gated_health, guarded_output, corpus_search_single,
     )
 }
@@ -415,9 +434,9 @@ SQL: dict[str, str] = {
     for name, sql in {
         "url_normalize": O.URL_NORMALIZE, "url_hosts": O.URL_HOSTS, "host_list_filter": O.HOST_LIST, "url_dedupe_filter": O.URL_DEDUPE, "platform_source": O.PLATFORM_SOURCE, "activity_class": O.ACTIVITY, "social_author": O.SOCIAL_AUTHOR,
         "relative_days": O.RELATIVE_DAYS, "absolute_date": O.ABSOLUTE_DATE, "candidate_filter": O.CANDIDATES, "recent_filter": O.RECENT, "backfill_windows": O.BACKFILL, "roster_clean": O.ROSTER_CLEAN, "name_forms": O.NAME_FORMS,
-        "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "stream_first_results": O.SERP_DEDUPE, "failed_queries": O.FAILED_QUERIES,
+        "query_manifest": O.QUERY_MANIFEST, "query_chunks": O.QUERY_CHUNKS, "serp_attribution": O.SERP_ATTRIBUTION, "serp_flatten_dedupe": O.SERP_DEDUPE, "stream_first_results": O.SERP_DEDUPE, "serp_variant_dumps": O.VARIANT_DUMPS, "failed_queries": O.FAILED_QUERIES,
         "crawl_frontier": O.FRONTIER, "page_metadata": O.PAGE_METADATA, "page_overlay": O.PAGE_OVERLAY, "page_overlay_asof": O.PAGE_ASOF, "identity_verdict": O.IDENTITY_VERDICT, "identity_counts": O.IDENTITY_COUNTS,
-        "monitor_output": O.MONITOR_OUTPUT, "stage_counts": O.STAGE_COUNTS, "stage_rollup": O.STAGE_ROLLUP, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "corpus_index_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
+        "monitor_output": O.MONITOR_OUTPUT, "monitor_enriched": O.MONITOR_ENRICHED, "stage_counts": O.STAGE_COUNTS, "stage_rollup": O.STAGE_ROLLUP, "run_health": O.RUN_HEALTH, "promote_output": O.PROMOTE_OUTPUT, "corpus_search": O.CORPUS_SEARCH, "corpus_index_search": O.CORPUS_SEARCH, "term_reach": O.TERM_REACH,
         "form_reach": O.FORM_REACH, "manifest_subset": O.MANIFEST_SUBSET, "name_budget": O.NAME_BUDGET, "website_only": O.WEBSITE_ONLY, "read_dumps": O.SERP_ATTRIBUTION, "quarantine_counts": O.QUARANTINE, "page_body": O.PAGE_BODY,
         "gate_modes": O.GATE_MODES, "gated_health": O.GATED_HEALTH, "guarded_output": O.GUARDED_OUTPUT, "corpus_search_single": O.CORPUS_SEARCH_SINGLE,
     }.items()

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROSTER = "kol_id string, kol_name string, suffix string, affiliation string, specialty string"
-_FIELDS = "url link title description snippet publishedDate date published_date publishDate publishedAt author position".split()
-RESULT = f"struct<{', '.join(f'{name}: string' for name in _FIELDS)}>"
+FIELDS = "url link title description snippet publishedDate date published_date publishDate publishedAt author position".split()
+RESULT = f"struct<{', '.join(f'{name}: string' for name in FIELDS)}>"
 SERP_ITEMS = (
     "kol_id string, roster_seq int, chunk_no int, item_pos int, keyword string, query string, searchQuery string,"
     f" page_number string, page string, results array<{RESULT}>"
