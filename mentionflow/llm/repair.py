@@ -164,7 +164,9 @@ def same_before(w: np.ndarray, at: int, q: int, start: int) -> int:
 
 
 def crossing(w: np.ndarray, nodes: np.ndarray, least: int, times: int) -> dict[int, list[tuple[int, int, int]]]:
-    """By node, the runs (start, end, period) within it that cross its boundary."""
+    """By node, the runs (start, end, period) within it that cross its boundary. An interval may come up with its smallest
+    period and with multiples of it: within one node they share start and end, and the smallest comes first and stays.
+    Later, among intervals cut by different nodes, a multiple could no longer be told from a run."""
     found: dict[int, list[tuple[int, int, int]]] = {}
     cands = candidates(w, nodes, least, times)
     cuts = np.flatnonzero(np.r_[True, cands[0, 1:] != cands[0, :-1]]) if cands.shape[1] else []
@@ -172,7 +174,7 @@ def crossing(w: np.ndarray, nodes: np.ndarray, least: int, times: int) -> dict[i
         end = cuts[k + 1] if k + 1 < len(cuts) else cands.shape[1]
         node, qs, sides = int(cands[0, begin]), cands[1, begin:end], cands[2, begin:end]
         lo, c, hi = (int(x) for x in nodes[:, node])
-        own: list[tuple[int, int, int]] = []
+        own: dict[tuple[int, int], int] = {}
         while len(qs):
             q, side = int(qs[0]), int(sides[0])
             qs, sides = qs[1:], sides[1:]
@@ -180,30 +182,27 @@ def crossing(w: np.ndarray, nodes: np.ndarray, least: int, times: int) -> dict[i
             start, stop = at - same_before(w, at, q, lo), at + q + same_after(w, at, q, hi)
             if not (start < c < stop and stop - start >= max(least, times * q)):
                 continue
-            own.append((start, stop, q))
+            own.setdefault((start, stop), q)
             # What this run explains: multiples of its period, whose words looked at lie within it.
             reach = np.maximum(-(-least // 2), -(-times * qs // 2))
             within = np.where(sides > 0, (c >= start) & (c + reach <= stop), (c <= stop) & (c - reach >= start))
             other = (qs % q != 0) | ~within
             qs, sides = qs[other], sides[other]
         if own:
-            found[node] = own
+            found[node] = [(start, stop, q) for (start, stop), q in own.items()]
     return found
 
 
 def merged(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, length, period) of the longest intervals: those of one period that share a period's words are one, and of
-    equal intervals the one with the smallest period stays. Sorted by start and period."""
+    """(start, length, period) of the longest intervals: those of one period that share a period's words are one. Sorted
+    by start and period."""
     whole: list[list[int]] = []
     for start, end, q in sorted(set(runs), key=lambda r: (r[2], r[0], -r[1])):
         if whole and whole[-1][2] == q and start <= whole[-1][1] - q:
             whole[-1][1] = max(whole[-1][1], end)
         else:
             whole.append([start, end, q])
-    least: dict[tuple[int, int], int] = {}
-    for start, end, q in whole:
-        least[start, end] = min(q, least.get((start, end), q))
-    return sorted((s, e - s, q) for (s, e), q in least.items())
+    return sorted(((s, e - s, q) for s, e, q in whole), key=lambda r: (r[0], r[2]))
 
 
 def text_runs(texts: list[list[bytes]], least: int = LEAST_WORDS, times: int = LEAST_TIMES) -> list[list[tuple[int, int, int]]]:

@@ -112,6 +112,16 @@ def test_query_by_hand(spark, sf_dir):
     assert sum(r[1] > 0 for r in got) > len(rows) / 20
 
 
+def test_no_multiples_of_a_run_cut_by_a_node(spark, docs, tmp_path):
+    unit = ["0", "1", "0"]
+    texts = [["x"] + ["a"] * 161 + ["b"] + ["a"] * 100, ["1"] + unit * 40 + ["0", "1", "1"] + unit * 20 + ["0"]]
+    got = repair.text_runs([[w.encode() for w in t] for t in texts])
+    assert got == [runs_by_hand(t) for t in texts] == [[(1, 161, 1), (163, 100, 1)], [(1, 122, 3), (124, 61, 3)]]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts * 4)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(tuple(r) for r in repair.op13_periodic_runs(spark, str(tmp_path)).collect()) == sorted(expected(*r) for r in rows)
+
+
 def test_any_table(spark, nasty, docs):
     got = {(r.doc_id, r.n_words, tuple(r.runs), r.collapsed) for r in repair.word_runs(nasty).collect()}
     assert got == {(i, len((t or "").encode().split()), (), " ".join(w.decode() for w in (t or "").encode().split())) for i, t in NASTY if i != 6} | {(6, 1500, ((0, 1500, 3),), "é 日本 🎉")}
