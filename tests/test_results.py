@@ -202,3 +202,14 @@ def test_of_two_promotions_one_fails(spark, tmp_path):
     with pytest.raises(sinks.Conflict):  # both had seen the same log
         sinks._commit(spark, root, 1, "other")
     assert sinks.version(spark, root) == 1 and sinks.promote(spark, root, "b") == 1 and sinks.version(spark, root) == 2
+
+
+def test_gate_puts_texts_into_plain_words_once(spark):
+    """However many steps look at a text, and with a filter on the verdict, its plain words stand in the plan once."""
+    roster = names.name_forms(spark.createDataFrame([("A", 1, "Ann Bea Lee", "MD", "Mayo", "Neurology")], "kol_id string, roster_seq int, kol_name string, suffix string, affiliation string, specialty string"))
+    rows = spark.createDataFrame([("A", 1, "Dr. Ann Lee", "", "")], "kol_id string, roster_seq int, title string, description string, body_text string")
+    for mode in ("tag", "drop"):
+        df = identity.gated(rows, roster, mode)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("[^A-Za-z0-9_\\-]+") == 1
+        assert [(r.validity, r.validity_signals) for r in df.collect()] == [("VALID", "titled-name")]
