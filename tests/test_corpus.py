@@ -58,3 +58,22 @@ def test_index_search_leaves_blocks_out(spark, tmp_path):
     spark.read.parquet(f"{root}/all").filter("block < 2").write.partitionBy("batch", "part").parquet(f"{root}/postings")
     got = {(r.cluster_no, r.doc_id) for r in index.search(spark, root, roster, [2], 10).collect()}
     assert got == {(2, 10 * i) for i in range(10)}
+
+
+def test_form_reach_of_names_that_many_bear(spark):
+    """Against a walk over all experts and texts; experts with the same forms and texts that show the same are counted, never paired."""
+    people = [(f"{k}{i}", name) for k, name in [("A", "Ann Bea Lee"), ("B", "Ann (Bo) Bea Lee"), ("C", "Madonna"), ("D", "Ann Lee"), ("E", "()"), ("F", "Cher Lee (Vale)")] for i in range(40)]
+    texts = [*TEXTS, *((100 + i, TEXTS[i % len(TEXTS)][1]) for i in range(60)), (900, "Bo Lee met Ann Bea Lee"), (901, "Cher Vale"), (901, "Cher Lee, Cher Vale")]
+    roster = names.name_forms(spark.createDataFrame([(k, 1, n, "") for k, n in people], "kol_id string, roster_seq int, kol_name string, affiliation string"))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    hays = [(r.doc_id, r.hay) for r in corpus.term_hits(docs).collect()]
+    pairs = {k: set() for k in ("full", "short", "initial", "extra")}
+    for r in roster.filter("forms is not null").collect():
+        for k, forms in {**{k: [r.forms[k]] for k in ("full", "short", "initial")}, "extra": r.forms.extras}.items():
+            pairs[k] |= {(r.kol_id, i) for i, hay in hays if any(f" {f.lower()} " in hay for f in forms)}
+    n = len(set().union(*pairs.values()))
+    got = corpus.form_reach(docs, roster)
+    assert {r.form_kind: (r.n_pairs, r.share) for r in got.collect()} == {k: (len(p), len(p) / n) for k, p in pairs.items()} and all(pairs.values())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "kol_id" not in plan and "doc_id" not in plan
+    assert corpus.form_reach(docs.limit(0), roster).agg(F.sum("n_pairs")).first()[0] == 0
