@@ -77,3 +77,19 @@ def test_form_reach_of_names_that_many_bear(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "kol_id" not in plan and "doc_id" not in plan
     assert corpus.form_reach(docs.limit(0), roster).agg(F.sum("n_pairs")).first()[0] == 0
+
+
+def test_index_search_reads_few_blocks_at_a_time(spark, tmp_path, monkeypatch):
+    """While postings are read, a task takes few blocks at a time; the session's own setting comes back, also after a failure."""
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    roster = names.name_forms(spark.createDataFrame([("A", 1, "Ann Lee", "")], "kol_id string, roster_seq int, kol_name string, affiliation string"))
+    index.add_documents(docs, f"file://{tmp_path}", "w")
+    option, seen, settled = "spark.sql.parquet.columnarReaderBatchSize", {}, index.settled
+    monkeypatch.setattr(index, "settled", lambda df, name: (seen.update({name: int(spark.conf.get(option))}), settled(df, name))[1])
+    before = spark.conf.get(option)
+    assert index.search(spark, f"file://{tmp_path}", roster).count() > 0
+    assert max(seen["first"], seen["blocks"]) <= 64 and spark.conf.get(option) == before
+    monkeypatch.setattr(index.corpus, "complete", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        index.search(spark, f"file://{tmp_path}", roster)
+    assert spark.conf.get(option) == before
